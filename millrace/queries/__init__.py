@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-THEMES = ["rows"]
+THEMES = ["rows", "columns", "regression", "classification"]
 
 
 def all_queries():
