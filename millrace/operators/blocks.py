@@ -35,11 +35,13 @@ def block_join(
         left.join(sizes, cell)
         .withColumn("_l", F.pmod(F.xxhash64(left_key), F.col("_bl")).cast("int"))
         .withColumn("_r", F.explode(F.sequence(F.lit(0), F.col("_br") - 1)))
+        .drop("_bl", "_br")
     )
     numbered_right = (
         right.join(sizes, cell)
         .withColumn("_r", F.pmod(F.xxhash64(right_key), F.col("_br")).cast("int"))
         .withColumn("_l", F.explode(F.sequence(F.lit(0), F.col("_bl") - 1)))
+        .drop("_bl", "_br")
     )
     grouped = numbered_left.groupBy(cell, "_l", "_r").cogroup(numbered_right.groupBy(cell, "_l", "_r"))
 

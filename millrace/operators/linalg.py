@@ -78,6 +78,12 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(n, -1) if n else np.zeros((0, 0))
 
 
+def vector_batch(vector: np.ndarray) -> pa.RecordBatch:
+    """One row holding the vector."""
+    values = pa.array(np.ascontiguousarray(vector, dtype="float64"))
+    return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)], names=["vec"])
+
+
 def sum_vectors(df: DataFrame, fn: Callable[[pa.RecordBatch], np.ndarray | None]) -> np.ndarray | None:
     """Sum fn(batch) over all record batches.
 
@@ -93,7 +99,7 @@ def sum_vectors(df: DataFrame, fn: Callable[[pa.RecordBatch], np.ndarray | None]
                 if part is not None:
                     total = part if total is None else total + part
         if total is not None:
-            yield pa.RecordBatch.from_pydict({"vec": pa.array([total.astype("float64")], pa.list_(pa.float64()))})
+            yield vector_batch(total)
 
     return add_up(df.mapInArrow(partial, "vec array<double>"))
 
@@ -108,17 +114,14 @@ def add_up(partials: DataFrame) -> np.ndarray | None:
                 part = matrix(batch.column("vec")).sum(axis=0)
                 total = part if total is None else total + part
         if total is not None:
-            yield pa.RecordBatch.from_pydict({"vec": pa.array([total], pa.list_(pa.float64()))})
+            yield vector_batch(total)
 
     tasks = partials.rdd.getNumPartitions()
     while tasks > FAN_IN:
         tasks = -(-tasks // FAN_IN)
         partials = partials.repartition(tasks).mapInArrow(add, "vec array<double>")
-    total = None
-    for row in partials.toArrow().column("vec").to_pylist():
-        vector = np.asarray(row)
-        total = vector if total is None else total + vector
-    return total
+    collected = partials.toArrow().column("vec")
+    return matrix(collected).sum(axis=0) if len(collected) else None
 
 
 def gram_wide(df: DataFrame, features: str, target: str) -> Gram:

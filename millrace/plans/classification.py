@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import digest, hash_bucket
-from millrace.operators.linalg import add_up, matrix, sum_vectors
+from millrace.operators.linalg import add_up, matrix, sum_vectors, vector_batch
 from millrace.operators.sampling import batch_number
 from millrace.plans.regression import metric_table
 
@@ -183,11 +183,13 @@ class Network:
             layers.append(_softmax(z) if i == len(self.weights) - 1 else np.maximum(z, 0.0))
         return layers
 
-    def gradient(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    def gradient(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
         """Summed gradient of -ln p(target), packed like the parameters."""
         layers = self.forward(x)
         delta = layers[-1].copy()
         delta[np.arange(len(y)), y] -= 1.0
+        if weight is not None:
+            delta *= weight[:, None]
         dw: list[np.ndarray] = [None] * len(self.weights)
         db: list[np.ndarray] = [None] * len(self.weights)
         for i in reversed(range(len(self.weights))):
@@ -197,7 +199,7 @@ class Network:
                 delta = (delta @ self.weights[i].T) * (layers[i] > 0)
         return np.concatenate([p.ravel() for p in [*dw, *db]])
 
-    def transform(self, df: DataFrame, features: str, name: str = "prediction") -> DataFrame:
+    def transform(self, df: DataFrame, features: str, name: str = "prediction", expand=None) -> DataFrame:
         """Class with the highest probability; batch or streaming frames."""
         network = self
         names = df.columns
@@ -205,6 +207,7 @@ class Network:
         def score(batches):
             for batch in batches:
                 x = matrix(batch.column("_x"))
+                x = expand(x) if expand is not None and len(x) else x
                 classes = network.forward(x)[-1].argmax(axis=1) if len(x) else np.zeros(0)
                 yield pa.RecordBatch.from_arrays(
                     [*[batch.column(c) for c in names], pa.array(classes, pa.int32())], names=[*names, name]
@@ -300,18 +303,25 @@ def fit_network_averaged(
     rule: str = "sgd",
     seed: int = 42,
     spread: float = 0.1,
+    weight: Column | None = None,
+    expand=None,
 ) -> tuple[Network, DataFrame]:
     """Parallel passes: each seeded shard runs sequential mini-batches from the shared weights, the
     results are averaged by row count once per epoch (Zinkevich et al. 2010). One job per epoch.
 
+    ``weight`` is the number of examples a row stands for. ``expand`` turns the stored matrix of a
+    record batch into the input layer (say codes into one-hot slots), so that only the compact form
+    is stored and shuffled.
+
     A shard streams through its task in record batches; only a parameter vector leaves it. Rows are
     dealt to shards by hash and ordered by hash inside, so the result does not hang on the layout.
     """
     network = Network.start([dims, *hidden, classes], seed, spread)
     rows = []
     codes = F.concat_ws("-", *[k.cast("string") for k in keys]).alias("k")
-    sharded = training_frame(df, features, label, is_test, codes).select(
-        "x", "y", "t", hash_bucket(f"{seed}-shard", shards, F.col("k")).alias("s"), digest(seed, F.col("k")).alias("o")
+    count = (F.lit(1.0) if weight is None else weight.cast("double")).alias("w")
+    sharded = training_frame(df, features, label, is_test, codes, count).select(
+        "x", "y", "t", "w", hash_bucket(f"{seed}-shard", shards, F.col("k")).alias("s"), digest(seed, F.col("k")).alias("o")
     )
     sharded = sharded.repartition(shards, "s").sortWithinPartitions("s", "o")
     with cached(sharded) as data:
@@ -324,18 +334,20 @@ def fit_network_averaged(
                     if not batch.num_rows:
                         continue
                     x, y, tests = _columns(batch)
-                    hit = net.forward(x)[-1].argmax(axis=1) == y
-                    m += [hit[~tests].sum(), (~tests).sum(), hit[tests].sum(), tests.sum()]
+                    x = x if expand is None else expand(x)
+                    w = batch.column(3).to_numpy(zero_copy_only=False)
+                    hit = w * (net.forward(x)[-1].argmax(axis=1) == y)
+                    m += [hit[~tests].sum(), w[~tests].sum(), hit[tests].sum(), w[tests].sum()]
                     if last:
                         continue
-                    a, b = x[~tests], y[~tests]
+                    a, b, c = x[~tests], y[~tests], w[~tests]
                     for i in range(0, len(a), batch_size):
                         here = net.unpack(vector)
-                        xs, ys = a[i : i + batch_size], b[i : i + batch_size]
-                        vector = steps.apply(vector, here.gradient(xs, ys) / len(xs))
-                    seen += len(a)
+                        part = slice(i, i + batch_size)
+                        vector = steps.apply(vector, here.gradient(a[part], b[part], c[part]) / c[part].sum())
+                    seen += c.sum()
                 out = np.concatenate([vector * seen, [seen], m])
-                yield pa.RecordBatch.from_pydict({"vec": pa.array([out], pa.list_(pa.float64()))})
+                yield vector_batch(out)
 
             total = add_up(data.mapInArrow(run, "vec array<double>"))
             if epoch:
@@ -346,6 +358,25 @@ def fit_network_averaged(
     return network, metric_table(df.sparkSession, rows, "epoch INT, train_acc DOUBLE, test_acc DOUBLE")
 
 
+class OneHotPositions:
+    """Codes at fixed positions to a one-hot block with the same category list at every position.
+
+    A code outside the list sets nothing; slot = position * size + place in the list.
+    """
+
+    def __init__(self, categories: list[int]):
+        self.categories = np.array(sorted(categories), dtype=float)
+
+    def __call__(self, codes: np.ndarray) -> np.ndarray:
+        size = len(self.categories)
+        n, positions = codes.shape
+        place = np.minimum(np.searchsorted(self.categories, codes), size - 1)
+        row, position = np.nonzero(self.categories[place] == codes)
+        out = np.zeros((n, positions * size))
+        out[row, position * size + place[row, position]] = 1.0
+        return out
+
+
 def library_logistic(features_col: str, label_col: str, strength: float, rows: int, max_iter: int = 100):
     """L2 logistic regression with inverse strength C, as Spark's objective expresses it."""
     from pyspark.ml.classification import LogisticRegression

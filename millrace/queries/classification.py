@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from millrace.functions import columns as X
@@ -521,13 +520,11 @@ def fbeta_best(spark, folder):
 @registry.add("grid_search")
 def grid_search(spark, folder):
     """Degrees 1, 2 and three strengths over five stratified folds; label parity on min-max scaled vectors."""
-    rows = _vectors(spark, folder, 0.5)
+    rows = _vectors(spark, folder, 0.5).withColumn("y", X.parity(F.col("label")))
     train = rows.where("NOT is_test")
     low, high = FE.array_range(train, "features", DIMS)
-    ready = rows.select(
-        "vec_id", "is_test", "label", X.parity(F.col("label")).cast("double").alias("y"),
-        array_to_vector(FE.scale_array(F.slice("features", 1, 16), low[:16], high[:16])).alias("features"),
-    )
-    folded = sampling.with_stratified_fold(ready.where("NOT is_test"), "y", ["vec_id"])
-    done = selection.grid_search(folded, ready.where("is_test"), "features", "y", "fold", [1, 2], [0.01, 1.0, 100.0])
-    return done.select("degree", "strength", F.round("cv_accuracy", 4).alias("cv_accuracy"), F.round("test_accuracy", 4).alias("test_accuracy"))
+    folded = sampling.with_stratified_fold(train, "y", ["vec_id"]).select("vec_id", "features", "y", "fold")
+    ready = folded.unionByName(rows.where("is_test").select("vec_id", "features", "y", F.lit(-1).alias("fold")))
+    scaled = FE.scale_array(F.col("features"), low, high)
+    done = selection.grid_search(ready, scaled, F.col("y"), F.col("fold"), DIMS, [1, 2], [0.01, 1.0, 100.0], 5, 30)
+    return done.select("degree", "strength", F.round("cv_accuracy", 4).alias("cv_accuracy"), F.round("test_accuracy", 4).alias("test_accuracy"), "best")
