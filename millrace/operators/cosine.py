@@ -1,27 +1,38 @@
-"""Exact cosine nearest neighbours of sparse documents by a pruned inverted index.
+"""Exact cosine nearest neighbours of sparse documents.
 
-Equal documents are folded first. A cheap lower bound of each query's k-th similarity comes from the
-k heaviest postings of its terms. A document can only reach that bound through a term whose weights
-allow it (Cauchy-Schwarz on the rest), so frequent light terms never generate candidates, and a term
-pair that cannot reach the bound is dropped inside the join. Survivors are scored in full.
+Equal documents are folded first. Every query then takes one of two exact ways:
+
+* the index way, for queries whose heavy terms are rare. A cheap lower bound of the k-th similarity
+  comes from the k heaviest postings of each term. A document can only reach that bound through a
+  term that the Cauchy-Schwarz inequality leaves open, so frequent light terms are never joined, and
+  a posting that cannot reach the bound is dropped inside the join (Anastasiu & Karypis 2014);
+* the block way, for the rest: blocks of documents are multiplied as matrices inside the tasks, and
+  only the k best of each block leave a task. No pair of documents is emitted.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.blocks import block_join
 from millrace.session import cut_lineage
 
 SLACK = 1e-9
+BLOCK_DOCS = 512
+TERM_STEP = 4096
+INDEX_COST = 20.0  # joined postings that cost as much as one document in a block product
 
 
 def folded(weighted: DataFrame, key: str, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Postings of one representative per distinct document, its k lowest keys, and every owner."""
     # A document's fingerprint is a pair of order-free sums over its postings.
     prints = weighted.groupBy(key).agg(
-        F.sum(F.xxhash64("term", F.round("w", 12)).cast("decimal(38,0)")).alias("f1"),
-        F.sum(F.xxhash64(F.lit("b"), "term", F.round("w", 12)).cast("decimal(38,0)")).alias("f2"),
+        F.sum(F.xxhash64("term", F.round("w", 12)).cast("decimal(20,0)")).alias("f1"),
+        F.sum(F.xxhash64(F.lit("b"), "term", F.round("w", 12)).cast("decimal(20,0)")).alias("f2"),
         F.count(F.lit(1)).alias("size"),
     )
     order = Window.partitionBy("f1", "f2", "size").orderBy(key)
@@ -33,50 +44,111 @@ def folded(weighted: DataFrame, key: str, k: int) -> tuple[DataFrame, DataFrame,
     return postings, members.select("rep", "members"), owners
 
 
-def cosine_neighbors(train: DataFrame, queries: DataFrame, key: str, k: int) -> DataFrame:
-    """(query, neighbor, similarity, rank) over unit-length postings; ties by lowest key.
-
-    Only documents sharing a term with the query appear; the caller fills up shorter lists.
-    """
-    post, members, _ = folded(train, key, k)
-    post = cut_lineage(post.select(F.col("rep").alias("d"), "term", F.col("w").alias("wd")))
-    asked, _, owners = folded(queries, key, 1)
-    asked = cut_lineage(asked.select(F.col("rep").alias("q"), "term", F.col("w").alias("wq")))
-
-    # Lower bound: similarity mass found in the k heaviest postings of each term. All products of
+def query_prefixes(post: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """Terms through which a document can reach the k best of a query: (q, term, wq, bound, df)."""
+    # Similarity mass found in the k heaviest postings of each term is a lower bound: all products of
     # one term are non-negative, because both weights carry the sign of its idf.
     by_weight = Window.partitionBy("term").orderBy(F.abs("wd").desc(), "d")
     heavy = post.withColumn("_n", F.row_number().over(by_weight)).where(F.col("_n") <= k).drop("_n")
     partial = asked.join(heavy, "term").groupBy("q", "d").agg(F.sum(F.col("wq") * F.col("wd")).alias("s"))
     by_part = Window.partitionBy("q").orderBy(F.col("s").desc(), "d")
-    bound = (
-        partial.withColumn("_n", F.row_number().over(by_part)).where(F.col("_n") == k).select("q", (F.col("s") - SLACK).alias("bound"))
-    )
-    bounded = asked.join(bound, "q", "left").withColumn("bound", F.coalesce("bound", F.lit(0.0)))
-
-    # Prefix: in order of document frequency, until the rest of the query cannot reach the bound.
+    bound = partial.withColumn("_n", F.row_number().over(by_part)).where(F.col("_n") == k)
+    bounded = asked.join(bound.select("q", (F.col("s") - SLACK).alias("bound")), "q", "left")
+    bounded = bounded.withColumn("bound", F.coalesce("bound", F.lit(0.0)))
+    # The most frequent terms, as long as they cannot reach the bound even together, are left out.
     frequency = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     per_query = Window.partitionBy("q").orderBy(F.col("df").desc(), "term")  # the terms of one document
     rest = F.sqrt(F.sum(F.col("wq") * F.col("wq")).over(per_query.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    prefix = bounded.join(frequency, "term").withColumn("_rest", rest).where(F.col("_rest") >= F.col("bound"))
+    return bounded.join(frequency, "term").withColumn("_rest", rest).where(F.col("_rest") >= F.col("bound")).drop("_rest")
+
 
+def by_index(post: DataFrame, asked: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """Similarities of all documents that can reach the bound: (q, d, s)."""
     product = F.col("wq") * F.col("wd")
-    slack = F.sqrt(F.greatest(F.lit(0.0), 1.0 - F.col("wq") * F.col("wq"))) * F.sqrt(F.greatest(F.lit(0.0), 1.0 - F.col("wd") * F.col("wd")))
+    spare = lambda w: F.sqrt(F.greatest(F.lit(0.0), 1.0 - F.col(w) * F.col(w)))
     candidates = (
-        prefix.select("q", "term", "wq", "bound")
+        prefixes.select("q", "term", "wq", "bound")
         .join(post, "term")
-        .where(product + slack >= F.col("bound"))
+        .where(product + spare("wq") * spare("wd") >= F.col("bound"))
         .select("q", "d")
         .distinct()
     )
-    scored = (
-        candidates.join(asked, "q")
-        .join(post, ["d", "term"])
-        .groupBy("q", "d")
-        .agg(F.sum(F.col("wq") * F.col("wd")).alias("s"))
-        .select("q", "d", F.round("s", 9).alias("similarity"))
-    )
-    rows = scored.join(members, F.col("d") == F.col("rep")).select("q", "similarity", F.explode("members").alias("neighbor"))
+    scored = candidates.join(asked, "q").join(post, ["d", "term"])
+    return scored.groupBy("q", "d").agg(F.sum(F.col("wq") * F.col("wd")).alias("s"))
+
+
+def packed(postings: DataFrame, key: str, weight: str) -> DataFrame:
+    """One row per document: its terms and weights."""
+    entries = F.collect_list(F.struct("term", F.col(weight).alias("w")))
+    rows = postings.groupBy(key).agg(entries.alias("e"))
+    return rows.select(key, F.col("e.term").alias("terms"), F.col("e.w").alias("weights"))
+
+
+def _lists(table: pa.Table) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    terms, weights = (table.column(c).combine_chunks() for c in ("terms", "weights"))
+    sizes = pc.list_value_length(terms).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(terms)), sizes), terms.flatten(), weights.flatten().to_numpy(zero_copy_only=False)
+
+
+def block_products(a: pa.Table, b: pa.Table) -> np.ndarray:
+    """Dot products of all documents of two blocks, over the terms both blocks hold."""
+    row_a, term_a, w_a = _lists(a)
+    row_b, term_b, w_b = _lists(b)
+    codes = pa.chunked_array([term_a, term_b]).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    code_a, code_b = codes[: len(term_a)], codes[len(term_a) :]
+    common = np.intersect1d(code_a, code_b)
+    out = np.zeros((a.num_rows, b.num_rows))
+    if not len(common):
+        return out
+    place = np.full(codes.max() + 1, -1)
+    place[common] = np.arange(len(common))
+    at_a, at_b = place[code_a], place[code_b]
+    for start in range(0, len(common), TERM_STEP):
+        stop = min(start + TERM_STEP, len(common))
+        parts = []
+        for at, row, w, n in ((at_a, row_a, w_a, a.num_rows), (at_b, row_b, w_b, b.num_rows)):
+            take = (at >= start) & (at < stop)
+            dense = np.zeros((n, stop - start))
+            dense[row[take], at[take] - start] = w[take]
+            parts.append(dense)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def by_blocks(post: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """The k best documents of every query within each block of documents: (q, d, s)."""
+
+    def best(a: pa.Table, b: pa.Table) -> pa.Table:
+        s = block_products(a, b)
+        kk = min(k, s.shape[1])
+        border = -np.partition(-s, kk - 1, axis=1)[:, kk - 1]
+        row, col = np.nonzero((s >= border[:, None] - SLACK) & (s > 0))
+        q, d = a.column("q").to_numpy(), b.column("d").to_numpy()
+        return pa.table({"q": pa.array(q[row], pa.int64()), "d": pa.array(d[col], pa.int64()), "s": pa.array(s[row, col], pa.float64())})
+
+    left = packed(asked, "q", "wq").withColumn("cell", F.lit(0))
+    right = packed(post, "d", "wd").withColumn("cell", F.lit(0))
+    return block_join(left, right, "cell", "q", "d", best, "q bigint, d bigint, s double", BLOCK_DOCS)
+
+
+def cosine_neighbors(train: DataFrame, queries: DataFrame, key: str, k: int, index_cost: float = INDEX_COST) -> DataFrame:
+    """(query, neighbor, similarity, rank) over unit-length postings; ties by lowest key.
+
+    Only documents sharing a term with the query appear; the caller fills up shorter lists.
+    """
+    post, members, _ = folded(train, key, k)
+    post = cut_lineage(post.select(F.col("rep").alias("d"), "term", F.col("w").alias("wd")))
+    asked, _, owners = folded(queries, key, 1)
+    asked = cut_lineage(asked.select(F.col("rep").alias("q"), "term", F.col("w").alias("wq")))
+    documents = members.count()
+    prefixes = cut_lineage(query_prefixes(post, asked, k))
+    # A query goes through the index if that joins fewer postings than a block product is worth.
+    cost = prefixes.groupBy("q").agg((F.sum("df") * F.lit(float(index_cost))).alias("cost"))
+    cheap = cost.where(F.col("cost") < documents).select("q")
+    scored = by_index(post, asked.join(cheap, "q", "left_semi"), prefixes.join(cheap, "q", "left_semi"))
+    blocks = by_blocks(post, asked.join(cheap, "q", "left_anti"), k)
+    both = scored.unionByName(blocks).select("q", "d", F.round("s", 9).alias("similarity"))
+    rows = both.join(members, F.col("d") == F.col("rep")).select("q", "similarity", F.explode("members").alias("neighbor"))
     order = Window.partitionBy("q").orderBy(F.col("similarity").desc(), "neighbor")
     top = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return owners.select(F.col("owner").alias("query"), F.col("rep").alias("q")).join(top, "q").select("query", "neighbor", "similarity", "rank")

@@ -12,10 +12,11 @@ from millrace.operators.ordering import with_rank
 def term_counts(docs: DataFrame, key: str, tokens: Column, *more: str) -> DataFrame:
     """(doc, term, tf_count, doc_len): doc_len counts all tokens of the document.
 
-    The length is taken from the token array before it is exploded, so no window is needed.
+    The length is taken from the token array before it is exploded, so no window is needed and the
+    array itself is not carried along with every token.
     """
-    listed = docs.select(key, *more, tokens.alias("_tokens"))
-    rows = listed.select(key, *more, F.size("_tokens").alias("doc_len"), F.explode("_tokens").alias("term"))
+    listed = docs.select(key, *more, tokens.alias("_tokens")).select(key, *more, "_tokens", F.size("_tokens").alias("doc_len"))
+    rows = listed.select(key, *more, "doc_len", F.explode("_tokens").alias("term"))
     return rows.groupBy(key, *more, "term").agg(
         F.count(F.lit(1)).alias("tf_count"), F.first("doc_len").cast("bigint").alias("doc_len")
     )

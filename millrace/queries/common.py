@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import as_doubles
-from millrace.sources.tables import lineitem_key, table
+from millrace.sources.tables import lineitem_key, spread, table
 
 SEED = 42
 
@@ -21,7 +21,7 @@ def vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents")
+    return spread(table(spark, folder, "documents"), "doc_id")
 
 
 def lineitem_keys() -> list[Column]:

@@ -23,8 +23,8 @@ def _split(spark, folder, size=0.25, seed=SEED):
 
 _D = f"d AS (SELECT doc_id, text, lang, {sql_unit(SEED, 'doc_id')} < 0.25 AS is_test FROM documents)"
 _LONG = r"regexp_extract_all(text, '[\p{L}\p{N}_]{2,}')"
-_T = f"""{_D}, w AS (SELECT doc_id, lang, is_test, len({_LONG}) AS doc_len, unnest({_LONG}) AS term FROM d),
-  t AS (SELECT doc_id, lang, is_test, term, count(*) AS tf_count, any_value(doc_len) AS doc_len FROM w GROUP BY ALL),
+_T = f"""{_D}, w AS (SELECT doc_id, lang, is_test, unnest({_LONG}) AS term FROM d),
+  t AS (SELECT *, (sum(tf_count) OVER (PARTITION BY doc_id))::BIGINT AS doc_len FROM (SELECT doc_id, lang, is_test, term, count(*) AS tf_count FROM w GROUP BY ALL)),
   vocab AS (SELECT term, sum(tf_count)::BIGINT AS cnt, count(*) AS df FROM t WHERE NOT is_test GROUP BY 1 HAVING sum(tf_count) > 1),
   idf AS (SELECT term, cnt, df, ln((SELECT count(*) FROM d WHERE NOT is_test)::DOUBLE / (df + 1)) AS idf FROM vocab)"""
 

@@ -23,6 +23,16 @@ def table(spark: SparkSession, folder: str, name: str, schema: str | None = None
     return reader.parquet(os.path.join(folder, f"{name}.parquet"))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows out by key when the input has fewer files than the session has cores.
+
+    Row-heavy work on a handful of files would otherwise run in a handful of tasks. Large inputs have
+    more files than cores and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
+
+
 def feature_table(spark: SparkSession, path: str, classes: bool = False, labelled: bool = True) -> DataFrame:
     schema = CLASSES if classes else FEATURES
     if not labelled:
