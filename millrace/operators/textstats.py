@@ -41,16 +41,20 @@ def inverse_frequency(vocab: DataFrame, documents: Column) -> DataFrame:
     return vocab.withColumn("idf", F.ln(documents.cast("double") / (F.col("df") + 1)))
 
 
-def weights(terms: DataFrame, vocab_idf: DataFrame, variant: str, key: str) -> DataFrame:
-    """(doc, term, w) for 'tfidf', 'idf', 'tf' or 'binary'; terms outside the vocabulary drop out."""
+def weights(terms: DataFrame, vocab_idf: DataFrame, variant: str, *keys: str) -> DataFrame:
+    """(keys, term, w) for 'tfidf', 'idf', 'tf' or 'binary'; terms outside the vocabulary drop out."""
     tf = guarded_ratio(F.col("tf_count").cast("double"), F.col("doc_len").cast("double"))
     choice = {"tfidf": tf * F.col("idf"), "idf": F.col("idf"), "tf": tf, "binary": F.lit(1.0)}[variant]
     joined = terms.join(vocab_idf.select("term", "idf"), "term")
-    return joined.select(key, "term", choice.alias("w"))
+    return joined.select(*keys, "term", choice.alias("w"))
 
 
-def unit_length(weighted: DataFrame, key: str) -> DataFrame:
-    """Divide by the Euclidean length of the document; documents without weight keep no row."""
-    lengths = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    joined = weighted.where(F.col("w") != 0).join(lengths, key)
-    return joined.select(key, "term", (F.col("w") / F.col("_norm")).alias("w"))
+def unit_length(weighted: DataFrame, *keys: str) -> DataFrame:
+    """Divide by the Euclidean length of the document; documents without weight keep no row.
+
+    Length and entries of a document come from one group-by, so nothing is joined back.
+    """
+    grouped = weighted.where(F.col("w") != 0).groupBy(*keys).agg(
+        F.collect_list(F.struct("term", "w")).alias("_e"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm")
+    )
+    return grouped.select(*keys, "_norm", F.inline("_e")).select(*keys, "term", (F.col("w") / F.col("_norm")).alias("w"))

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.hashing import digest, hash_bucket
 from millrace.operators.linalg import add_up, matrix, sum_vectors, vector_batch
@@ -214,7 +215,7 @@ class Network:
                 )
 
         ready = df.withColumn("_x", F.col(features).cast("array<double>"))
-        schema = df.schema.add(name, "int")
+        schema = T.StructType([*df.schema.fields, T.StructField(name, T.IntegerType())])
         return ready.mapInArrow(score, schema)
 
 

@@ -16,13 +16,14 @@ from millrace.plans.classification import cached, library_logistic
 
 
 def split_weights(docs: DataFrame, key: str, tokens: Column, variant: str, is_test: str = "is_test") -> tuple[DataFrame, DataFrame]:
-    """Document weights (key, is_test, term, w) and the vocabulary with idf, learned on train rows."""
-    terms = textstats.term_counts(docs, key, tokens, is_test)
+    """Document weights (key, is_test, term, w) and the vocabulary with idf, learned on train rows.
+
+    The counted terms are kept, since the vocabulary and the weights both read them.
+    """
+    terms = textstats.term_counts(docs, key, tokens, is_test).persist()
     train_docs = docs.where(~F.col(is_test)).agg(F.count(F.lit(1))).scalar()
     vocab = textstats.inverse_frequency(textstats.vocabulary(terms.where(~F.col(is_test))), train_docs)
-    marked = terms.withColumn("_id", F.struct(key, is_test))
-    weighted = textstats.weights(marked, vocab, variant, "_id")
-    return weighted.select(f"_id.{key}", f"_id.{is_test}", "term", "w"), vocab
+    return textstats.weights(terms, vocab, variant, key, is_test), vocab
 
 
 def nearest_labels(docs: DataFrame, key: str, text: str, label: str, test_size, k: int = 1, variant: str = "tfidf", seed=37) -> DataFrame:
@@ -33,8 +34,7 @@ def nearest_labels(docs: DataFrame, key: str, text: str, label: str, test_size,
     """
     marked = with_split(docs.select(key, text, label), [F.col(key)], test_size, seed)
     weighted, _ = split_weights(marked, key, long_word_tokens(F.col(text)), variant)
-    unit = textstats.unit_length(weighted.select(F.struct(key, "is_test").alias("_id"), "term", "w"), "_id")
-    unit = unit.select(f"_id.{key}", "_id.is_test", "term", "w").persist()
+    unit = textstats.unit_length(weighted, key, "is_test").persist()
     train = unit.where(~F.col("is_test")).drop("is_test")
     found = cosine_neighbors(train, unit.where("is_test").drop("is_test"), key, k)
     queries = marked.where("is_test").select(F.col(key).alias("query"), F.col(label).alias("target"))

@@ -12,7 +12,7 @@ SEED = 42
 
 
 def lineitem(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "lineitem")
+    return spread(table(spark, folder, "lineitem"), "l_orderkey")
 
 
 def vectors(spark: SparkSession, folder: str) -> DataFrame:

@@ -163,7 +163,7 @@ def text_classifier(spark, folder):
 def label_lines(spark, folder):
     joined = documents(spark, folder).join(table(spark, folder, "labels"), "doc_id")
     flat = F.regexp_replace("text", r"\s+", " ")
-    lines = joined.select("doc_id", F.concat(F.lit("﻿"), F.col("toxic").cast("string"), F.lit("\t"), flat).alias("value"))
+    lines = joined.select("doc_id", F.concat(F.lit("\ufeff"), F.col("toxic").cast("string"), F.lit("\t"), flat).alias("value"))
     return source.parse_label_lines(lines)
 
 
