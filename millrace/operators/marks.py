@@ -62,6 +62,14 @@ def dictionary_examples(dictionary: DataFrame, marks: MarkTable = MarkTable(), n
     return kept.select("word", "number", "pos", "letter", "context", mark_class(F.col("target"), marks).alias("cls"))
 
 
+def scattered(key: Column, *row: str) -> Column:
+    """The key, or for a row without one a spread-out value that matches nothing.
+
+    Rows with a NULL key would all meet in one task of an outer join.
+    """
+    return F.coalesce(key, F.concat(F.lit("\u0000no key "), F.pmod(F.xxhash64(*row), F.lit(4096)).cast("string")))
+
+
 def word_occurrences(docs: DataFrame, text: str) -> DataFrame:
     """Lower-cased letter runs and their counts."""
     return (
@@ -110,7 +118,7 @@ def restore_words(docs: DataFrame, key: str, text: str, dictionary: DataFrame, m
     shown = tokens.select(
         key, "pos", "token", upper.alias("up"), F.when(upper, F.lower("token")).otherwise(F.col("token")).alias("w"), alphabetic.alias("alpha")
     )
-    keyed = shown.withColumn("k", F.when(F.col("alpha"), strip_marks(F.col("w"), marks)))
+    keyed = shown.withColumn("k", scattered(F.when(F.col("alpha"), strip_marks(F.col("w"), marks)), key, "pos"))
     single = dictionary.where(F.size("variants") == 1).select(F.col("word").alias("k"), F.col("variants")[0].alias("v"))
     joined = keyed.join(single, "k", "left")
     word = F.coalesce("v", "w")
@@ -152,7 +160,7 @@ def restore_marks(docs: DataFrame, key: str, text: str, model: DataFrame, marks:
     """
     rows = letter_table(docs, [key], F.col(text), None, n)
     may = is_member(F.col("letter"), marks.plain_letters())
-    keyed = rows.withColumn("context", F.when(may, F.col("context")))
+    keyed = rows.withColumn("context", scattered(F.when(may, F.col("context")), key, "pos"))
     joined = keyed.join(model.select("context", "pred"), "context", "left")
     piece = F.when(F.col("pred").isNotNull(), add_mark(F.col("letter"), F.col("pred"), marks)).otherwise(F.col("letter"))
     return rebuild(joined.select(key, "pos", piece.alias("piece")), key)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -14,13 +16,11 @@ WIDEST = 3_000  # columns after expansion; the curvature matrix lives on the dri
 
 
 def expanded(x: np.ndarray, degree: int) -> np.ndarray:
-    """Monomials up to degree 2 and a last constant column."""
-    parts = [x]
-    if degree == 2:
-        i, j = np.triu_indices(x.shape[1])
-        parts.append(x[:, i] * x[:, j])
-    elif degree != 1:
-        raise ValueError("degrees 1 and 2")
+    """All monomials from degree 1 up to ``degree`` and a last constant column."""
+    parts, level = [x], [(i, x[:, i]) for i in range(x.shape[1])]
+    for _ in range(1, degree):
+        level = [(j, term * x[:, j]) for i, term in level for j in range(i, x.shape[1])]
+        parts.append(np.column_stack([term for _, term in level]))
     return np.column_stack([*parts, np.ones(len(x))])
 
 
@@ -43,7 +43,7 @@ def grid_search(
     of them one step: the step is an accelerated Newton step with the fixed curvature bound X'X / 4
     (Boehning & Lindsay 1988), so a few dozen scans serve the whole grid.
     """
-    sizes = {d: (dims if d == 1 else dims + dims * (dims + 1) // 2) + 1 for d in degrees}
+    sizes = {d: comb(dims + d, d) for d in degrees}
     if max(sizes.values()) > WIDEST:
         raise ValueError(f"more than {WIDEST} expanded columns: select columns first")
     left_out = np.array([f for _ in strengths for f in range(folds + 1)])  # fold == folds: refit

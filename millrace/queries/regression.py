@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import metrics as M
 from millrace.operators import sampling
 from millrace.plans import regression as R
+from millrace.sources.stores import metric_report as report
 from millrace.queries.common import SEED, SQL_LINEITEM_UNIT, SQL_VECTORS, Registry, lineitem, lineitem_keys, sql_unit, vectors
 
 registry = Registry()
@@ -215,3 +216,13 @@ def gram_wide(spark, folder):
     g = wide(vectors(spark, folder), "features", "label")
     rows = [(i, j, round(float(g.xx[i, j]), 6)) for i in range(64) for j in range(64)]
     return spark.createDataFrame(rows, "i INT, j INT, g DOUBLE")
+
+
+@registry.add(
+    "metric_report",
+    f"""SELECT 'linear_gd' AS run, epoch, split, 'rmse' AS metric, CASE split WHEN 'train' THEN train_rmse ELSE test_rmse END AS value
+        FROM ({_GD}) t, (SELECT unnest(['train', 'test']) AS split) s""",
+)
+def metric_report(spark, folder):
+    """The metrics of a run in long form."""
+    return report(linear_gd(spark, folder), "linear_gd", "epoch")

@@ -353,15 +353,44 @@ def restored_texts(spark, folder):
     return restored.select("doc_id", F.md5("text").alias("restored"))
 
 
+def _network(counted, epochs=2):
+    """ReLU network on one-hot contexts; equal examples are one weighted row."""
+    slots = classification.OneHotPositions(CODES)
+    network, metrics = classification.fit_network_averaged(
+        counted, MK.context_codes(F.col("context"), 7), F.col("cls"), F.col("is_test"), [F.col("context"), F.col("cls")],
+        7 * len(CODES), [50], len(MARKS.classes) + 1, epochs, 0.003, 256, 8, "adam", weight=F.col("n"), expand=slots,
+    )
+    return network, slots, metrics
+
+
 @registry.add("restore_network")
 def restore_network(spark, folder):
-    """ReLU network on one-hot contexts; equal examples are one weighted row."""
     examples = MK.letter_examples(_split(spark, folder), ["doc_id", "is_test"], F.col("text"), MARKS)
     counted = examples.groupBy("context", "cls", "is_test").agg(F.count(F.lit(1)).alias("n"))
-    codes = MK.context_codes(F.col("context"), 7)
-    slots = classification.OneHotPositions(CODES)
-    _, metrics = classification.fit_network_averaged(
-        counted, codes, F.col("cls"), F.col("is_test"), [F.col("context"), F.col("cls")], 7 * len(CODES), [50], len(MARKS.classes) + 1,
-        2, 0.003, 256, 8, "adam", weight=F.col("n"), expand=slots,
-    )
+    _, _, metrics = _network(counted)
     return metrics.select("epoch", F.round("train_acc", 4).alias("train_acc"), F.round("test_acc", 4).alias("test_acc"))
+
+
+@registry.add("restore_pipeline")
+def restore_pipeline(spark, folder):
+    """Text and dictionary examples, network, marks put back, dictionary pass; share of right characters.
+
+    The network scores every distinct context once; letters meet the scores by a join.
+    """
+    docs = _split(spark, folder)
+    train, test = docs.where("NOT is_test"), docs.where("is_test")
+    counts = MK.word_occurrences(train, "text")
+    dictionary = MK.variant_dictionary(counts, MARKS)
+    text = MK.letter_examples(train, ["doc_id"], F.col("text"), MARKS).select("context", "cls")
+    both = text.unionByName(MK.dictionary_examples(dictionary, MARKS).select("context", "cls"))
+    counted = both.groupBy("context", "cls").agg(F.count(F.lit(1)).alias("n")).withColumn("is_test", F.lit(False))
+    network, slots, _ = _network(counted)
+    plain = test.select("doc_id", S.strip_marks(F.col("text"), MARKS).alias("text"))
+    letters = MK.letter_table(plain, ["doc_id"], F.col("text"), None)
+    asked = letters.where(S.is_member(F.col("letter"), MARKS.plain_letters())).select("context").distinct()
+    coded = asked.withColumn("codes", MK.context_codes(F.col("context"), 7))
+    model = network.transform(coded, "codes", "pred", slots).select("context", "pred")
+    restored = MK.restore_marks(plain, "doc_id", "text", model, MARKS)
+    final = MK.restore_words(restored, "doc_id", "text", MK.refine_dictionary(dictionary, counts), MARKS)
+    score = lambda t, name: MK.letter_accuracy(t, test, "doc_id", "text").select(F.lit(name).alias("stage"), F.round("accuracy", 4).alias("accuracy"))
+    return score(plain, "plain").unionByName(score(restored, "network")).unionByName(score(final, "dictionary"))
