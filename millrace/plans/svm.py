@@ -14,6 +14,7 @@ from millrace.operators.metrics import majority
 from millrace.plans.classification import cached
 
 SUPPORT_CELLS = 4_000_000  # values of a support table that may travel with a task
+CURVATURE_CELLS = 20_000_000  # values of all class moment matrices that one task may add up
 
 
 def kernel_matrix(a: np.ndarray, b: np.ndarray, kind: str, gamma: float, degree: int) -> np.ndarray:
@@ -78,41 +79,64 @@ def fit_pairs(
     feature_map,
     strength: float = 1.0,
     steps: int = 40,
-    smoothing: float = 0.25,
+    smoothing: float = 0.1,
 ) -> np.ndarray:
     """Soft-margin machines of all class pairs at once, on explicit kernel features.
 
-    Minimises |w|^2 / 2 + C * hinge per pair by accelerated gradient steps; the corner of the hinge
-    is rounded over ``smoothing``. Every step is one scan that serves all pairs: a row only adds to
-    the pairs of its own class. Returns weights (features + bias) x pairs.
+    Minimises |w|^2 / 2 + C * hinge per pair; the corner of the hinge is rounded over ``smoothing``.
+    Every step is one scan that serves all pairs: a row only adds to the pairs of its own class. A
+    step is an accelerated Newton step with a fixed curvature bound, the second moments of the two
+    classes over the smoothing width. Where those matrices would pass CURVATURE_CELLS values, their
+    trace is the bound instead. Returns weights (features + bias) x pairs.
     """
     size, m = feature_map.size + 1, len(pairs)
     first = np.array([p[0] for p in pairs])
     second = np.array([p[1] for p in pairs])
+    classes = sorted({c for p in pairs for c in p})
+    place = {c: i for i, c in enumerate(classes)}
+    full = len(classes) * size * size <= CURVATURE_CELLS
 
     def mapped(batch: pa.RecordBatch):
         x = feature_map.apply(matrix(batch.column(0)))
-        y = batch.column(1).to_numpy(zero_copy_only=False)
-        sign = (y[:, None] == first[None, :]).astype(float) - (y[:, None] == second[None, :])
-        return np.column_stack([x, np.ones(len(x))]), sign
+        return np.column_stack([x, np.ones(len(x))]), batch.column(1).to_numpy(zero_copy_only=False)
 
     data = df.where(~is_test).select(features.cast("array<double>").alias("x"), label.cast("int").alias("y"))
     with cached(data):
 
         def extent(batch: pa.RecordBatch) -> np.ndarray:
-            x, sign = mapped(batch)
-            return np.concatenate([np.abs(sign).sum(axis=0), (x * x).sum(axis=1) @ np.abs(sign)])
-
-        total = sum_vectors(data, extent)
-        count, squares = np.maximum(total[:m], 1.0), total[m:]
+            x, y = mapped(batch)
+            sums = []
+            for c in classes:
+                mine = x[y == c]
+                moment = (mine.T @ mine).ravel() if full else [(mine * mine).sum()]
+                sums.append(np.concatenate([moment, [len(mine)]]))
+            return np.concatenate(sums)
+
+        per_class = sum_vectors(data, extent).reshape(len(classes), -1)
+        at = np.array([[place[a], place[b]] for a, b in pairs])
+        count = np.maximum(per_class[at, -1].sum(axis=1), 1.0)
         shrink = 1.0 / (strength * count)
-        rate = 1.0 / (shrink + squares / count / smoothing)
+        moments = [per_class[i, :-1] + per_class[j, :-1] for i, j in at]
+        bounds = [np.linalg.eigh(v.reshape(size, size)) for v in moments] if full else None
+
+        def direction(gradient: np.ndarray) -> np.ndarray:
+            out = np.empty_like(gradient)
+            for j in range(m):
+                if full:
+                    values, vectors = bounds[j]
+                    curvature = np.maximum(values, 0.0) / (count[j] * smoothing) + shrink[j]
+                    out[:, j] = vectors @ ((vectors.T @ gradient[:, j]) / curvature)
+                else:
+                    out[:, j] = gradient[:, j] / (moments[j][0] / (count[j] * smoothing) + shrink[j])
+            return out
+
         weights = np.zeros((size, m))
         ahead, momentum = weights, 1.0
         for _ in range(steps):
 
             def fn(batch: pa.RecordBatch, w=ahead) -> np.ndarray:
-                x, sign = mapped(batch)
+                x, y = mapped(batch)
+                sign = (y[:, None] == first[None, :]).astype(float) - (y[:, None] == second[None, :])
                 margin = sign * (x @ w)
                 slope = np.clip((1.0 - margin) / smoothing, 0.0, 1.0) * sign
                 return (x.T @ slope).ravel()
@@ -120,7 +144,7 @@ def fit_pairs(
             pull = sum_vectors(data, fn).reshape(size, m)
             penalty = shrink * ahead
             penalty[-1] = 0.0  # the bias is not shrunk
-            new = ahead - rate * (penalty - pull / count)
+            new = ahead - direction(penalty - pull / count)
             following = (1.0 + (1.0 + 4.0 * momentum * momentum) ** 0.5) / 2.0
             ahead = new + (momentum - 1.0) / following * (new - weights)
             weights, momentum = new, following

@@ -372,7 +372,7 @@ def svm_ovo(spark, folder):
     rows = _vectors(spark, folder, 0.35)
     pairs = [(r.first, r.second) for r in svm.class_pairs(vectors(spark, folder), "label").orderBy("first", "second").collect()]
     made = kernel_map("rbf", DIMS, gamma=0.5, size=256)
-    weights = svm.fit_pairs(rows, F.col("features"), F.col("label"), F.col("is_test"), pairs, made, 1.0, 25)
+    weights = svm.fit_pairs(rows, F.col("features"), F.col("label"), F.col("is_test"), pairs, made, 1.0, 40)
     votes = svm.pair_votes(rows, "vec_id", "features", pairs, weights, made)
     joined = votes.join(rows.select(F.col("vec_id").alias("key"), "label", "is_test"), "key")
     return joined.groupBy("is_test").agg(F.round(M.accuracy(F.col("prediction"), F.col("label")), 4).alias("accuracy"), F.count(F.lit(1)).alias("n"))
@@ -383,7 +383,7 @@ def svm_binary(spark, folder):
     """Label parity with the exact degree-2 polynomial map."""
     rows = _vectors(spark, folder, 0.5).withColumn("y", X.parity(F.col("label")))
     made = kernel_map("poly", DIMS, gamma=1.0, degree=2)
-    weights = svm.fit_pairs(rows, F.col("features"), F.col("y"), F.col("is_test"), [(1, 0)], made, 5.0, 25)
+    weights = svm.fit_pairs(rows, F.col("features"), F.col("y"), F.col("is_test"), [(1, 0)], made, 5.0, 40)
     votes = svm.pair_votes(rows, "vec_id", "features", [(1, 0)], weights, made)
     joined = votes.join(rows.select(F.col("vec_id").alias("key"), "y", "is_test"), "key")
     return joined.groupBy("is_test").agg(F.round(M.accuracy(F.col("prediction"), F.col("y")), 4).alias("accuracy"), F.count(F.lit(1)).alias("n"))

@@ -318,6 +318,28 @@ def test_pair_machines_reach_the_hinge_optimum(spark):
     assert joined.where("prediction = target").count() / 150 > 0.97
 
 
+@pytest.mark.parametrize("cells,steps,slack", [(20_000_000, 40, 1.02), (1, 150, 1.05)])
+def test_pair_machine_objective_is_near_the_library(spark, monkeypatch, cells, steps, slack):
+    from pyspark.ml.classification import LinearSVC
+    from pyspark.ml.functions import array_to_vector
+
+    monkeypatch.setattr(svm, "CURVATURE_CELLS", cells)
+    x, y = blobs(120, 2)
+    x = x + np.random.RandomState(3).normal(scale=2.0, size=x.shape)
+    df = frame(spark, x, y, "INT").withColumn("t", F.lit(False)).coalesce(1)
+    made = R.PolynomialMap(2, 1, 1.0)
+    phi = made.apply(x)
+
+    def objective(w, b):
+        return w @ w / 2 + 2.0 * np.maximum(0, 1 - (2 * y - 1) * (phi @ w + b)).sum()
+
+    mine = svm.fit_pairs(df, F.col("features"), F.col("target"), F.col("t"), [(1, 0)], made, 2.0, steps)[:, 0]
+    rows = spark.createDataFrame([([float(v) for v in a], float(b)) for a, b in zip(phi, y)], "f ARRAY<DOUBLE>, label DOUBLE")
+    library = LinearSVC(regParam=1 / (2.0 * 120), standardization=False, maxIter=60).fit(rows.coalesce(1).select(array_to_vector("f").alias("features"), "label"))
+    best = objective(library.coefficients.toArray(), library.intercept)
+    assert objective(mine[:-1], mine[-1]) <= best * slack
+
+
 def test_kernel_scores_both_ways(spark, monkeypatch):
     x, sv = RNG.normal(size=(30, 2)), RNG.normal(size=(5, 2))
     df = frame(spark, x, np.zeros(30))
