@@ -12,29 +12,31 @@ from pyspark.sql import functions as F
 from millrace.functions.hashing import hash_unit
 
 SINGLE_RANGE_ROWS = 200_000  # below this a plain window is one cheap task
-MAX_RANGES = 512
+MAX_RANGES = 4096
 
 
-def range_edges(df: DataFrame, order: Column, rows_per_range: int = SINGLE_RANGE_ROWS) -> list:
-    """Upper edges of value ranges, from a seeded sample of the values; empty for little data.
+def range_edges(df: DataFrame, order: Column, *more: Column, rows_per_range: int = SINGLE_RANGE_ROWS) -> list:
+    """Upper edges of value ranges of ``order``, from a seeded sample of the rows; empty for little data.
 
-    The sample only places the edges: every row is ranked whatever they are.
+    ``more`` are the further order columns; together they tell rows apart for the sample. The sample
+    only places the edges: every row is ranked whatever they are. Rows with one and the same value
+    share a range, so the first order column should be an identifier or already distinct.
     """
     total = df.count()
     if total <= rows_per_range:
         return []
     ranges = min(MAX_RANGES, max(2, total // rows_per_range + 1))
     wanted = 40 * ranges
+    code = hash_unit("edges", order, *more)
     sample = (
-        df.select(order.alias("v"))
-        .where(F.col("v").isNotNull() & (hash_unit("edges", F.col("v")) < F.lit(min(1.0, wanted / total))))
-        .distinct()
-        .orderBy(F.xxhash64("v"))
+        df.select(order.alias("v"), code.alias("code"))
+        .where(F.col("v").isNotNull() & (F.col("code") < F.lit(min(1.0, wanted / total))))
+        .orderBy("code")
         .limit(4 * wanted)
     )
     values = sorted(row.v for row in sample.collect())
     step = max(1, len(values) // ranges)
-    return values[step::step]
+    return sorted(set(values[step::step]))
 
 
 def range_number(order: Column, edges: list) -> Column:
@@ -109,6 +111,6 @@ def running_totals(
 
 def with_rank(df: DataFrame, keys: list[str], order: list[str], name: str = "rank", rows_per_range: int = SINGLE_RANGE_ROWS) -> DataFrame:
     """Position 0, 1, .. of each row within its key, in the given order."""
-    edges = range_edges(df, F.col(order[0]), rows_per_range)
+    edges = range_edges(df, *[F.col(c) for c in order], rows_per_range=rows_per_range)
     ranked = running_totals(df, keys, order, {name: F.lit(1).cast("bigint")}, edges)
     return ranked.withColumn(name, F.col(name) - 1)

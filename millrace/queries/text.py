@@ -148,7 +148,7 @@ def text_classifier(spark, folder):
     """Toxic or not from TF-IDF over white-space tokens; F1 on the held-out quarter."""
     docs = documents(spark, folder).select("doc_id", "text").join(table(spark, folder, "labels").select("doc_id", "toxic"), "doc_id")
     train, test = sampling.train_test(docs, [F.col("doc_id")], 0.25, SEED)
-    fitted = DOC.TextClassifier.fit(train, "doc_id", "text", "toxic", 100.0)
+    fitted = DOC.TextClassifier.fit(train, "doc_id", "text", "toxic", 1e6)
     scored = fitted.transform(test, "doc_id", "text").join(test.select("doc_id", F.col("toxic").alias("label")), "doc_id")
     return DOC.held_out_f1(scored)
 

@@ -400,3 +400,18 @@ def test_beta_curve_equals_numpy_over_the_replicates(spark):
 def test_arrays_are_stored_and_loaded(spark, tmp_path):
     stores.save_arrays(spark, {"w": np.arange(6.0).reshape(2, 3)}, str(tmp_path / "m"))
     assert stores.load_arrays(spark, str(tmp_path / "m"))["w"].tolist() == [[0, 1, 2], [3, 4, 5]]
+
+
+def test_feature_tables_by_schema(spark, tmp_path):
+    from millrace.sources import tables
+
+    frame(spark, [[1.0, 2.0], [3.0, 4.0]], [0, 5], "INT").write.parquet(str(tmp_path / "digits.parquet"))
+    rows = tables.feature_table(spark, str(tmp_path / "digits.parquet"), classes=True)
+    assert tables.lowest_classes(rows, "target", 3).count() == 1
+    assert tables.feature_table(spark, str(tmp_path / "digits.parquet"), labelled=False).columns == ["id", "features"]
+    assert tables.table(spark, str(tmp_path), "digits").count() == 2
+
+
+def test_long_votes_take_the_lowest_class_on_ties(spark):
+    votes = spark.createDataFrame([(1, 2), (1, 0), (2, 1), (2, 1), (2, 0)], "key INT, label INT")
+    assert {r["key"]: r.prediction for r in svm.vote_table(votes, "key", "label").collect()} == {1: 0, 2: 1}
