@@ -8,12 +8,6 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import log_normal_density
 
 
-def lowest_best(scores: DataFrame, keys: list[str], name: str = "prediction") -> DataFrame:
-    """Class with the highest score per row, lowest class on ties."""
-    order = F.struct((-F.round("score", 9)).alias("s"), F.col("class").alias("c"))
-    return scores.groupBy(*keys).agg(F.min_by("class", order).alias(name))
-
-
 def class_priors(train: DataFrame, label: str) -> DataFrame:
     """Row count and share of each class; the share needs no window over rows."""
     counts = train.groupBy(F.col(label).alias("class")).agg(F.count(F.lit(1)).alias("n"))

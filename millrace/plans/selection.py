@@ -7,7 +7,6 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from millrace.operators.linalg import matrix, sum_vectors
 from millrace.plans.classification import cached
@@ -124,7 +123,3 @@ def grid_search(
     best = max(range(len(table)), key=lambda i: (round(table[i][2], 9), -i))
     rows = [(*r, i == best) for i, r in enumerate(table)]
     return df.sparkSession.createDataFrame(rows, "degree INT, strength DOUBLE, cv_accuracy DOUBLE, test_accuracy DOUBLE, best BOOLEAN")
-
-
-def fold_counts(df: DataFrame, label: str, fold: str) -> DataFrame:
-    return df.groupBy(label, fold).agg(F.count(F.lit(1)).alias("n"))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from millrace.operators import metrics as M
 from millrace.operators import sampling
 from millrace.plans import regression as R
+from millrace.queries.common import SEED, SQL_LINEITEM_KEY, SQL_LINEITEM_UNIT, SQL_VECTORS, Registry, lineitem, lineitem_keys, sql_unit, vectors
 from millrace.sources.stores import metric_report as report
-from millrace.queries.common import SEED, SQL_LINEITEM_UNIT, SQL_VECTORS, Registry, lineitem, lineitem_keys, sql_unit, vectors
 
 registry = Registry()
 
@@ -31,7 +31,6 @@ def _det(m):
 
 
 # Cramer's rule on centred sums: the intercept drops out and three slopes remain.
-_N3 = ["a", "b", "c"]
 _S3 = [[f"s{min(i, j)}{max(i, j)}" for j in "abc"] for i in "abc"]
 
 
@@ -160,7 +159,23 @@ def linear_gd(spark, folder):
     return table.select("epoch", F.round("train_rmse", 6).alias("train_rmse"), F.round("test_rmse", 6).alias("test_rmse"))
 
 
-@registry.add("linear_gd_batches")
+_GDB_UNITS = " UNION ALL ".join(
+    f"SELECT {e} AS epoch, floor({sql_unit(f'{SEED}-{e}', *SQL_LINEITEM_KEY)} * 10)::INT AS batch, l_quantity / 50 AS a, l_discount * 10 AS b, "
+    "l_extendedprice / 100000 AS y FROM p WHERE NOT is_test"
+    for e in range(5)
+)
+_GDB = f"""WITH RECURSIVE {_PART}, d AS (SELECT is_test, l_quantity / 50 AS a, l_discount * 10 AS b, l_extendedprice / 100000 AS y FROM p),
+  u AS ({_GDB_UNITS}),
+  s AS (SELECT epoch * 10 + batch AS at, sum(a * a) AS saa, sum(a * b) AS sab, sum(b * b) AS sbb, sum(a) AS sa, sum(b) AS sb, sum(a * y) AS say,
+               sum(b * y) AS sby, sum(y) AS sy, count(*) AS n FROM u GROUP BY 1),
+  g AS (SELECT 0 AS step, 0.0::DOUBLE AS w0, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2 UNION ALL
+        SELECT step + 1, {_GD_STEP.replace('0.01', '0.0')} FROM g JOIN s ON s.at = g.step),
+  r AS (SELECT (step // 10)::INT AS epoch, is_test, sqrt(avg(pow(a * w0 + b * w1 + w2 - y, 2))) AS rmse FROM d, g WHERE step > 0 AND step % 10 = 0 GROUP BY 1, 2)
+  SELECT epoch, round(max(CASE WHEN NOT is_test THEN rmse END), 6) AS train_rmse, round(max(CASE WHEN is_test THEN rmse END), 6) AS test_rmse
+  FROM r GROUP BY 1"""
+
+
+@registry.add("linear_gd_batches", _GDB)
 def linear_gd_batches(spark, folder):
     """Ten seeded mini-batches in each of five epochs, all from one scan."""
     rows, columns, target = _gd_input(spark, folder)
