@@ -232,8 +232,7 @@ def char_context(spark, folder):
     return examples.groupBy("context", "cls").agg(F.count(F.lit(1)).alias("n"))
 
 
-# Code points of the characters a context position may hold.
-CODES = [32, 33, 34, 39, 40, 41, *range(48, 51), 52, 54, 56, 57, 59, 63, *range(97, 123)]
+CODES = S.FOLDED_CODES
 
 
 @registry.add(

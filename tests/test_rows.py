@@ -147,3 +147,8 @@ def test_weighted_vote_ties_go_to_the_lowest_class(spark):
 def test_gaussian_density(spark):
     value = one(spark.range(1).select(X.log_normal_density(F.lit(1.0), F.lit(0.0), F.lit(4.0))))
     assert value == pytest.approx(-0.5 * math.log(2 * math.pi * 4) - 1 / 8)
+
+
+def test_context_code_lists():
+    assert len(S.CASED_CODES) == 69 and len(S.FOLDED_CODES) == 41
+    assert sorted(set(S.CASED_CODES)) == S.CASED_CODES
