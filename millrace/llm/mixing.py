@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from millrace.llm.common import stored
 
 BLOCK_ROWS = 1024
+SALTS = 64
 _SECTIONS, _ROUNDS = 32, 4
 
 
@@ -106,8 +107,10 @@ def mix_sources(
     # Rounded to whole tokens, so that the order of summation cannot tip a pass over.
     plan = stored(sources.withColumn("wanted", F.round(wanted).cast("bigint")).withColumn("blocks", F.ceil(F.col("rows") / BLOCK_ROWS)))
     planned = plan.select(F.col("source").alias("s"), F.col("tokens").alias("all_tokens"), "wanted", "blocks")
-    # The sources are few rows; the optimizer sends them to the documents if their size allows it.
-    placed = rows.join(planned, "s").withColumn("b", F.pmod(F.col("h"), F.col("blocks")))
+    # Each source's row is there once per salt, so that a source with a third of all rows meets it in many tasks.
+    salted = planned.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    placed = rows.withColumn("salt", F.pmod(F.xxhash64("h"), F.lit(SALTS)).cast("bigint")).join(salted, ["s", "salt"])
+    placed = placed.withColumn("b", F.pmod(F.col("h"), F.col("blocks")))
     blocks = placed.groupBy("s", "b").agg(F.sum("t").alias("bt"), F.first("all_tokens").alias("all_tokens"), F.first("wanted").alias("wanted"))
     passes = blocks.withColumn("mix_pass", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("wanted") / F.col("all_tokens")))))
     order = Window.partitionBy("s", "mix_pass").orderBy(F.xxhash64(F.lit(seed), "s", "b", "mix_pass"), "b")
