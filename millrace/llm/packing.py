@@ -26,15 +26,17 @@ _MARK = "\x01"
 class UnitEncoder:
     """Ids of whole texts from a tokenizers file that never joins characters over white space.
 
-    Ids of white-space separated units are kept by unit, at most `limit` of them. New units are encoded
-    many at a time with a mark between them; units that hold the mark or a special token are encoded alone.
+    Ids of white-space separated units are kept by unit, at most `limit` of them, and those of the words in
+    them, at most twice as many. New words are encoded many at a time with a mark between them; units that
+    hold the mark or a special token are encoded alone.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
         self.limit = limit
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
@@ -43,24 +45,40 @@ class UnitEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     def learn(self, units: list[str]) -> None:
-        plain = []
+        """Keep the ids of new units; a word with a stop after it is made of the word's and the stop's."""
+        words, plain, split = self.words, set(), []
         for unit in units:
             if _MARK in unit or any(s in unit for s in self.special):
                 self.known[unit] = self._encode(unit).tobytes()
+                continue
+            # The file lower-cases; for ASCII that is the same here.
+            low = unit.lower() if unit.isascii() else unit
+            if low[-1] in ".,;:!?" and low[:-1].isalpha():
+                parts = (low[:-1], low[-1])
             else:
-                plain.append(unit)
+                parts = (low, "")
+            split.append((unit, parts))
+            plain.update(p for p in parts if p and p not in words)
+        if len(words) + len(plain) > 2 * self.limit:
+            words.clear()
+            plain = {p for _, parts in split for p in parts if p}
+        self._learn_words(sorted(plain))
+        for unit, (word, stop) in split:
+            self.known[unit] = words[word] + words[stop] if stop else words[word]
+
+    def _learn_words(self, plain: list[str]) -> None:
         for at in range(0, len(plain), 4096):
             part = plain[at : at + 4096]
             ids = self._encode(f" {_MARK} ".join(part))
             cuts = np.flatnonzero(ids == self.mark[0])
             if len(self.mark) != 1 or len(cuts) != len(part) - 1:
                 for unit in part:
-                    self.known[unit] = self._encode(unit).tobytes()
+                    self.words[unit] = self._encode(unit).tobytes()
                 continue
             raw = ids.tobytes()
             starts, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
             for unit, a, b in zip(part, starts, ends):
-                self.known[unit] = raw[4 * a : 4 * b]
+                self.words[unit] = raw[4 * a : 4 * b]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
