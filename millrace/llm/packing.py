@@ -35,6 +35,7 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.limit = limit
@@ -67,6 +68,11 @@ class UnitEncoder:
             self.known[unit] = words[word] + words[stop] if stop else words[word]
 
     def _learn_words(self, plain: list[str]) -> None:
+        # A word of ASCII letters is one unit of the file's model, which needs no other step for it.
+        for word in plain:
+            if word.isascii() and word.isalpha():
+                self.words[word] = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(word)])
+        plain = [word for word in plain if not (word.isascii() and word.isalpha())]
         for at in range(0, len(plain), 4096):
             part = plain[at : at + 4096]
             ids = self._encode(f" {_MARK} ".join(part))
