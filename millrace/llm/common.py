@@ -41,6 +41,12 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(run, schema)
 
 
+def sent_if_small(df: DataFrame, size: Column, most: int = 32 << 20) -> DataFrame:
+    """A stored table marked for broadcast if `size`, summed over its rows, is at most `most` bytes; else left to a shuffle."""
+    total = df.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(df) if total <= most else df
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of the edges (a, b).
 

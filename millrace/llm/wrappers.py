@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_batches, stored
+from millrace.llm.common import map_batches, sent_if_small, stored
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>|<[a-zA-Z!/][^<>]*\Z", re.S
@@ -274,14 +274,14 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     null or odd url is a host of its own; repeated rows and ids stay as they are; other columns are passed over.
 
     What is counted per host is one row per place and text, added up before the shuffle; what a page is given is
-    the reference page and the template of its host, joined by host, so that a host with a third of all pages is
-    split over tasks by adaptive execution.
+    the reference page and the template of its host. While these are small together they are sent to the pages;
+    beyond that both are shuffled by host, and adaptive execution splits a host with a third of all pages.
     """
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1), F.lit("")))
     rows = pages.select("page_id", "url", F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), host.alias("host"))
     rows = rows.withColumn("mark", F.xxhash64("html"))
     lowest = stored(rows.groupBy("host").agg(F.min("mark").alias("mark")))
-    references = rows.join(lowest, ["host", "mark"], "left_semi").select("host", "html").dropDuplicates(["host"])
+    references = rows.join(sent_if_small(lowest, F.length("host") + 32), ["host", "mark"], "left_semi").select("host", "html").dropDuplicates(["host"])
     references = stored(references.withColumnRenamed("html", "reference"))
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +298,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
                     texts.append(text)
             yield pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), "place": pa.array(at, pa.int64()), "text": pa.array(texts, pa.int64())})
 
-    paired = rows.select("host", "html").join(references, "host")
+    paired = rows.select("host", "html").join(sent_if_small(references, F.octet_length("reference") + 64), "host")
     counted = paired.mapInArrow(places, "host string, place bigint, text bigint").groupBy("host", "place", "text").agg(F.count(F.lit(1)).alias("n"))
     sizes = stored(rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages")))
     frequent = counted.where(F.col("n") >= LEAST_PAGES).join(sizes, "host").where(F.col("n") >= F.col("pages") * F.lit(SHARE))
@@ -320,7 +320,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
             texts.append(main_text(root, blocks, fixed))
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
-    dealt = rows.select("page_id", "url", "html", "host").join(wrapped, "host").select("page_id", "url", "html", "host", "reference", "template")
+    size = F.octet_length("reference") + 64 + 32 * F.coalesce(F.size("template"), F.lit(0))
+    dealt = rows.select("page_id", "url", "html", "host").join(sent_if_small(wrapped, size), "host").select("page_id", "url", "html", "host", "reference", "template")
     kind = pages.schema["page_id"].dataType.simpleString()
     return map_batches(dealt, extract, f"page_id {kind}, url string, text string")
 
