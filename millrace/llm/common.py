@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -41,6 +42,14 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(run, schema)
 
 
+def released(df: DataFrame) -> DataFrame:
+    """As stored(), and Spark's cleaner is woken, so that shuffle files of steps nothing refers to any more leave the disks."""
+    made = cut_lineage(df)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return made
+
+
 def sent_if_small(df: DataFrame, size: Column, most: int = 32 << 20) -> DataFrame:
     """A stored table marked for broadcast if `size`, summed over its rows, is at most `most` bytes; else left to a shuffle."""
     total = df.agg(F.sum(size)).first()[0] or 0

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import LOWEST, id_of, map_batches, stored, text_of
+from millrace.llm.common import LOWEST, id_of, map_batches, released, stored, text_of
 from millrace.llm.textnum import _powers, mix
 
 WINDOW, ANCHOR = 100, 40
@@ -77,7 +77,7 @@ def anchors_of(data: np.ndarray, ends: np.ndarray, window: int) -> tuple[np.ndar
 
 
 def anchor_rows(rows: DataFrame, window: int) -> DataFrame:
-    """(h, g, id, tie, lo, n) per anchor of rows (id, tie, text): lo the first of its n windows."""
+    """(h, g, id, tie, at) per anchor of rows (id, tie, text): its n windows from place lo on, as lo * 4096 + n."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         ids, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -86,11 +86,11 @@ def anchor_rows(rows: DataFrame, window: int) -> DataFrame:
         for a, b in _chunks(sizes):
             data = np.frombuffer(b"".join(texts[a:b]), np.uint8)
             doc, lo, hi, _, h, g = anchors_of(data, np.cumsum(sizes[a:b]), window)
-            found.append((h.view(np.int64), g.view(np.int64), ids[a:b][doc], ties[a:b][doc], lo, (hi - lo + 1)))
+            found.append((h.view(np.int64), g.view(np.int64), ids[a:b][doc], ties[a:b][doc], lo * 4096 + (hi - lo + 1)))
         columns = [np.concatenate(c) for c in zip(*found)]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["h", "g", "id", "tie", "lo", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["h", "g", "id", "tie", "at"])
 
-    return map_batches(rows, run, "h bigint, g bigint, id bigint, tie bigint, lo bigint, n bigint")
+    return map_batches(rows, run, "h bigint, g bigint, id bigint, tie bigint, at bigint")
 
 
 def _names(parts: list[np.ndarray]) -> np.ndarray:
@@ -247,6 +247,24 @@ def _sort_fragments(fragments: DataFrame, window: int) -> DataFrame:
     return sorted_rows.mapInArrow(run, "id bigint, tie bigint, start bigint, end bigint")
 
 
+def _compare_anchors(single: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """What equal surroundings of anchors tell: (id, tie, spans) to remove, and (id, tie, marks) still to sort."""
+    anchors = anchor_rows(single, window)
+    twice = released(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h"))
+    shared = released(anchors.join(twice, "h"))
+    del twice
+    classes = released(shared.groupBy("h", "g").agg(F.min(F.struct("id", "tie", "at")).alias("first"), F.count(F.lit(1)).alias("c")))
+    lo, n = F.floor(F.col("at") / 4096).alias("lo"), F.pmod(F.col("at"), F.lit(4096)).alias("n")
+    kinds = stored(classes.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
+    marks = classes.join(kinds, "h").select("first.*", "h", F.ceil(F.col("kinds") / TOGETHER).alias("groups"))
+    marks = marks.groupBy("id", "tie").agg(F.collect_list(F.struct("h", lo, n, "groups")).alias("marks"))
+    marks = released(marks)
+    later = shared.join(classes.where("c > 1").select("h", "g", "first"), ["h", "g"]).where("struct(id, tie, at) <> first")
+    later = later.select("id", "tie", lo, n).select("id", "tie", F.col("lo").alias("start"), (F.col("lo") + F.col("n") - 1 + window).alias("end"))
+    spans = stored(later.groupBy("id", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
+    return spans, marks
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, n_bytes, spans, kept) of every row: the removed runs as (start, end), and the bytes that stay.
 
@@ -264,24 +282,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     repeated_ids = not rows.groupBy("id").count().where("count > 1").isEmpty()
     rows = rows.withColumn("tie", F.xxhash64("text") if repeated_ids else F.lit(0).cast("bigint")).select("id", "tie", "text")
     single = rows.distinct() if repeated_ids else rows
-    anchors = anchor_rows(single, window)
-    twice = stored(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h"))
-    shared = stored(anchors.join(twice, "h"))
-    classes = stored(
-        shared.groupBy("h", "g").agg(F.min(F.struct("id", "tie", "lo", "n")).alias("first"), F.count(F.lit(1)).alias("c"))
-    )
-    kinds = stored(classes.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
-    later = shared.join(stored(classes.where("c > 1").select("h", "g", "first")), ["h", "g"])
-    later = later.where("struct(id, tie, lo, n) <> first").select(
-        "id", "tie", F.col("lo").alias("start"), (F.col("lo") + F.col("n") - 1 + window).alias("end")
-    )
-    spans = stored(later.groupBy("id", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
-    marks = classes.join(kinds, "h").select("first.*", "h", F.ceil(F.col("kinds") / TOGETHER).alias("groups"))
-    marks = stored(marks.groupBy("id", "tie").agg(F.collect_list(F.struct("h", "lo", "n", "groups")).alias("marks")))
-    del shared, later, classes, kinds, twice
+    spans, marks = _compare_anchors(single, window)
     fragments = _cut_fragments(single.join(marks, ["id", "tie"]).select("id", "tie", "text", "marks"), window)
     found = _sort_fragments(fragments, window).groupBy("id", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    both = stored(spans.unionByName(found).groupBy("id", "tie").agg(F.flatten(F.collect_list("spans")).alias("spans")))
+    both = released(spans.unionByName(found).groupBy("id", "tie").agg(F.flatten(F.collect_list("spans")).alias("spans")))
     dealt = rows.join(both, ["id", "tie"], "left").select("id", "text", "spans")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
