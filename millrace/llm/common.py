@@ -59,28 +59,24 @@ def sent_if_small(df: DataFrame, size: Column, most: int = 32 << 20) -> DataFram
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of the edges (a, b).
 
-    Alternating large and small stars. Each round writes its edges to the shared folder; the minimum of a
-    node is a partial aggregate, and the joins have plain shuffles on both sides, so that adaptive execution
-    splits a node with very many edges. Rounds grow with the logarithm of the longest path.
+    Every node takes the smallest label among its neighbours, then the label of its label, until nothing
+    changes. Labels are written to the shared folder, the minimum is a partial aggregate, and the joins have
+    plain shuffles on both sides, so that adaptive execution splits a node with very many edges.
     """
-    now = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+    pairs = edges.where("a <> b").select("a", "b")
+    both = stored(
+        pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
+        .unionByName(pairs.select(F.col("b").alias("u"), F.col("a").alias("v")))
+        .distinct()
+    )
+    labels = stored(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("component")))
     last = None
     while True:
-        both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
-            now.select(F.col("b").alias("u"), F.col("a").alias("v"))
-        )
-        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        large = stored(large.where("a <> b"))
-        low = stored(large.groupBy("a").agg(F.min("b").alias("m")))
-        hung = large.join(low, "a").select("a", "b", "m")
-        small = hung.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
-        now = stored(small.where("a <> b").distinct())
-        # Sums of node and root numbers change with every change of the edges.
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(seen) == last:
-            break
-        last = tuple(seen)
-    leaves = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return leaves.unionByName(roots)
+        onward = labels.select(F.col("node").alias("component"), F.col("component").alias("root"))
+        jumped = labels.join(onward, "component").select("node", F.col("root").alias("component"))
+        near = both.join(jumped, F.col("v") == F.col("node")).select(F.col("u").alias("node"), "component")
+        labels = stored(jumped.unionByName(near).groupBy("node").agg(F.min("component").alias("component")))
+        seen = labels.agg(F.sum(F.col("component").cast("decimal(38,0)"))).first()[0]
+        if seen == last:
+            return labels
+        last = seen

@@ -18,7 +18,7 @@ BANDS, ROWS = 12, 3
 #: Document frequencies are kept per hash bucket of words: a fixed number of buckets for any corpus.
 WORD_BUCKETS = 1 << 18
 #: Members of one pivot compared by one task, and the pairs that a bucket may write out in one round.
-MEMBERS, SPELLED = 256, 4096
+MEMBERS, SPELLED = 256, 65536
 
 
 def word_buckets(words: np.ndarray) -> np.ndarray:
@@ -219,43 +219,50 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     members = buckets.withColumn("component", F.col("rep"))
     while True:
         pivots = stored(
-            members.groupBy("key").agg(
-                F.count(F.lit(1)).alias("size"),
+            members.groupBy("key")
+            .agg(
                 F.min("component").alias("low"),
                 F.max("component").alias("high"),
                 F.max_by(F.struct("rep", "component"), F.struct("met", -F.col("rep"))).alias("pivot"),
             )
             .where("low <> high")
-            .select("key", "size", F.col("pivot.rep").alias("pivot"), F.col("pivot.component").alias("home"))
+            .select("key", F.col("pivot.rep").alias("pivot"), F.col("pivot.component").alias("home"))
         )
         around = members.join(pivots, "key")
         star = around.where("component <> home").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
         if tested is not None:
-            few = around.where(F.col("size") * F.col("size") <= SPELLED)
-            left = few.select("key", F.col("rep").alias("a"), F.col("component").alias("ca"))
-            right = few.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"))
-            star = star.unionByName(left.join(right, "key").where("ca <> cb and a < b").select("a", "b"))
-        pairs = star.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+            # Members outside the pivot's component meet all others, at once where these are few pairs.
+            around = stored(around)
+            few = stored(
+                around.groupBy("key").agg(
+                    F.count(F.lit(1)).alias("size"), F.sum(F.when(F.col("component") != F.col("home"), 1).otherwise(0)).alias("out")
+                )
+            )
+            small = few.where(F.col("size") * F.col("out") <= SPELLED).select("key")
+            left = around.join(small, "key", "left_semi").where("component <> home").select("key", F.col("rep").alias("a"), F.col("component").alias("ca"))
+            right = around.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"))
+            star = star.unionByName(left.join(right, "key").where("ca <> cb").select("a", "b"))
+        pairs = star.groupBy(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).agg(F.max("b").alias("b"))
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        # The pivot stays on the side b, so that its members share one copy of its text.
+            pairs = pairs.join(tested, ["hi", "lo"], "left_anti")
         pairs = stored(pairs)
         if pairs.isEmpty():
             break
         tested = pairs if tested is None else stored(tested.unionByName(pairs))
-        fresh = stored(verify(pairs, texts, idf, similarity))
-        edges = stored(edges.unionByName(fresh))
-        joined = stored(components(edges))
-        now = buckets.join(joined, F.col("rep") == F.col("node"), "left")
-        members = now.select("rep", "key", "n", "met", F.coalesce("component", "rep").alias("component"))
-        # A member that has been a pivot of its bucket gives way to one that has not.
-        was = tested.groupBy("b").agg(F.count(F.lit(1)).alias("was"))
+        met_pairs = pairs.select(F.when(F.col("b") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("a"), "b")
+        edges = stored(edges.unionByName(stored(verify(met_pairs, texts, idf, similarity))))
+        found = components(edges)
+        now = buckets.join(found, F.col("rep") == F.col("node"), "left")
+        members = now.select("rep", "key", "met", F.coalesce("component", "rep").alias("component"))
+        # A member that has been a pivot gives way to one that has not.
+        was = stored(tested.groupBy("b").agg(F.count(F.lit(1)).alias("was")))
         members = stored(
-            members.join(stored(was), F.col("rep") == F.col("b"), "left")
-            .select("rep", "key", "n", F.when(F.col("was").isNull(), F.col("met")).otherwise(-F.col("was")).alias("met"), "component")
+            members.join(was, F.col("rep") == F.col("b"), "left").select(
+                "rep", "key", F.when(F.col("was").isNull(), F.col("met")).otherwise(-F.col("was")).alias("met"), "component"
+            )
         )
-    found = joined if tested is not None else components(edges)
-    named = classed.join(stored(found), F.col("rep") == F.col("node"), "left")
+    found = components(edges) if tested is None else found
+    named = classed.join(found, F.col("rep") == F.col("node"), "left")
     out = lambda c: F.when(c != LOWEST, c)
     return named.select(
         out(F.col("id")).alias("doc_id"), out(F.col("rep")).alias("class_id"), out(F.coalesce("component", "rep")).alias("component_id")

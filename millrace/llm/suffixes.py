@@ -22,11 +22,11 @@ from millrace.llm.textnum import _powers, mix
 
 WINDOW, ANCHOR = 100, 40
 #: Bytes sorted at once by a task, and the surroundings of one anchor that stay together.
-SORT_BYTES, TOGETHER = 1_000_000, 2048
+SORT_BYTES, TOGETHER = 400_000, 1024
 _LOW = np.uint64((1 << 24) - 1)
 
 
-def _chunks(sizes: list[int], limit: int = 2_000_000):
+def _chunks(sizes: list[int], limit: int = 400_000):
     start = total = 0
     for i, size in enumerate(sizes):
         if total and total + size > limit:
