@@ -223,7 +223,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
             .agg(
                 F.min("component").alias("low"),
                 F.max("component").alias("high"),
-                F.max_by(F.struct("rep", "component"), F.struct("met", -F.col("rep"))).alias("pivot"),
+                F.max_by(F.struct("rep", "component"), F.struct("met", F.bitwise_not("rep"))).alias("pivot"),
             )
             .where("low <> high")
             .select("key", F.col("pivot.rep").alias("pivot"), F.col("pivot.component").alias("home"))

@@ -75,6 +75,8 @@ def compare_blocks(left: pa.Table, right: pa.Table, cosine: float) -> pa.Table:
     Of two natives only the one with the smaller id on the left counts. The links themselves leave as a
     forest: every linked vector names one representative of its part.
     """
+    if not left.num_rows or not right.num_rows:
+        return pa.table({name: pa.array([], pa.int64()) for name in ("a", "b", "n")})
     a, b = left.column("rep").to_numpy(), right.column("rep").to_numpy()
     near = matrix(left.column("u")) @ matrix(right.column("u")).T >= cosine
     native = right.column("native").to_numpy(zero_copy_only=False)
