@@ -75,7 +75,7 @@ def components(edges: DataFrame) -> DataFrame:
         onward = labels.select(F.col("node").alias("component"), F.col("component").alias("root"))
         jumped = labels.join(onward, "component").select("node", F.col("root").alias("component"))
         near = both.join(jumped, F.col("v") == F.col("node")).select(F.col("u").alias("node"), "component")
-        labels = stored(jumped.unionByName(near).groupBy("node").agg(F.min("component").alias("component")))
+        labels = released(jumped.unionByName(near).groupBy("node").agg(F.min("component").alias("component")))
         seen = labels.agg(F.sum(F.col("component").cast("decimal(38,0)"))).first()[0]
         if seen == last:
             return labels

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import LOWEST, components, id_of, map_batches, stored, text_of
+from millrace.llm.common import LOWEST, components, id_of, map_batches, released, stored, text_of
 from millrace.llm.textnum import chunks, mix, shingles_of, words_of
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -200,7 +200,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     """
     rows = docs.select(id_of().alias("id"), text_of().alias("text"))
     idf = word_weights(rows.select("text"))
-    sketches = stored(sketch(rows, idf))
+    sketches = released(sketch(rows, idf))
     classes = stored(
         sketches.where(F.size("bands") > 0).groupBy("h", "g").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
     )
@@ -212,13 +212,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     met = stored(buckets.groupBy("rep").agg(F.sum("n").alias("met")))
     buckets = stored(buckets.join(met, "rep"))
     candidates = buckets.select(F.col("rep").alias("id")).distinct()
-    texts = stored(rows.join(stored(candidates), "id", "left_semi").distinct())
+    texts = released(rows.join(stored(candidates), "id", "left_semi").distinct())
     several = stored(classed.distinct().groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     edges = stored(classed.join(several, "id", "left_semi").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct())
     tested = None
     members = buckets.withColumn("component", F.col("rep"))
     while True:
-        pivots = stored(
+        pivots = released(
             members.groupBy("key")
             .agg(
                 F.min("component").alias("low"),
@@ -250,13 +250,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
             break
         tested = pairs if tested is None else stored(tested.unionByName(pairs))
         met_pairs = pairs.select(F.when(F.col("b") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("a"), "b")
-        edges = stored(edges.unionByName(stored(verify(met_pairs, texts, idf, similarity))))
+        edges = released(edges.unionByName(stored(verify(met_pairs, texts, idf, similarity))))
         found = components(edges)
         now = buckets.join(found, F.col("rep") == F.col("node"), "left")
         members = now.select("rep", "key", "met", F.coalesce("component", "rep").alias("component"))
         # A member that has been a pivot gives way to one that has not.
         was = stored(tested.groupBy("b").agg(F.count(F.lit(1)).alias("was")))
-        members = stored(
+        members = released(
             members.join(was, F.col("rep") == F.col("b"), "left").select(
                 "rep", "key", F.when(F.col("was").isNull(), F.col("met")).otherwise(-F.col("was")).alias("met"), "component"
             )
