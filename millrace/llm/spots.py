@@ -19,6 +19,17 @@ ANCHORS = (
 ).split()
 
 
+def _any_of(words: list[str]) -> str:
+    """A pattern for the words with common beginnings factored out, so that a word is compared letter by letter."""
+    heads = {}
+    for word in words:
+        if word:
+            heads.setdefault(word[0], []).append(word[1:])
+    parts = [head + _any_of(sorted(set(rest))) for head, rest in sorted(heads.items())]
+    body = "(?:" + "|".join(parts) + ")" if parts else ""
+    return body + "?" if body and "" in words else body
+
+
 def normal_words(text: Column) -> Column:
     """Lower-case words, each with one space before, and one space at the end."""
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
@@ -32,11 +43,13 @@ def signatures(text: Column) -> Column:
     """
     words = normal_words(text)
     # Every anchor becomes a mark; the lookahead leaves the space for the next word.
-    marked = F.regexp_replace(words, " (?:" + "|".join(sorted(set(ANCHORS))) + ")(?= )", " ^")
+    marked = F.regexp_replace(words, " " + _any_of(sorted(set(ANCHORS))) + "(?= )", " ^")
     chains = F.regexp_extract_all(marked, F.lit(r"\^ (?=([^ ^]+ (?:\^ )*+[^ ^]+) )"), F.lit(1))
     short = lambda c: F.shiftrightunsigned(F.xxhash64(c), 24)
-    found = F.array_distinct(F.transform(chains, lambda c: short(F.regexp_replace(c, r"\^ ", ""))))
-    return F.when(F.size(found) > 0, F.sort_array(found)).otherwise(F.array(short(F.concat(F.lit("^"), words))))
+    found = F.array_distinct(F.transform(chains, lambda c: short(F.replace(c, F.lit("^ "), F.lit("")))))
+    # An array around the set, so that it is made once for both of its uses.
+    whole = F.array(short(F.concat(F.lit("^"), words)))
+    return F.get(F.transform(F.array(found), lambda f: F.when(F.size(f) > 0, F.sort_array(f)).otherwise(whole)), 0)
 
 
 def fingerprint(found: Column) -> Column:
