@@ -17,12 +17,11 @@ CARON_PLAIN = "cenrszdt"
 RING = "ů"
 RING_PLAIN = "u"
 NOISE = ".,\n-:"
-# Code points a context position may hold, with case kept and with case folded.
-CASED_CODES = [
-    10, *range(32, 35), *range(39, 42), *range(44, 47), *range(48, 51), 52, 54, *range(56, 60), 63,
-    *range(65, 81), *range(82, 87), *range(88, 91), *range(97, 113), *range(114, 123),
+# Code points a context position may hold, with case folded.
+FOLDED_CODES = [
+    32, 33, 34, 39, 40, 41, 48, 49, 50, 52, 54, 56, 57, 59, 63, 97, 98, 99, 100, 101, 102, 103, 104, 105, 106,
+    107, 108, 109, 110, 111, 112, 113, 114, 115, 116, 117, 118, 119, 120, 121, 122,
 ]
-FOLDED_CODES = [*range(32, 35), *range(39, 42), *range(48, 51), 52, 54, 56, 57, 59, 63, *range(97, 123)]
 
 
 @dataclass(frozen=True)

@@ -150,5 +150,5 @@ def test_gaussian_density(spark):
 
 
 def test_context_code_lists():
-    assert len(S.CASED_CODES) == 69 and len(S.FOLDED_CODES) == 41
-    assert sorted(set(S.CASED_CODES)) == S.CASED_CODES
+    assert len(S.FOLDED_CODES) == 41
+    assert sorted(set(S.FOLDED_CODES)) == S.FOLDED_CODES
