@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from millrace.llm.common import LOWEST, components, id_of, map_batches, released, stored, text_of
 from millrace.llm.textnum import chunks, mix, shingles_of, words_of
@@ -208,16 +209,20 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     classed = stored(classed.select("id", F.coalesce("rep", "id").alias("rep")))
     buckets = classes.select("rep", F.explode("bands").alias("key")).distinct()
     shared = stored(buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    buckets = stored(buckets.join(shared, "key"))
-    met = stored(buckets.groupBy("rep").agg(F.sum("n").alias("met")))
-    buckets = stored(buckets.join(met, "rep"))
+    # A class has one row per band at most, so that this window is small.
+    met = F.sum("n").over(Window.partitionBy("rep"))
+    buckets = released(buckets.join(shared, "key").select("rep", "key", met.alias("met")))
     candidates = buckets.select(F.col("rep").alias("id")).distinct()
     texts = released(rows.join(stored(candidates), "id", "left_semi").distinct())
     several = stored(classed.distinct().groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    edges = stored(classed.join(several, "id", "left_semi").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct())
-    tested = None
+    if several.isEmpty():
+        edges = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
+    else:
+        edges = stored(classed.join(several, "id", "left_semi").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct())
+    tested = found = None
     members = buckets.withColumn("component", F.col("rep"))
-    while True:
+    last = False
+    while not last:
         pivots = released(
             members.groupBy("key")
             .agg(
@@ -239,6 +244,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
                 )
             )
             small = few.where(F.col("size") * F.col("out") <= SPELLED).select("key")
+            # Where every bucket writes out its pairs, none is left untested after this round.
+            last = few.where(F.col("size") * F.col("out") > SPELLED).isEmpty()
             left = around.join(small, "key", "left_semi").where("component <> home").select("key", F.col("rep").alias("a"), F.col("component").alias("ca"))
             right = around.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"))
             star = star.unionByName(left.join(right, "key").where("ca <> cb").select("a", "b"))
@@ -248,10 +255,12 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         pairs = stored(pairs)
         if pairs.isEmpty():
             break
-        tested = pairs if tested is None else stored(tested.unionByName(pairs))
+        tested = pairs if tested is None else tested.unionByName(pairs)
         met_pairs = pairs.select(F.when(F.col("b") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("a"), "b")
-        edges = released(edges.unionByName(stored(verify(met_pairs, texts, idf, similarity))))
+        edges = edges.unionByName(released(verify(met_pairs, texts, idf, similarity)))
         found = components(edges)
+        if last:
+            break
         now = buckets.join(found, F.col("rep") == F.col("node"), "left")
         members = now.select("rep", "key", "met", F.coalesce("component", "rep").alias("component"))
         # A member that has been a pivot gives way to one that has not.
@@ -261,7 +270,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
                 "rep", "key", F.when(F.col("was").isNull(), F.col("met")).otherwise(-F.col("was")).alias("met"), "component"
             )
         )
-    found = components(edges) if tested is None else found
+    found = components(edges) if found is None else found
     named = classed.join(found, F.col("rep") == F.col("node"), "left")
     out = lambda c: F.when(c != LOWEST, c)
     return named.select(
