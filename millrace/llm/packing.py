@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -21,6 +22,8 @@ MERGED_PARTITIONS = 64
 _SPACE = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
 _UNITS = re.compile(f"[^{_SPACE}]+")
 _MARK = "\x01"
+_STOPS = ".,;:!?"
+_CONTROLS = "\x1c\x1d\x1e\x1f"
 
 
 class UnitEncoder:
@@ -41,38 +44,40 @@ class UnitEncoder:
         self.limit = limit
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+        self.stops = {stop: self._encode(stop).tobytes() for stop in _STOPS}
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     def learn(self, units: list[str]) -> None:
         """Keep the ids of new units; a word with a stop after it is made of the word's and the stop's."""
-        words, plain, split = self.words, set(), []
+        words, tokenize = self.words, self.model.tokenize
+        if len(words) + len(units) > 2 * self.limit:
+            words.clear()
+        whole = " ".join(units)
+        odd = [s for s in (_MARK, *self.special) if s in whole]
+        late = []
         for unit in units:
-            if _MARK in unit or any(s in unit for s in self.special):
+            if odd and any(s in unit for s in odd):
                 self.known[unit] = self._encode(unit).tobytes()
                 continue
             # The file lower-cases; for ASCII that is the same here.
-            low = unit.lower() if unit.isascii() else unit
-            if low[-1] in ".,;:!?" and low[:-1].isalpha():
-                parts = (low[:-1], low[-1])
-            else:
-                parts = (low, "")
-            split.append((unit, parts))
-            plain.update(p for p in parts if p and p not in words)
-        if len(words) + len(plain) > 2 * self.limit:
-            words.clear()
-            plain = {p for _, parts in split for p in parts if p}
-        self._learn_words(sorted(plain))
-        for unit, (word, stop) in split:
-            self.known[unit] = words[word] + words[stop] if stop else words[word]
+            word, stop = unit.lower() if unit.isascii() else unit, ""
+            if word[-1] in _STOPS and word[:-1].isalpha():
+                word, stop = word[:-1], word[-1]
+            ids = words.get(word)
+            if ids is None:
+                if not (word.isascii() and word.isalpha()):
+                    late.append((unit, word, stop))
+                    continue
+                # A word of ASCII letters is one unit of the file's model, which needs no other step for it.
+                ids = words[word] = array("I", [t.id for t in tokenize(word)]).tobytes()
+            self.known[unit] = ids + self.stops[stop] if stop else ids
+        self._learn_words(sorted({word for _, word, _ in late}))
+        for unit, word, stop in late:
+            self.known[unit] = words[word] + self.stops[stop] if stop else words[word]
 
     def _learn_words(self, plain: list[str]) -> None:
-        # A word of ASCII letters is one unit of the file's model, which needs no other step for it.
-        for word in plain:
-            if word.isascii() and word.isalpha():
-                self.words[word] = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(word)])
-        plain = [word for word in plain if not (word.isascii() and word.isalpha())]
         for at in range(0, len(plain), 4096):
             part = plain[at : at + 4096]
             ids = self._encode(f" {_MARK} ".join(part))
@@ -88,20 +93,21 @@ class UnitEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [_UNITS.findall(text) for text in texts]
+        # str.split() also splits at the four separator controls, which are no white space to the file.
+        split = [_UNITS.findall(text) if any(c in text for c in _CONTROLS) else text.split() for text in texts]
         out: list[bytes] = []
         at = 0
         while at < len(texts):
             new, last = set(), at
             while last < len(texts) and (last == at or len(new) < self.limit // 2):
-                new.update(u for u in split[last] if u not in self.known)
+                new |= set(split[last]).difference(self.known)
                 last += 1
             if len(self.known) + len(new) > self.limit:
                 self.known = {}
                 new = set().union(*split[at:last])
-            self.learn(sorted(new))
-            known = self.known
-            out += [b"".join([known[u] for u in units]) for units in split[at:last]]
+            self.learn(list(new))
+            known = self.known.__getitem__
+            out += [b"".join(map(known, units)) for units in split[at:last]]
             at = last
         return out
 
