@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +26,16 @@ class Gram:
     def take(self, index: list[int]) -> "Gram":
         return Gram(self.xx[np.ix_(index, index)], self.xy[index], self.yy, self.n)
 
-    def mean_squared_error(self, weights: np.ndarray) -> float:
+    def mean_squared_error(self, weights: np.ndarray) -> float | None:
+        """None without rows."""
+        if not self.n:
+            return None
         value = (self.yy - 2.0 * weights @ self.xy + weights @ self.xx @ weights) / self.n
         return max(0.0, float(value))
 
-    def rmse(self, weights: np.ndarray) -> float:
-        return self.mean_squared_error(weights) ** 0.5
+    def rmse(self, weights: np.ndarray) -> float | None:
+        error = self.mean_squared_error(weights)
+        return None if error is None else error**0.5
 
 
 def _gram_sums(columns: list[Column], target: Column) -> list[Column]:
@@ -43,6 +48,11 @@ def _gram_sums(columns: list[Column], target: Column) -> list[Column]:
     return [F.count(F.lit(1)).alias("n"), *sums]
 
 
+def _complete(columns: list[Column], target: Column) -> Column:
+    """Rows that have every value; the others stay out of all sums alike."""
+    return reduce(lambda a, b: a & b, [c.isNotNull() for c in (*columns, target)])
+
+
 def _read_gram(row, p: int) -> Gram:
     full = np.zeros((p + 1, p + 1))
     for i in range(p + 1):
@@ -53,7 +63,7 @@ def _read_gram(row, p: int) -> Gram:
 
 def gram(df: DataFrame, columns: list[Column], target: Column) -> Gram:
     """One generated-code aggregate over scalar columns."""
-    return _read_gram(df.agg(*_gram_sums(columns, target)).first(), len(columns))
+    return _read_gram(df.where(_complete(columns, target)).agg(*_gram_sums(columns, target)).first(), len(columns))
 
 
 def gram_by(df: DataFrame, keys: list[Column], columns: list[Column], target: Column) -> dict[tuple, Gram]:
@@ -64,8 +74,9 @@ def gram_by(df: DataFrame, keys: list[Column], columns: list[Column], target: Co
         *[c.cast("double").alias(f"_x{i}") for i, c in enumerate(columns)],
         target.cast("double").alias("_y"),
     )
-    sums = _gram_sums([F.col(f"_x{i}") for i in range(len(columns))], F.col("_y"))
-    rows = keyed.groupBy(*names).agg(*sums).collect()
+    xs = [F.col(f"_x{i}") for i in range(len(columns))]
+    sums = _gram_sums(xs, F.col("_y"))
+    rows = keyed.where(_complete(xs, F.col("_y"))).groupBy(*names).agg(*sums).collect()
     return {tuple(row[n] for n in names): _read_gram(row, len(columns)) for row in rows}
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from millrace.functions.columns import guarded_ln, guarded_ratio
 
@@ -85,8 +86,10 @@ def majority(label: Column) -> Column:
 def weighted_vote(df: DataFrame, query: str, label: str, weight: Column, name: str = "prediction") -> DataFrame:
     """Class with the largest weight sum per query, lowest class on ties."""
     votes = df.groupBy(query, label).agg(F.sum(weight).alias("_w"))
-    # Equal sums may differ in the last bits by summation order.
-    order = F.struct((-F.round("_w", 9)).alias("w"), F.col(label).alias("c"))
+    # Equal sums may differ in the last bits by summation order; a share of the query's total has no scale.
+    share = F.try_divide(F.col("_w"), F.sum("_w").over(Window.partitionBy(query)))
+    votes = votes.withColumn("_s", share)
+    order = F.struct((-F.round("_s", 9)).alias("w"), F.col(label).alias("c"))
     return votes.groupBy(query).agg(F.min_by(label, order).alias(name))
 
 

@@ -18,7 +18,14 @@ from millrace.operators.blocks import block_join
 from millrace.operators.linalg import matrix
 from millrace.operators.metrics import weighted_vote
 
-SLACK = 1e-9  # keeps rounding of computed distances from pruning a true neighbour
+SLACK = 1e-9  # relative; keeps rounding of computed distances from pruning a true neighbour
+
+
+def significant(d: np.ndarray, digits: int = 12) -> np.ndarray:
+    """Values at so many significant digits, so that equal distances tie whatever the summation order, at any scale."""
+    size = np.floor(np.log10(np.where(d > 0, d, 1.0)))
+    unit = 10.0 ** np.clip(digits - 1 - size, -300, 300)
+    return np.round(d * unit) / unit
 
 
 def distances(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
@@ -84,7 +91,7 @@ def _visits(pivots: np.ndarray, p: int, k: int, radius: np.ndarray, nearest: lis
             reach = d[:, flat_cell] + flat_gap
             kk = min(k, reach.shape[1])
             bound = np.partition(reach, kk - 1, axis=1)[:, kk - 1]
-            visit = (d - radius[None, :] <= bound[:, None] + SLACK) & (radius[None, :] >= 0)
+            visit = (d - radius[None, :] <= bound[:, None] + SLACK * (d + radius[None, :] + bound[:, None])) & (radius[None, :] >= 0)
             row, cell = np.nonzero(visit)
             take = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -129,11 +136,11 @@ def nearest(
         kk = min(k, d.shape[1])
         # Equal distances at the border are all kept here; the final rank picks the lowest keys.
         border = np.partition(d, kk - 1, axis=1)[:, kk - 1]
-        row, col = np.nonzero(d <= border[:, None] + SLACK)
+        row, col = np.nonzero(d <= border[:, None] * (1 + SLACK))
         return pa.table(
             {
                 "asker": pa.array(asker[row], pa.int64()),
-                "distance": pa.array(d[row, col], pa.float64()),
+                "distance": pa.array(significant(d[row, col]), pa.float64()),
                 "rep": pa.array(rep[col], pa.int64()),
                 "members": members.take(pa.array(col, pa.int64())),
             }
@@ -143,8 +150,7 @@ def nearest(
         visiting, held.select("x", "rep", "members", "cell"), "cell", "asker", "rep", best,
         "asker bigint, distance double, rep bigint, members array<bigint>",
     )
-    # Distances are compared at 9 decimals, so that equal distances tie whatever the summation order.
-    rows = found.select("asker", F.round("distance", 9).alias("distance"), F.explode("members").alias("neighbor"))
+    rows = found.select("asker", "distance", F.explode("members").alias("neighbor"))
     rank = Window.partitionBy("asker").orderBy("distance", "neighbor")
     top = rows.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
     # Give each query of a group of equal vectors the result of its asker.

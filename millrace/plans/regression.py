@@ -35,9 +35,12 @@ def metric_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
 
 
 def part_grams(df: DataFrame, columns: list[Column], target: Column, is_test: Column) -> tuple[Gram, Gram]:
-    """Train and test Grams, with a constant last column, from a single scan."""
+    """Train and test Grams, with a constant last column, from a single scan; a test part without rows has n = 0."""
     grams = gram_by(df, [is_test], [*columns, F.lit(1.0)], target)
-    return grams[(False,)], grams[(True,)]
+    if (False,) not in grams:
+        raise ValueError("no complete train row")
+    size = len(columns) + 1
+    return grams[(False,)], grams.get((True,), Gram(np.zeros((size, size)), np.zeros(size), 0.0, 0))
 
 
 def solve_normal(g: Gram) -> np.ndarray:

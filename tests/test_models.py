@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators import blocks, cosine
 from millrace.operators import neighbors as NB
-from millrace.operators.linalg import FAN_IN, gram_wide, sum_vectors
+from millrace.operators.linalg import FAN_IN, gram, gram_wide, sum_vectors
+from millrace.operators.metrics import weighted_vote
 from millrace.operators.sampling import with_split
 from millrace.plans import classification as C
 from millrace.plans import correlation
@@ -415,3 +416,28 @@ def test_feature_tables_by_schema(spark, tmp_path):
 def test_long_votes_take_the_lowest_class_on_ties(spark):
     votes = spark.createDataFrame([(1, 2), (1, 0), (2, 1), (2, 1), (2, 0)], "key INT, label INT")
     assert {r["key"]: r.prediction for r in svm.vote_table(votes, "key", "label").collect()} == {1: 0, 2: 1}
+
+
+def test_close_and_far_points_keep_their_order(spark):
+    def found(scale):
+        train = spark.createDataFrame([(1, [0.0]), (2, [3.0 * scale])], "key bigint, x array<double>")
+        asked = spark.createDataFrame([(9, [3.0 * scale])], "key bigint, x array<double>")
+        return NB.nearest(train, asked, "key", "x", 1).first()["neighbor"]
+
+    assert [found(scale) for scale in (1e-10, 1.0, 1e10)] == [2, 2, 2]
+
+
+def test_votes_have_no_scale(spark):
+    votes = spark.createDataFrame([(1, 1, 1e-10), (1, 0, 3e-11), (2, 4, 0.5), (2, 3, 0.5), (3, 7, 0.0), (3, 6, 0.0)], "q int, c int, w double")
+    assert {r["q"]: r["prediction"] for r in weighted_vote(votes, "q", "c", F.col("w")).collect()} == {1: 1, 2: 3, 3: 6}
+
+
+def test_gram_leaves_out_rows_with_nulls(spark):
+    rows = spark.createDataFrame([(1.0, 1.0, False), (None, 5.0, False), (2.0, 2.0, False)], "x double, y double, is_test boolean")
+    found = gram(rows, [F.col("x")], F.col("y"))
+    assert (found.n, found.xx[0, 0], found.yy) == (2, 5.0, 5.0)
+    model, error = R.normal_equations(rows, ["x"], "y")
+    assert error is None and np.allclose(model.weights, [1.0, 0.0])
+    assert R.ridge_sweep(rows, [F.col("x")], F.col("y"), F.col("is_test"), [0.1]).first()["rmse"] is None
+    with pytest.raises(ValueError):
+        R.normal_equations(rows.limit(0), ["x"], "y")
