@@ -94,11 +94,6 @@ def batch_number(seed, epoch: int, batches: int, *keys: Column) -> Column:
     return hash_bucket(f"{seed}-{epoch}", batches, *keys)
 
 
-def shuffled(df: DataFrame, seed, *keys: Column) -> DataFrame:
-    """All rows in a seeded order."""
-    return df.orderBy(digest(seed, *keys))
-
-
 def pick_rows(df: DataFrame, ids: DataFrame | list, key: str) -> DataFrame:
     """Rows whose key is listed."""
     if isinstance(ids, DataFrame):

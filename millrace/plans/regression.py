@@ -48,15 +48,18 @@ def solve_normal(g: Gram) -> np.ndarray:
     return np.linalg.lstsq(g.xx, g.xy, rcond=None)[0] if np.linalg.matrix_rank(g.xx) < len(g.xy) else np.linalg.solve(g.xx, g.xy)
 
 
-def normal_equations(df: DataFrame, columns: list[str], target: str, is_test: str = "is_test") -> tuple[LinearModel, float]:
-    """Least squares with bias; returns the model and its test RMSE."""
-    cols = [F.col(c) for c in columns]
-    train, test = part_grams(df, cols, F.col(target), F.col(is_test))
-    # Scaling columns to unit root mean square keeps the solve well conditioned.
+def normal_weights(train: Gram) -> np.ndarray:
+    """The solution after scaling columns to unit root mean square, which keeps the solve well conditioned."""
     scale = np.sqrt(np.diag(train.xx) / train.n)
     scale[scale == 0] = 1.0
     scaled = Gram(train.xx / np.outer(scale, scale), train.xy / scale, train.yy, train.n)
-    weights = solve_normal(scaled) / scale
+    return solve_normal(scaled) / scale
+
+
+def normal_equations(df: DataFrame, columns: list[str], target: str, is_test: str = "is_test") -> tuple[LinearModel, float]:
+    """Least squares with bias; returns the model and its test RMSE."""
+    train, test = part_grams(df, [F.col(c) for c in columns], F.col(target), F.col(is_test))
+    weights = normal_weights(train)
     return LinearModel(columns, list(weights)), test.rmse(weights)
 
 

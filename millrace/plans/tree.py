@@ -106,22 +106,23 @@ def best_splits(candidates: DataFrame) -> DataFrame:
     return candidates.groupBy("node_id").agg(F.min_by(value, order).alias("s")).select("node_id", "s.*")
 
 
+def value_ranges(rows: DataFrame, columns: list[str]) -> list:
+    """Ranges over all features' values together; they only bound how much one task sorts."""
+    values = F.explode(F.array(*[F.col(c).cast("double") for c in columns]))
+    return range_edges(rows.select(values.alias("v")).distinct(), F.col("v"))
+
+
 class TreeBuilder:
     """Grows a tree; only per-node split choices reach the driver."""
 
     def __init__(self, df: DataFrame, columns: list[str], label: str, classes: int, criterion: str):
         self.columns, self.label, self.classes, self.criterion = columns, label, classes, criterion
         doubles = [F.col(c).cast("double").alias(c) for c in columns]
-        self.rows = df.select(*doubles, F.col(label).cast("int").alias(label))
-        self.edges = self._edges()
+        self.rows = df.select(*doubles, F.col(label).cast("int").alias(label)).persist()
+        self.edges = value_ranges(self.rows, columns)
         self.tree = Tree(columns)
         self.stored = False
 
-    def _edges(self) -> list:
-        """Ranges over all features' values together; they only bound how much one task sorts."""
-        values = F.explode(F.array(*[F.col(c) for c in self.columns]))
-        return range_edges(self.rows.select(values.alias("v")).distinct(), F.col("v"))
-
     def _routed(self, open_ids: list[int]) -> DataFrame:
         """Rows of the open nodes with their node id."""
         if self.stored:
@@ -207,7 +208,7 @@ def fit_tree(
     has two distinct values in some column.
     """
     builder = TreeBuilder(df, columns, label, classes, criterion)
-    kept = builder.rows = builder.rows.persist()
+    kept = builder.rows
     try:
         root = builder.root()
 
@@ -243,7 +244,3 @@ def fit_tree(
     finally:
         kept.unpersist()
     return builder.tree
-
-
-def predict_nodes(tree: Tree, df: DataFrame, label: str, name: str = "prediction") -> DataFrame:
-    return tree.transform(df, name).withColumn("hit", (F.col(name) == F.col(label)).cast("double"))

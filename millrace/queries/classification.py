@@ -443,7 +443,7 @@ def tree_candidates(spark, folder):
     rows = _tree_rows(spark, folder).where("NOT is_test").withColumn("node_id", F.lit(0))
     counts = tree.value_counts(rows, TREE_COLUMNS, "y", 3)
     totals = rows.groupBy("node_id").agg(*[F.sum((F.col("y") == k).cast("bigint")).alias(f"t{k}") for k in range(3)])
-    found = tree.candidate_splits(counts, totals, 3, "entropy", [])
+    found = tree.candidate_splits(counts, totals, 3, "entropy", tree.value_ranges(rows, TREE_COLUMNS))
     return found.select("feature", F.round("cut", 6).alias("cut"), F.round("gain", 4).alias("gain"))
 
 

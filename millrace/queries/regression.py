@@ -56,9 +56,10 @@ _NORMAL = f"""WITH {_PART},
 def regression_normal_eq(spark, folder):
     """One scan gives the train and test Grams, the weights and the held-out error."""
     rows = _parted(spark, folder)
-    _, test_rmse = R.normal_equations(rows, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
-    tests = rows.where("is_test").agg(F.count(F.lit(1)).alias("n"))
-    return tests.select(F.round(F.lit(test_rmse), 3).alias("rmse"), "n")
+    columns = [F.col(c) for c in ("l_quantity", "l_discount", "l_tax")]
+    train, test = R.part_grams(rows, columns, F.col("l_extendedprice"), F.col("is_test"))
+    found = R.metric_table(spark, [(test.rmse(R.normal_weights(train)), test.n)], "rmse double, n bigint")
+    return found.select(F.round("rmse", 3).alias("rmse"), "n")
 
 
 @registry.add(

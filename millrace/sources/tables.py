@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 # Input schemas, as Spark DDL.
 FEATURES = "id BIGINT, features ARRAY<DOUBLE>, target DOUBLE"
 CLASSES = "id BIGINT, features ARRAY<DOUBLE>, target INT"
-EDITS = "id BIGINT, gold_edits INT, predicted_edits INT, predicted_correct INT, human_rating INT"
-RENTAL = (
-    "id BIGINT, season INT, year INT, month INT, hour INT, holiday INT, day_of_week INT, working_day INT, weather INT, "
-    "temperature DOUBLE, feeling_temperature DOUBLE, humidity DOUBLE, windspeed DOUBLE, rentals DOUBLE"
-)
 
 
 def table(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
@@ -23,16 +18,6 @@ def table(spark: SparkSession, folder: str, name: str, schema: str | None = None
     return reader.parquet(os.path.join(folder, f"{name}.parquet"))
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal rows out by key when the input has fewer files than the session has cores.
-
-    Row-heavy work on a handful of files would otherwise run in a handful of tasks. Large inputs have
-    more files than cores and stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
-
-
 def feature_table(spark: SparkSession, path: str, classes: bool = False, labelled: bool = True) -> DataFrame:
     schema = CLASSES if classes else FEATURES
     if not labelled:
@@ -45,11 +30,6 @@ def lowest_classes(df: DataFrame, label: str, n_class: int) -> DataFrame:
     return df.where(F.col(label) < n_class)
 
 
-def flattened(image: Column) -> Column:
-    """A nested image as one array of doubles."""
-    return F.flatten(image).cast("array<double>")
-
-
 def labelled_documents(docs: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     return docs.join(labels, key)
 
