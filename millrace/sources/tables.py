@@ -18,6 +18,16 @@ def table(spark: SparkSession, folder: str, name: str, schema: str | None = None
     return reader.parquet(os.path.join(folder, f"{name}.parquet"))
 
 
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Deal the rows of a plain scan out by key if it has fewer file splits than the session has cores.
+
+    What moves is bounded: fewer splits than cores are at most cores times spark.sql.files.maxPartitionBytes.
+    A larger table, in however few files, has more splits and is read as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def feature_table(spark: SparkSession, path: str, classes: bool = False, labelled: bool = True) -> DataFrame:
     schema = CLASSES if classes else FEATURES
     if not labelled:
