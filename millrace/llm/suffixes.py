@@ -3,7 +3,8 @@
 The order of suffixes is only needed where a string can repeat at all. Every window of `window` bytes names its
 anchor, the position of the least hash of ANCHOR bytes in it; equal windows name equal anchors, so suffixes are
 dealt to tasks by the anchor's bytes, and an anchor that occurs once rules out all its windows. The windows of
-one anchor with equal surroundings are equal strings, of which one is sorted for all. What is left is sorted by
+one anchor with equal surroundings are equal strings, of which one is sorted for all. Where an anchor has very many
+surroundings, its windows are counted by their hash instead, so that no sort grows with them. What is left is sorted by
 difference cover: triples at positions 1 and 2 modulo 3 get names, names of names follow until they span the
 window, the positions 0 modulo 3 are merged in, and neighbours are compared.
 """
@@ -11,17 +12,18 @@ window, the positions 0 modulo 3 are merged in, and neighbours are compared.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import LOWEST, id_of, map_batches, released, stored, text_of
+from millrace.llm.common import LOWEST, id_of, map_batches, released, sent_if_small, stored, text_of
 from millrace.llm.textnum import _powers, mix
 
 WINDOW, ANCHOR = 100, 40
-#: Bytes sorted at once by a task, and the surroundings of one anchor that stay together.
+#: Bytes sorted at once by a task, and the most surroundings of one anchor that are sorted.
 SORT_BYTES, TOGETHER = 400_000, 1024
 _LOW = np.uint64((1 << 24) - 1)
 
@@ -94,10 +96,14 @@ def anchor_rows(rows: DataFrame, window: int) -> DataFrame:
 
 
 def _names(parts: list[np.ndarray]) -> np.ndarray:
-    """Ranks of tuples of ranks below 2**21."""
+    """Ranks of tuples of ranks below 2**32, packed at once where they fit into 64 bits, else part by part."""
+    bits = max(int(part.max(initial=0)).bit_length() for part in parts)
+    whole = bits * len(parts) <= 64
     key = parts[0].astype(np.uint64)
     for part in parts[1:]:
-        key = (key << np.uint64(21)) | part.astype(np.uint64)
+        key = (key << np.uint64(bits if whole else 32)) | part.astype(np.uint64)
+        if not whole:
+            key = np.unique(key, return_inverse=True)[1].astype(np.uint64)
     return np.unique(key, return_inverse=True)[1].astype(np.int64)
 
 
@@ -175,50 +181,64 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _cut_fragments(dealt: DataFrame, window: int) -> DataFrame:
-    """Bytes of the fragments of rows (id, tie, text, marks of (h, lo, n, groups)), with the group to sort them in."""
+    """Bytes of the fragments of rows (id, tie, text, marks of (h, lo, n)), with the anchor to sort them under."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        out = {k: [] for k in ("h", "salt", "id", "tie", "lo", "part")}
+        out = {k: [] for k in ("h", "id", "tie", "lo", "part")}
         for doc, tie, text, marks in zip(*(batch.column(i).to_pylist() for i in range(4))):
             data = text.encode("utf-8", "surrogatepass")
             for mark in marks:
                 lo, n = mark["lo"], mark["n"]
-                if mark["groups"] <= 1:
-                    pieces = [(lo, data[lo : lo + n - 1 + window], 0)]
-                else:
-                    # Very many surroundings of one anchor: single windows, dealt by their own bytes.
-                    pieces = [(at, data[at : at + window], 0) for at in range(lo, lo + n)]
-                    pieces = [(at, b, int.from_bytes(b[:8], "little") ^ hash_bytes(b)) for at, b, _ in pieces]
-                    pieces = [(at, b, salt % mark["groups"]) for at, b, salt in pieces]
-                for at, part, salt in pieces:
-                    for key, value in zip(out, (mark["h"], salt, doc, tie, at, part)):
-                        out[key].append(value)
+                for key, value in zip(out, (mark["h"], doc, tie, lo, data[lo : lo + n - 1 + window])):
+                    out[key].append(value)
         return pa.RecordBatch.from_pydict(out, schema=_FRAGMENTS) if out["h"] else None
 
-    return map_batches(dealt, run, "h bigint, salt bigint, id bigint, tie bigint, lo bigint, part binary")
+    return map_batches(dealt, run, "h bigint, id bigint, tie bigint, lo bigint, part binary")
+
+
+_FRAGMENTS = pa.schema([("h", pa.int64()), ("id", pa.int64()), ("tie", pa.int64()), ("lo", pa.int64()), ("part", pa.binary())])
+
 
+def _hash_windows(dealt: DataFrame, window: int) -> DataFrame:
+    """(h, u, v, id, tie, at) of every window of rows (id, tie, text, marks of (h, lo, n)): its anchor, 128 bits of hash, its place."""
 
-_FRAGMENTS = pa.schema(
-    [("h", pa.int64()), ("salt", pa.int64()), ("id", pa.int64()), ("tie", pa.int64()), ("lo", pa.int64()), ("part", pa.binary())]
-)
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        h, digests, ids, ties, places = [], [], [], [], []
+        for doc, tie, text, marks in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            data = text.encode("utf-8", "surrogatepass")
+            for mark in marks:
+                for at in range(mark["lo"], mark["lo"] + mark["n"]):
+                    digests.append(blake2b(data[at : at + window], digest_size=16).digest())
+                    places.append(at)
+                for column, value in zip((h, ids, ties), (mark["h"], doc, tie)):
+                    column += [value] * mark["n"]
+        u, v = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2).T
+        columns = [pa.array(c, pa.int64()) for c in (h, u, v, ids, ties, places)]
+        return pa.RecordBatch.from_arrays(columns, names=["h", "u", "v", "id", "tie", "at"])
 
+    return map_batches(dealt, run, "h bigint, u bigint, v bigint, id bigint, tie bigint, at bigint")
 
-def hash_bytes(data: bytes) -> int:
-    import zlib
 
-    return zlib.crc32(data)
+def _fold_windows(windows: DataFrame, window: int) -> DataFrame:
+    """(id, tie, start, end) of the windows that occur earlier: equal ones are folded, and all but the first of each go."""
+    windows = released(windows)
+    place = F.struct("id", "tie", "at")
+    firsts = windows.groupBy("h", "u", "v").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    firsts = stored(firsts.select("h", "u", "v", "first"))
+    late = windows.join(firsts, ["h", "u", "v"]).where("struct(id, tie, at) <> first")
+    return late.select("id", "tie", F.col("at").alias("start"), (F.col("at") + window).alias("end"))
 
 
 def _sort_fragments(fragments: DataFrame, window: int) -> DataFrame:
-    """(id, tie, start, end): runs of bytes of windows that occur earlier, among fragments dealt by (h, salt)."""
-    sorted_rows = fragments.repartition("h", "salt").sortWithinPartitions("h", "salt", "id", "tie", "lo")
+    """(id, tie, start, end): runs of bytes of windows that occur earlier, among fragments dealt by h."""
+    sorted_rows = fragments.repartition("h").sortWithinPartitions("h", "id", "tie", "lo")
 
     def solve(rows: list[tuple]) -> pa.RecordBatch | None:
-        rows = sorted(rows, key=lambda r: r[2:5])
+        rows = sorted(rows, key=lambda r: r[1:4])
         out = [[], [], [], []]
-        for row, late in zip(rows, repeats_among([r[5] for r in rows], window)):
+        for row, late in zip(rows, repeats_among([r[4] for r in rows], window)):
             for a, b in zip(*_runs(late)):
-                for column, value in zip(out, (row[2], row[3], row[4] + int(a), row[4] + int(b) - 1 + window)):
+                for column, value in zip(out, (row[1], row[2], row[3] + int(a), row[3] + int(b) - 1 + window)):
                     column.append(value)
         if not out[0]:
             return None
@@ -227,17 +247,17 @@ def _sort_fragments(fragments: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready, size, group, last = [], 0, [], None
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                if row[:2] != last:
-                    # A chunk is made of whole groups.
-                    ready, group, last = ready + group, [], row[:2]
+            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if row[0] != last:
+                    # A chunk is made of whole groups, each of at most TOGETHER fragments.
+                    ready, group, last = ready + group, [], row[0]
                     if size >= SORT_BYTES:
                         made = solve(ready)
                         if made is not None:
                             yield made
                         ready, size = [], 0
                 group.append(row)
-                size += len(row[5])
+                size += len(row[4])
         ready += group
         if ready:
             made = solve(ready)
@@ -247,8 +267,8 @@ def _sort_fragments(fragments: DataFrame, window: int) -> DataFrame:
     return sorted_rows.mapInArrow(run, "id bigint, tie bigint, start bigint, end bigint")
 
 
-def _compare_anchors(single: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
-    """What equal surroundings of anchors tell: (id, tie, spans) to remove, and (id, tie, marks) still to sort."""
+def _compare_anchors(single: DataFrame, window: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What equal surroundings of anchors tell: (id, tie, spans) to remove, and (id, tie, marks) still to sort and to fold."""
     anchors = anchor_rows(single, window)
     twice = released(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h"))
     shared = released(anchors.join(twice, "h"))
@@ -256,13 +276,13 @@ def _compare_anchors(single: DataFrame, window: int) -> tuple[DataFrame, DataFra
     classes = released(shared.groupBy("h", "g").agg(F.min(F.struct("id", "tie", "at")).alias("first"), F.count(F.lit(1)).alias("c")))
     lo, n = F.floor(F.col("at") / 4096).alias("lo"), F.pmod(F.col("at"), F.lit(4096)).alias("n")
     kinds = stored(classes.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
-    marks = classes.join(kinds, "h").select("first.*", "h", F.ceil(F.col("kinds") / TOGETHER).alias("groups"))
-    marks = marks.groupBy("id", "tie").agg(F.collect_list(F.struct("h", lo, n, "groups")).alias("marks"))
-    marks = released(marks)
+    both = classes.join(kinds, "h").select("first.*", "h", (F.col("kinds") > TOGETHER).alias("many"))
+    both = released(both.groupBy("id", "tie", "many").agg(F.collect_list(F.struct("h", lo, n)).alias("marks")))
+    marks, crowded = both.where(~F.col("many")).drop("many"), both.where("many").drop("many")
     later = shared.join(classes.where("c > 1").select("h", "g", "first"), ["h", "g"]).where("struct(id, tie, at) <> first")
     later = later.select("id", "tie", lo, n).select("id", "tie", F.col("lo").alias("start"), (F.col("lo") + F.col("n") - 1 + window).alias("end"))
     spans = stored(later.groupBy("id", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
-    return spans, marks
+    return spans, marks, crowded
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -275,16 +295,21 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     columns are passed over.
 
     Anchors travel as hashes; texts move twice, once for the strings left to sort and once for the result.
-    All joins have plain shuffles on both sides, so that adaptive execution splits a very common passage; an
-    anchor with very many surroundings is dealt by whole windows.
+    All joins have plain shuffles on both sides, so that adaptive execution splits a very common passage. The
+    windows of an anchor with more than TOGETHER surroundings are not sorted but folded by their hash.
     """
     rows = docs.select(id_of().alias("id"), text_of().alias("text"))
     repeated_ids = not rows.groupBy("id").count().where("count > 1").isEmpty()
     rows = rows.withColumn("tie", F.xxhash64("text") if repeated_ids else F.lit(0).cast("bigint")).select("id", "tie", "text")
     single = rows.distinct() if repeated_ids else rows
-    spans, marks = _compare_anchors(single, window)
+    spans, marks, crowded = _compare_anchors(single, window)
     fragments = _cut_fragments(single.join(marks, ["id", "tie"]).select("id", "tie", "text", "marks"), window)
-    found = _sort_fragments(fragments, window).groupBy("id", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    late = _sort_fragments(fragments, window)
+    if not crowded.isEmpty():
+        crowded = sent_if_small(crowded, F.size("marks") * 24 + 32)
+        windows = _hash_windows(single.join(crowded, ["id", "tie"]).select("id", "tie", "text", "marks"), window)
+        late = late.unionByName(_fold_windows(windows, window))
+    found = late.groupBy("id", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     both = released(spans.unionByName(found).groupBy("id", "tie").agg(F.flatten(F.collect_list("spans")).alias("spans")))
     dealt = rows.join(both, ["id", "tie"], "left").select("id", "text", "spans")
 

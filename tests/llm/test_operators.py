@@ -59,6 +59,23 @@ def test_difference_cover_order():
     assert sorted(order.tolist()) == wanted.tolist() and parts == sorted(parts)
 
 
+def test_names_of_wide_ranks():
+    parts = [np.array([0, 1, 0, 1]), np.array([1 << 21, 0, 1 << 21, 0]), np.array([5, 5, 6, 5])]
+    assert suffixes._names(parts).tolist() == [0, 2, 1, 2]
+
+
+def test_suffix_dedup_passage_in_thousands(spark):
+    rng = random.Random(11)
+    passage = words(rng, 24)
+    rows = [(i, f"{words(rng, 12)} {passage} {words(rng, 12)}") for i in range(2500)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    _, marks, crowded = suffixes._compare_anchors(table.selectExpr("doc_id id", "0L tie", "text"), 100)
+    sizes = marks.select(F.explode("marks").alias("m")).groupBy("m.h").count()
+    assert not crowded.isEmpty() and sizes.where(F.col("count") > suffixes.TOGETHER).isEmpty()
+    found = suffixes.query(table).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert plain(map(tuple, found)) == plain(brute.removal_rows(rows, 100))
+
+
 def test_line_dedup(docs):
     found = lines.drop_repeated_lines(docs, 5, 20).select("doc_id", "n_lines", "n_dropped", "text").collect()
     assert plain(map(tuple, found)) == plain(brute.thinned_lines([(r[0], r[1]) for r in corpus()], 5, 20))
