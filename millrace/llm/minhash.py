@@ -122,11 +122,11 @@ def band_keys(kinds: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 def sketch(rows: DataFrame, idf: np.ndarray) -> DataFrame:
-    """(id, h, g, bands) of rows (id, text): hashes of the word sequence and the band keys, none without words."""
+    """(id, mark, h, g, bands) of rows (id, mark, text): hashes of the word sequence and the band keys, none without words."""
     sent = rows.sparkSession.sparkContext.broadcast(idf)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(1).to_pylist()
+        texts = batch.column(2).to_pylist()
         h, g, bands = [], [], []
         for a, b in chunks(texts):
             words, counts = words_of(texts[a:b])
@@ -135,11 +135,12 @@ def sketch(rows: DataFrame, idf: np.ndarray) -> DataFrame:
                 h.append(int(mix(one + place * np.uint64(0x9E3779B97F4A7C15)).sum().astype(np.int64)))
                 g.append(int((mix(one, 3) * (place * np.uint64(2) + np.uint64(1))).sum().astype(np.int64)))
                 bands.append(band_keys(*weigh(one, sent.value)).tolist() if len(one) else [])
-        return pa.RecordBatch.from_pydict(
-            {"id": batch.column(0), "h": pa.array(h, pa.int64()), "g": pa.array(g, pa.int64()), "bands": pa.array(bands, pa.list_(pa.int64()))}
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(h, pa.int64()), pa.array(g, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
+            names=["id", "mark", "h", "g", "bands"],
         )
 
-    return map_batches(rows, run, "id bigint, h bigint, g bigint, bands array<bigint>")
+    return map_batches(rows, run, "id bigint, mark bigint, h bigint, g bigint, bands array<bigint>")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
@@ -184,41 +185,32 @@ def verify(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, least: float) ->
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, class_id, component_id) of every row of docs.
+def _linked(docs: DataFrame, similarity: float) -> DataFrame:
+    """(id, mark, node, class_id, component_id, kept) of every row of docs, with ids of id_of() and a hash of the text.
 
-    class_id is the smallest doc_id with the same word sequence, component_id the smallest one reachable over
-    links between texts of weighted Jaccard similarity >= `similarity`. A shingle is five words (a shorter
-    text is one shingle); its weight is its count times the mean IDF of its words, over all rows. Null and
-    empty texts, and texts without a word, are linked with nothing. Rows of one doc_id are one document,
-    linked where any of its texts is; null ids are one document below all others, and come back as null.
-    Other columns are passed over.
-
-    Equal texts are folded first. In a bucket of equal band keys every member is compared with a pivot, the
-    member that meets most others over all its buckets. Buckets that still hold several components go on: a
-    small one writes out its pairs across components, a large one compares all with another pivot, until no
-    untested pair across components is left. Nothing of a document but its numbers passes the driver.
+    Rows with the same word sequence share a node of 0 or above; a row without a word has a negative node of
+    its own. kept: the row's id and word sequence are the smallest of its component.
     """
-    rows = docs.select(id_of().alias("id"), text_of().alias("text"))
+    rows = docs.select(id_of().alias("id"), text_of().alias("text")).select("id", F.xxhash64("text").alias("mark"), "text")
     idf = word_weights(rows.select("text"))
     sketches = released(sketch(rows, idf))
-    classes = stored(
-        sketches.where(F.size("bands") > 0).groupBy("h", "g").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
-    )
-    classed = sketches.select("id", "h", "g").join(classes.select("h", "g", "rep"), ["h", "g"], "left")
-    classed = stored(classed.select("id", F.coalesce("rep", "id").alias("rep")))
+    classes = sketches.where(F.size("bands") > 0).groupBy("h", "g")
+    classes = classes.agg(F.min(F.struct("id", "mark")).alias("first"), F.first("bands").alias("bands"))
+    # Written down at once, so that the numbers stay.
+    classes = stored(classes.select("h", "g", "first", "bands", F.monotonically_increasing_id().alias("rep")))
+    classed = sketches.select("id", "mark", "h", "g").join(classes.select("h", "g", "rep"), ["h", "g"], "left")
+    classed = stored(classed.select("id", "mark", F.coalesce("rep", -1 - F.monotonically_increasing_id()).alias("node")))
+    del sketches
     buckets = classes.select("rep", F.explode("bands").alias("key")).distinct()
     shared = stored(buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     # A class has one row per band at most, so that this window is small.
     met = F.sum("n").over(Window.partitionBy("rep"))
     buckets = released(buckets.join(shared, "key").select("rep", "key", met.alias("met")))
-    candidates = buckets.select(F.col("rep").alias("id")).distinct()
-    texts = released(rows.join(stored(candidates), "id", "left_semi").distinct())
-    several = stored(classed.distinct().groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    if several.isEmpty():
-        edges = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
-    else:
-        edges = stored(classed.join(several, "id", "left_semi").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct())
+    candidates = stored(classes.join(buckets.select("rep").distinct(), "rep", "left_semi").select("first.id", "first.mark", "rep"))
+    texts = released(rows.join(candidates, ["id", "mark"]).select(F.col("rep").alias("id"), "text").distinct())
+    names = stored(classes.select("rep", F.struct(F.col("first.id").alias("id"), "h", "g", "rep").alias("name")))
+    del classes
+    edges = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
     tested = found = None
     members = buckets.withColumn("component", F.col("rep"))
     last = False
@@ -271,29 +263,66 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
             )
         )
     found = components(edges) if found is None else found
-    named = classed.join(found, F.col("rep") == F.col("node"), "left")
-    out = lambda c: F.when(c != LOWEST, c)
-    return named.select(
-        out(F.col("id")).alias("doc_id"), out(F.col("rep")).alias("class_id"), out(F.coalesce("component", "rep")).alias("component_id")
+    # A component goes by its smallest (id, word sequence), whatever the numbers of its nodes.
+    found = stored(names.join(found.withColumnRenamed("node", "rep"), "rep"))
+    tops = stored(found.groupBy("component").agg(F.min("name").alias("top")))
+    found = stored(found.join(tops, "component").select("rep", "top"))
+    named = names.join(found, "rep", "left").select(
+        F.col("rep").alias("node"), F.col("name.id").alias("class_id"), F.coalesce("top", "name").alias("top")
     )
+    whole = classed.join(stored(named), "node", "left")
+    return whole.select(
+        "id",
+        "mark",
+        "node",
+        F.coalesce("class_id", "id").alias("class_id"),
+        F.coalesce("top.id", "id").alias("component_id"),
+        (F.col("top").isNull() | (F.col("top.id") == F.col("id")) & (F.col("top.rep") == F.col("node"))).alias("kept"),
+    )
+
+
+def _numbered(linked: DataFrame, *others: str) -> DataFrame:
+    out = lambda c: F.when(F.col(c) != LOWEST, F.col(c))
+    return linked.select(out("id").alias("doc_id"), out("class_id").alias("class_id"), out("component_id").alias("component_id"), *others)
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, class_id, component_id) of every row of docs.
+
+    class_id is the smallest doc_id with the same word sequence, component_id the smallest one reachable over
+    links between texts of weighted Jaccard similarity >= `similarity`. A shingle is five words (a shorter
+    text is one shingle); its weight is its count times the mean IDF of its words, over all rows. Null and
+    empty texts, and texts without a word, are linked with nothing. Only texts link rows: rows of one doc_id,
+    or of no doc_id, with other words are other documents. A null id comes before all others, and comes back
+    as null. Other columns are passed over.
+
+    Equal texts are folded first. In a bucket of equal band keys every member is compared with a pivot, the
+    member that meets most others over all its buckets. Buckets that still hold several components go on: a
+    small one writes out its pairs across components, a large one compares all with another pivot, until no
+    untested pair across components is left. Nothing of a document but its numbers passes the driver.
+    """
+    return _numbered(_linked(docs, similarity))
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of docs without near duplicates: of each component the row of its smallest doc_id stays.
+    """The rows of docs without near duplicates: of each component a row of its smallest doc_id and word sequence stays.
 
-    Rows of one doc_id that are all of the smallest id stay once: the one with the least text.
+    Several rows of that doc_id and word sequence are one document, of which one row stays. Rows without a word all stay.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), similarity)
-    kept = stored(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(id_of().alias("_id")).distinct())
+    linked = _linked(docs.select("doc_id", "text"), similarity).where("kept")
+    kept = linked.groupBy("id", "node").agg(F.min("mark").alias("_mark"))
+    kept = stored(kept.select(F.col("id").alias("_id"), "_mark", (F.col("node") >= 0).alias("_once")).distinct())
     names = docs.columns
-    rows = docs.withColumn("_id", id_of()).join(kept, "_id", "left_semi")
-    repeated = stored(rows.groupBy("_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_id"))
-    once = rows.join(repeated, "_id", "left_anti")
-    packed = rows.join(repeated, "_id", "left_semi").select("_id", F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), text_of().alias("_t"))
-    least = packed.groupBy("_id").agg(F.min_by("row", "_t").alias("row"))
-    return once.select(*names).unionByName(least.select(*[F.col("row")[c].alias(c) for c in names]))
+    rows = docs.withColumn("_id", id_of()).withColumn("_mark", F.xxhash64(text_of()))
+    key = ["_id", "_mark"]
+    once = kept.where("_once").select(*key)
+    repeated = rows.select(*key).join(once, key, "left_semi")
+    repeated = stored(repeated.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key))
+    single = rows.join(kept.select(*key), key, "left_semi").join(repeated, key, "left_anti")
+    packed = rows.join(repeated, key, "left_semi").select(*key, F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), text_of().alias("_t"))
+    least = packed.groupBy(*key).agg(F.min_by("row", "_t").alias("row"))
+    return single.select(*[F.col(f"`{c}`") for c in names]).unionByName(least.select(*[F.col("row")[c].alias(c) for c in names]))
 
 
 def query(documents: DataFrame) -> DataFrame:
-    found = near_duplicates(documents)
-    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return _numbered(_linked(documents, SIMILARITY), "kept")

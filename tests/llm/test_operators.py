@@ -96,6 +96,21 @@ def test_near_duplicates(docs):
     assert kept.where("doc_id = 3").count() == 1
 
 
+def test_rows_without_id_are_documents_of_their_own(spark):
+    rng = random.Random(12)
+    texts = [words(rng, 60) for _ in range(6)]
+    near = lambda t: " ".join(t.split()[:-1] + ["changed"])
+    rows = [(None, t) for t in texts[:4]] + [(None, texts[0]), (None, None), (None, "..."), (5, texts[4]), (5, texts[5])]
+    rows += [(1, near(texts[1])), (2, near(texts[2])), (9, near(texts[4]))]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    kept = sorted(map(repr, minhash.keep_one(table).collect()))
+    stay = [(None, t) for t in texts[:4]] + [(None, None), (None, "..."), (5, texts[4]), (5, texts[5])]
+    assert kept == sorted(map(repr, spark.createDataFrame(stay, table.schema).collect()))
+    found = {(r["doc_id"], r["component_id"]) for r in minhash.near_duplicates(table).collect()}
+    assert found == {(None, None), (1, None), (2, None), (5, 5), (9, 5)}
+    assert minhash.query(table).where("kept").count() == len(stay) + 1
+
+
 def test_near_duplicates_empty(docs):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
