@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from html import unescape
 from zlib import crc32
@@ -17,14 +18,25 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>|<[a-zA-Z!/][^<>]*\Z", re.S
 )
 _ATTRIBUTE = re.compile(r"(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_BLOCK = re.compile(r"<(?:/?(?:p|div|article|section|main|body|html|head|h[1-6]|ul|ol|table|header|footer|nav)\b)", re.I)
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike "
-    "strong sub sup time tt u var wbr".split()
+    "strong sub sup time tt u var wbr "
+    # formulas are read with the text they stand in
+    "math mi mo mn ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover munderover "
+    "mmultiscripts mprescripts mtable mtr mtd maction menclose semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea noscript iframe object template svg math title head".split()) - {"head"}
+RAW = frozenset("script style textarea noscript iframe object template svg title annotation annotation-xml".split())
+#: Of these, "/>" ends the element as in XML.
+CLOSABLE = frozenset("svg object iframe annotation annotation-xml".split())
+_CLOSED = re.compile(r"(?:^|[\s\"'])/\s*\Z")
 #: Elements that are never part of an article, and words in class, id or role that mark such parts.
 OUTSIDE = frozenset("nav footer aside form button select dialog menu head title fieldset figure-menu".split()) | RAW
+TALK = frozenset("comment comments reply replies respond disqus discussion".split())
+THREAD, HIDDEN = 2, 3
+#: Words that say what an element is without, has, or is next to, so that the mark after them does not name it.
+BESIDE = frozenset("no not non without hide hides hidden has have having with".split())
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar side menu nav navbar navigation "
     "breadcrumb breadcrumbs footer cookie cookies consent notice notices alert popup modal overlay newsletter subscribe subscription "
@@ -35,19 +47,25 @@ CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 SCOPES = frozenset("ul ol dl table body article section div main td nav".split())
+#: Raw elements whose content is never text.
+CODE = frozenset("script style".split())
 DEEPEST = 100
 #: A text is template if it fills its place in so many of the host's pages, and in so many at least.
 SHARE, LEAST_PAGES = 0.8, 5
+#: An element that holds so much of a page's varying text is a wrapper, whatever its name; these never are.
+WRAPS = 0.9
+NEVER = frozenset("nav footer button select dialog menu head title".split()) | RAW
 
 
 class Node:
     __slots__ = ("tag", "parent", "kids", "outside", "place")
 
-    def __init__(self, tag: str, parent: "Node | None", outside: bool):
+    def __init__(self, tag: str, parent: "Node | None", outside: int):
+        # outside: by its own tag or attributes, whatever it stands in; THREAD for comments
         self.tag, self.parent, self.kids, self.outside, self.place = tag, parent, [], outside, 0
 
 
-def _outside(tag: str, attributes: str, node: Node | None) -> bool:
+def _outside(tag: str, attributes: str, node: Node | None) -> int:
     if tag in OUTSIDE:
         return True
     if tag == "header":
@@ -59,13 +77,41 @@ def _outside(tag: str, attributes: str, node: Node | None) -> bool:
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return HIDDEN
         if name == "style":
             if re.search(r"display\s*:\s*none", value):
-                return True
-        elif not MARKS.isdisjoint(re.split(r"[^a-z]+", value)):
-            return True
-    return False
+                return HIDDEN
+        elif mark := max(map(_marked, value.split()), default=0):
+            return mark
+    return 0
+
+
+def _marked(token: str) -> int:
+    """A class, id or role that names a part outside the article; one like no-sidebar or has-comments does not."""
+    for word in re.split(r"[^a-z]+", token):
+        if word in BESIDE:
+            return 0
+        if word in MARKS:
+            return THREAD if word in TALK else 1
+    return 0
+
+
+def _raw_end(html: str, tag: str, at: int, ends: dict[str, list[tuple[int, int]]]) -> int:
+    """Where a raw element that begins before `at` ends: after its end tag, or at once if the page has none left."""
+    if tag not in ends:
+        found = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>?", re.I).finditer(html)
+        ends[tag] = [(m.start(), m.end()) for m in found]
+    later = bisect_left(ends[tag], (at, 0))
+    if later < len(ends[tag]):
+        start, end = ends[tag][later]
+        # As in browsers, a block of the page ends a drawing that has not been closed.
+        block = _BLOCK.search(html, at, start) if tag == "svg" else None
+        return block.start() if block and "<foreignobject" not in html[at : block.start()].lower() else end
+    if tag in CODE:
+        # Code is not text: it ends where markup of the page goes on, if it does.
+        again = _BLOCK.search(html, at)
+        return again.start() if again else len(html)
+    return at
 
 
 def parse(html: str) -> tuple[Node, list[tuple[Node, str]]]:
@@ -78,7 +124,7 @@ def parse(html: str) -> tuple[Node, list[tuple[Node, str]]]:
     depth = 0
     blocks: list[tuple[Node, str]] = []
     pieces: list[str] = []
-    raw = []  # inline elements that hide what they hold
+    ends: dict[str, list[tuple[int, int]]] = {}  # per raw element, where its end tags begin and end
 
     def flush() -> None:
         if pieces:
@@ -114,8 +160,9 @@ def parse(html: str) -> tuple[Node, list[tuple[Node, str]]]:
                 node, depth = up.parent, depth - steps - 1
             continue
         if tag in RAW:
-            end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>?", re.I).search(html, at)
-            at = end.end() if end else size
+            if tag in CLOSABLE and _CLOSED.search(match.group(3)):
+                continue
+            at = _raw_end(html, tag, at, ends)
             continue
         if tag in VOID or tag in ("html", "body") and node is not root:
             continue
@@ -131,7 +178,7 @@ def parse(html: str) -> tuple[Node, list[tuple[Node, str]]]:
             continue
         if depth >= DEEPEST:
             node, depth = node.parent, depth - 1
-        fresh = Node(tag, node, node.outside or _outside(tag, match.group(3), node))
+        fresh = Node(tag, node, _outside(tag, match.group(3), node))
         node.kids.append(fresh)
         node, depth = fresh, depth + 1
     flush()
@@ -208,12 +255,48 @@ def text_mark(text: str) -> int:
     return crc32(data) << 24 | len(data) & 0xFFFFFF
 
 
+def inside_blocks(blocks: list[tuple[Node, str]], template: list[bool]) -> list[int]:
+    """Blocks in no element that is outside.
+
+    An element that holds nearly all varying text of a page without any other article is a wrapper and not outside;
+    comments count as one only if nothing that varies is left without them.
+    """
+    held: dict[int, int] = {}
+    total, article = 0, False
+    for (node, text), fixed in zip(blocks, template):
+        if fixed:
+            continue
+        total += len(text)
+        within = marked = False
+        while node is not None:
+            if node.outside:
+                held[id(node)] = held.get(id(node), 0) + len(text)
+                marked = True
+            within = within or node.tag in ("article", "main")
+            node = node.parent
+        article = article or within and not marked
+
+    def out(node: Node | None, most: int) -> bool:
+        while node is not None:
+            wraps = node.outside <= most and node.tag not in NEVER and held.get(id(node), 0) >= WRAPS * total > 0
+            if node.outside and not wraps:
+                return True
+            node = node.parent
+        return False
+
+    for most in (0,) if article else (1, THREAD):
+        inside = [i for i, (node, _) in enumerate(blocks) if not out(node, most)]
+        if any(not template[i] for i in inside):
+            break
+    return inside
+
+
 def main_text(root: Node, blocks: list[tuple[Node, str]], template: list[bool]) -> str:
     """Blocks of the main slot: the largest article or main element, else the lowest element with most of the text that varies.
 
     Template blocks inside the slot go, unless they are most of it: then pages of the host repeat one article.
     """
-    inside = [i for i, (node, _) in enumerate(blocks) if not node.outside]
+    inside = inside_blocks(blocks, template)
     weigh: dict[int, int] = {}
     nodes: dict[int, Node] = {}
     total = 0
@@ -270,7 +353,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     Each page's tree is aligned with that of a reference page of its host, the one with the lowest hash. A text
     that fills its place in at least SHARE of the host's aligned pages, and in LEAST_PAGES at least, is template;
     the counts are over all pages. Varying slots outside navigation, headers, footers, asides, forms, adverts,
-    notices and comments (by element, class, id or role) are content. Null and empty html give an empty text; a
+    notices and comments (by element, class, id or role) are content, and so is what holds nearly all varying text
+    of a page whatever its name, as a form around the page. A class like no-sidebar or has-comments marks nothing. Null and empty html give an empty text; a
     null or odd url is a host of its own; repeated rows and ids stay as they are; other columns are passed over.
 
     What is counted per host is one row per place and text, added up before the shuffle; what a page is given is

@@ -260,6 +260,32 @@ def test_extraction(spark):
     assert found[3] == "T3\n\nOne&two bold 3\n\nSecond 3" and found[8] == "" and found[9] == "plain text"
 
 
+def text_of_page(html):
+    root, blocks = wrappers.parse(html)
+    return wrappers.main_text(root, blocks, [False] * len(blocks))
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<body><svg class=i/><article><p>Story one</p></article>", "Story one"),
+        ("<body><svg class=i><path/></svg><article><p>Story one</p></article>", "Story one"),
+        ("<body><object data=x/><article><p>Story one</p></article>", "Story one"),
+        ("<body><script>var a = 1;<article><p>Story one</p></article>", "Story one"),
+        ("<article><p>As <math><mi>x</mi><mo>=</mo><mn>1</mn></math> <math/> shows</p></article>", "As x=1 shows"),
+        ("<body><div class='content no-sidebar'><p>Story one</p></div><div class=sidebar><p>side</p></div>", "Story one"),
+        ("<body class=has-sidebar><div class='with-comments'><p>Story one</p></div><div id=comments><p>reply</p></div>", "Story one"),
+        ("<body><form id=aspnetForm><div><p>Story one is a long line of its own</p></div><nav>Home</nav></form>", "Story one is a long line of its own"),
+        ("<body><div><p>Short</p></div><div class=comments><p>A reply that is much longer than the story was, by far</p></div>", "Short"),
+        ("<body><svg><path><p>Story one</p><svg></svg>", "Story one"),
+        ("<body><div hidden><p>A hidden line that is all there is</p></div>", ""),
+        ("<body><div><p>Story one is a long line of its own</p></div><form><p>mail</p></form>", "Story one is a long line of its own"),
+    ],
+)
+def test_article_text_stays(html, text):
+    assert text_of_page(html) == text
+
+
 def test_template_text_goes(spark):
     page = "<body><div><p>Read our house rules before you write</p><p>Story number {0} {0} {0}, told in a long line of its own</p></div>"
     rows = [(i, "http://h/x", page.format(i * 37)) for i in range(9)]
