@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import lines, minhash, mixing, packing, quality, spots, suffixes, tokens, vectors, wrappers
+from millrace.llm import lines, minhash, mixing, packing, phrases, quality, spots, suffixes, tokens, transducer, vectors, whitening, wrappers
 
 
 def _on(operator: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -28,5 +28,8 @@ QUERIES = {
     "op8_line_dedup": _on(lines.query, "documents"),
     "op9_token_counts": _on(tokens.query, "documents"),
     "op10_quality": _on(quality.query, "documents", "labels"),
+    "op11_whitening": _on(whitening.query, "embeddings"),
+    "op12_bpe_transducer": _on(transducer.query, "documents"),
+    "op13_phrase_collocations": _on(phrases.query, "documents"),
 }
-SQL = {"op8_line_dedup": lines.QUERY_SQL}
+SQL = {"op8_line_dedup": lines.QUERY_SQL, "op13_phrase_collocations": phrases.QUERY_SQL}
