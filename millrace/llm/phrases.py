@@ -24,9 +24,10 @@ ROUTED, HEAVY = 1 << 20, 1 << 15
 #: Bits of a filter of frequent phrases: fixed, so that what is sent to tasks does not grow.
 FILTER_BITS, HEAVY_BITS = 1 << 24, 1 << 20
 
-_TOKENS = re.compile(r"[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r][ \t.,;:!?\n-\r]*")
-_BREAKS = frozenset(".,;:!?\n\x0b\x0c\r")
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: Words and ends of pieces in UTF-8: all separators are single bytes that occur nowhere else.
+_TOKENS = re.compile(rb"[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r][ \t.,;:!?\n-\r]*")
+_BREAKS = frozenset(b".,;:!?\n\x0b\x0c\r")
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
 class Numbers(dict):
@@ -34,11 +35,11 @@ class Numbers(dict):
 
     def __init__(self):
         super().__init__()
-        self.words: list[str] = []
+        self.words: list[bytes] = []
 
-    def __missing__(self, token: str) -> int:
+    def __missing__(self, token: bytes) -> int:
         if token[0] in _BREAKS:
-            if len(token) == 1:
+            if len(token) <= 4:
                 self[token] = -1
             return -1
         self.words.append(token)
@@ -46,7 +47,7 @@ class Numbers(dict):
         return len(self.words) - 1
 
 
-def read_numbers(numbers: Numbers, text: str) -> Iterator[np.ndarray]:
+def read_numbers(numbers: Numbers, text: bytes) -> Iterator[np.ndarray]:
     """The words of a text as numbers, a break at the end."""
     text = text.translate(_LOWER)
     found = iter(_TOKENS.findall(text)) if len(text) <= 1 << 22 else (m.group() for m in _TOKENS.finditer(text))
@@ -55,7 +56,7 @@ def read_numbers(numbers: Numbers, text: str) -> Iterator[np.ndarray]:
     yield np.full(1, -1, np.int32)
 
 
-def over_chunks(docs: DataFrame, fold: Callable[[str, list[str], np.ndarray], pa.RecordBatch | None], schema: str) -> DataFrame:
+def over_chunks(docs: DataFrame, fold: Callable[[str, list[bytes], np.ndarray], pa.RecordBatch | None], schema: str) -> DataFrame:
     """fold(lang, words by number, numbers) over chunks of whole documents of one language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,24 +83,27 @@ def over_chunks(docs: DataFrame, fold: Callable[[str, list[str], np.ndarray], pa
         for late in list(waiting):
             yield from folded(late)
 
-    return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_of().alias("text")).mapInArrow(run, schema)
+    return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_of().cast("binary").alias("text")).mapInArrow(run, schema)
 
 
 class PhraseFilter:
-    """Tells phrases that are surely not frequent. False alarms cost work only: counts decide later."""
+    """Tells phrases that are surely not frequent. False alarms cost work only: counts decide later.
+
+    The key of a phrase is made of those of its words: turned by one bit a word, then added bit by bit.
+    """
 
     def __init__(self, phrases: DataFrame, bits: int):
         step = bits.bit_length() - 1
-        key = F.xxhash64(F.concat_ws(" ", "lang", "phrase"))
-        places = phrases.select(F.explode(F.array(key.bitwiseAND(bits - 1), F.shiftrightunsigned(key, step).bitwiseAND(bits - 1))).alias("p"))
+        turned = lambda h: F.shiftleft(h, 1).bitwiseXOR(F.shiftrightunsigned(h, 63))
+        key = F.aggregate(F.split("phrase", " "), F.lit(0).cast("bigint"), lambda h, w: turned(h).bitwiseXOR(F.xxhash64(F.concat_ws(" ", "lang", w))))
+        keyed = phrases.select(key.alias("k"))
+        places = keyed.select(F.explode(F.array(F.col("k").bitwiseAND(bits - 1), F.shiftrightunsigned("k", step).bitwiseAND(bits - 1))).alias("p"))
         cells = places.groupBy(F.shiftright("p", 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("mask")).toArrow()
         self.cells = np.zeros(bits // 64, np.int64)
         self.cells[cells.column("cell").to_numpy()] = cells.column("mask").to_numpy()
         self.bits, self.step = bits, np.uint64(step)
 
-    def may_hold(self, lang: str, phrases: list[str]) -> np.ndarray:
-        start = f"{lang} "
-        keys = np.fromiter((xxhash.xxh64_intdigest(start + phrase, 42) for phrase in phrases), np.uint64, len(phrases))
+    def may_hold(self, keys: np.ndarray) -> np.ndarray:
         held = np.ones(len(keys), bool)
         for places in (keys, keys >> self.step):
             places = (places & np.uint64(self.bits - 1)).astype(np.int64)
@@ -107,9 +111,22 @@ class PhraseFilter:
         return held
 
 
-def _joined(words: list[str], *numbers: np.ndarray) -> pa.Array:
+def word_keys(lang: str, words: list[bytes], numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of the words met, and the key of every word by number (0 of the others)."""
+    met = np.flatnonzero(np.bincount(numbers[numbers >= 0], minlength=len(words)))
+    start, keys = f"{lang} ".encode(), np.zeros(len(words), np.uint64)
+    keys[met] = np.fromiter((xxhash.xxh64_intdigest(start + words[i], 42) for i in met), np.uint64, len(met))
+    return met, keys
+
+
+def pair_keys(keys: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    first, second = keys[pairs >> 32], keys[pairs & 0xFFFFFFFF]
+    return first << np.uint64(1) ^ first >> np.uint64(63) ^ second
+
+
+def _joined(words: list[bytes], *numbers: np.ndarray) -> pa.Array:
     kept, back = np.unique(np.concatenate(numbers), return_inverse=True)
-    table = pa.array([words[i] for i in kept], pa.string())
+    table = pa.array([words[i] for i in kept], pa.binary()).cast(pa.string())
     parts = [table.take(pa.array(part)) for part in np.split(back, len(numbers))]
     return pc.binary_join_element_wise(*parts, " ") if len(parts) > 1 else parts[0]
 
@@ -119,27 +136,22 @@ def _rows(lang: str, **columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"lang": pa.array([lang]).take(pa.array(np.zeros(n, np.int64))), **columns})
 
 
-def _frequent_words(held, lang: str, words: list[str], numbers: np.ndarray) -> np.ndarray:
-    """Per place: a word that may be frequent."""
-    met = np.unique(numbers[numbers >= 0])
-    may = np.zeros(len(words) + 1, bool)
-    may[met] = held.may_hold(lang, [words[i] for i in met])
-    return may[numbers]
-
-
-def _pairs(numbers: np.ndarray, may: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _pairs(held: PhraseFilter, met: np.ndarray, keys: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places where two words that may be frequent follow each other, and the pairs as one number."""
-    at = np.flatnonzero(may[:-1] & may[1:])
+    may = np.zeros(len(keys) + 1, bool)
+    may[met] = held.may_hold(keys[met])
+    frequent = may[numbers]
+    at = np.flatnonzero(frequent[:-1] & frequent[1:])
     return at, numbers[at].astype(np.int64) << 32 | numbers[at + 1]
 
 
 def count_words(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(lang, phrase, f) of words found `least` times, and of every language's words in all under a null phrase."""
 
-    def fold(lang: str, words: list[str], numbers: np.ndarray) -> pa.RecordBatch:
+    def fold(lang: str, words: list[bytes], numbers: np.ndarray) -> pa.RecordBatch:
         counts = np.bincount(numbers[numbers >= 0], minlength=1)
         met = np.flatnonzero(counts)
-        phrase = pa.array([*(words[i] for i in met), None], pa.string())
+        phrase = pa.array([*(words[i] for i in met), None], pa.binary()).cast(pa.string())
         return _rows(lang, phrase=phrase, f=pa.array(np.append(counts[met], counts.sum())))
 
     rows = over_chunks(docs, fold, "lang string, phrase string, f bigint")
@@ -150,11 +162,11 @@ def count_pairs(docs: DataFrame, words: PhraseFilter, least: int = LEAST) -> Dat
     """(lang, phrase, f) of leading pairs found `least` times: where suffixes go, and which are given up before they move."""
     sent = docs.sparkSession.sparkContext.broadcast(words)
 
-    def fold(lang: str, words: list[str], numbers: np.ndarray) -> pa.RecordBatch | None:
-        keys, counts = np.unique(_pairs(numbers, _frequent_words(sent.value, lang, words, numbers))[1], return_counts=True)
-        if not len(keys):
+    def fold(lang: str, words: list[bytes], numbers: np.ndarray) -> pa.RecordBatch | None:
+        pairs, counts = np.unique(_pairs(sent.value, *word_keys(lang, words, numbers), numbers)[1], return_counts=True)
+        if not len(pairs):
             return None
-        return _rows(lang, phrase=_joined(words, keys >> 32, keys & 0xFFFFFFFF), f=pa.array(counts))
+        return _rows(lang, phrase=_joined(words, pairs >> 32, pairs & 0xFFFFFFFF), f=pa.array(counts))
 
     rows = over_chunks(docs, fold, "lang string, phrase string, f bigint")
     return rows.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
@@ -164,33 +176,31 @@ def suffix_windows(docs: DataFrame, words: PhraseFilter, pairs: PhraseFilter, he
     """(lang, w1 .. w4, heavy, n): beginnings of suffixes, cut before a pair that is surely not frequent, equal ones of a chunk as one."""
     sent = docs.sparkSession.sparkContext.broadcast((words, pairs, heavy))
 
-    def fold(lang: str, names: list[str], numbers: np.ndarray) -> pa.RecordBatch | None:
+    def fold(lang: str, names: list[bytes], numbers: np.ndarray) -> pa.RecordBatch | None:
         words, pairs, heavy = sent.value
-        at, keys = _pairs(numbers, _frequent_words(words, lang, names, numbers))
+        met, keys = word_keys(lang, names, numbers)
+        at, found = _pairs(words, met, keys, numbers)
+        found = pair_keys(keys, found)
+        kept = pairs.may_hold(found)
+        at, found = at[kept], found[kept]
         if not len(at):
             return None
-        kinds, back = np.unique(keys, return_inverse=True)
-        phrases = _joined(names, kinds >> 32, kinds & 0xFFFFFFFF).to_pylist()
-        good = pairs.may_hold(lang, phrases)
+        crowded = heavy.may_hold(found)
         starts = np.zeros(len(numbers) + LONGEST, bool)
-        starts[at] = good[back]
-        kept = good[back]
-        at, crowded = at[kept], heavy.may_hold(lang, phrases)[back][kept]
+        starts[at] = True
         padded = np.concatenate([numbers, np.full(LONGEST, -1, numbers.dtype)])
         third = np.where(starts[at + 1], padded[at + 2], -1)
         fourth = np.where((third >= 0) & starts[at + 2], padded[at + 3], -1)
         low = (third.astype(np.int64) + 1) << 32 | (fourth.astype(np.int64) + 1)
         high = padded[at].astype(np.int64) << 32 | padded[at + 1]
         order = np.lexsort((low, high))
-        if not len(order):
-            return None
         low, high, crowded = low[order], high[order], crowded[order]
         edge = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])]))
         n = np.diff(np.append(edge, len(order)))
         low, high = low[edge], high[edge]
         places = [high >> 32, high & 0xFFFFFFFF, (low >> 32) - 1, (low & 0xFFFFFFFF) - 1]
         met, back = np.unique(np.concatenate(places), return_inverse=True)
-        table = pa.array([names[i] if i >= 0 else None for i in met], pa.string())
+        table = pa.array([names[i] if i >= 0 else None for i in met], pa.binary()).cast(pa.string())
         columns = {f"w{k + 1}": table.take(pa.array(part)) for k, part in enumerate(np.split(back, LONGEST))}
         return _rows(lang, **columns, heavy=pa.array(crowded[edge]), n=pa.array(n))
 
