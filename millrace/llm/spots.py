@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.llm.common import id_of, stored, text_of
+from millrace.llm.common import LOWEST, id_of, stored, text_of
 
 #: Anchors: common words of English, German, French and Spanish.
 ANCHORS = (
@@ -125,7 +125,8 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
     null doc_id is below all others. Rows of one doc_id are ordered by a hash of their text, equal rows are one
     document; a lone document is next to itself. Other columns are passed over.
     """
-    rows = docs.select("doc_id", id_of().alias("id"), text_of().alias("text")).withColumn("tie", F.xxhash64("text"))
+    # Both sides of the join below read these three columns and nothing else, so that the texts are shuffled once.
+    rows = docs.select(id_of().alias("id"), text_of().alias("text")).withColumn("tie", F.xxhash64("text"))
     sizes = stored(rows.select("id", "tie", F.char_length("text").cast("bigint").alias("n_chars")).distinct())
     order = previous_rows(sizes)
     asks = stored(
@@ -133,10 +134,9 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
             F.col("before_id").alias("id"), F.col("before_tie").alias("tie"), F.col("id").alias("for_id"), F.col("tie").alias("for_tie"), "n_chars"
         )
     )
-    once = rows.select("id", "tie", "text")
     cut = F.floor(F.col("n_chars") / 3).cast("int")
     lent = (
-        once.join(asks, ["id", "tie"])
+        rows.join(asks, ["id", "tie"])
         .select(
             F.col("for_id").alias("id"),
             F.col("for_tie").alias("tie"),
@@ -151,7 +151,7 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
         "edited", F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - cut).cast("int")), "head")
     )
     found = joined.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "next_signatures",
+        F.when(F.col("id") != LOWEST, F.col("id")).alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "next_signatures",
         signatures(F.col("text")).alias("own"), signatures(F.col("edited")).alias("changed"),
     )
     return found.select(
