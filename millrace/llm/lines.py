@@ -30,7 +30,7 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = 5, min_chars: int = 40)
     """
     rest = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
     rows = docs.select(
-        F.struct(*[F.col(c) for c in rest]).alias("rest"), text_of().alias("body"), id_of().alias("id")
+        F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest"), text_of().alias("body"), id_of().alias("id")
     ).withColumn("print", F.xxhash64("body"))
     lines = rows.select(
         "id", "print", F.posexplode(F.transform(F.split("body", "\n"), line_key)).alias("place", "line")

@@ -9,9 +9,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from millrace.llm.common import text_of
-from millrace.llm.textnum import chunks, join_texts, mix, space_table, span_hashes, spans
+from millrace.llm.textnum import chunks, join_texts, mix, slices, space_table, span_hashes, spans
 
 BUCKETS = 1 << 18
 NGRAMS = (3, 4, 5)
@@ -150,21 +151,24 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
     """
     sent = docs.sparkSession.sparkContext.broadcast((model.bucket_margins(), float(model.bias[1] - model.bias[0])))
     rest = [c for c in docs.columns if c != "score"]
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)
-    place = rest.index("text")
+    # Input columns stay inside a struct, so that no name of theirs can be misread.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), text_of().alias("text"))
+    made = StructType([rows.schema["row"], StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         margins, offset = sent.value
         for batch in batches:
-            texts = [t or "" for t in batch.column(place).to_pylist()]
-            scores = pa.array(score_texts(margins, offset, texts))
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*rest, "score"])
+            if batch.num_rows:
+                scores = np.concatenate([score_texts(margins, offset, texts) for _, texts in slices(batch.column(1))])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["row", "score"])
 
-    return docs.select(*[F.col(f"`{c}`") for c in rest]).mapInArrow(run, f"{fields}, score double")
+    scored = rows.mapInArrow(run, made)
+    return scored.select(*[F.col("row")[c].alias(c) for c in rest], "score")
 
 
 def held_out() -> Column:
-    return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    """Rows kept from learning: crc32 of the id as text divides by 5. A null id is never learned from, and not held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
 THRESHOLD = 0.3

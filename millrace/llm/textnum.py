@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _ODD = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_ODD, -1, 2**64)
@@ -32,20 +35,25 @@ def mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-_POWERS: list[np.ndarray] = []
+#: Powers are kept for texts of this length; longer ones have theirs for as long as they are read.
+_KEPT = 1 << 17
+
+
+def _raised(size: int) -> tuple[np.ndarray, np.ndarray]:
+    made = []
+    for base in (_ODD, _INVERSE):
+        row = np.full(size, base, dtype=np.uint64)
+        row[0] = 1
+        made.append(np.multiply.accumulate(row))
+    return made[0], made[1]
+
+
+_kept_powers = lru_cache(maxsize=1)(_raised)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the multiplier and of its inverse modulo 2**64."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 1 << 16)
-        made = []
-        for base in (_ODD, _INVERSE):
-            row = np.full(size, base, dtype=np.uint64)
-            row[0] = 1
-            made.append(np.multiply.accumulate(row))
-        _POWERS[:] = made
-    return _POWERS[0], _POWERS[1]
+    return _kept_powers(_KEPT) if n <= _KEPT else _raised(n)
 
 
 def code_points(text: str) -> np.ndarray:
@@ -73,7 +81,11 @@ def span_hashes(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
-def chunks(texts: list[str], limit: int = 400_000):
+#: Characters, or bytes, of the texts that are turned into arrays together: these take some 50 bytes a character.
+TOGETHER = 100_000
+
+
+def chunks(texts: list[str], limit: int = TOGETHER) -> Iterator[tuple[int, int]]:
     """Consecutive slices of the list of at most that many characters, or one longer text."""
     start = size = 0
     for i, text in enumerate(texts):
@@ -85,6 +97,19 @@ def chunks(texts: list[str], limit: int = 400_000):
         yield start, len(texts)
 
 
+def slices(column: pa.Array, limit: int = TOGETHER) -> Iterator[tuple[int, list[str]]]:
+    """Consecutive texts of an Arrow column, of at most that many bytes or one longer text, and where they start; null stays None."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    start = size = 0
+    for i, n in enumerate(sizes):
+        if size and size + n > limit:
+            yield start, column.slice(start, i - start).to_pylist()
+            start, size = i, 0
+        size += n
+    if sizes:
+        yield start, column.slice(start).to_pylist()
+
+
 def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the lower-case words of all texts, and how many words each text has."""
     points, edges = join_texts([t.lower() for t in texts]) if texts else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
