@@ -52,6 +52,9 @@ class OneHot:
     def slots(self) -> list[Column]:
         return [F.coalesce((F.col(self.column) == F.lit(v)).cast("double"), F.lit(0.0)) for v in self.categories]
 
+    def transform(self, df: DataFrame, name: str) -> DataFrame:
+        return df.withColumn(name, F.array(*self.slots()).cast("array<double>"))
+
 
 @dataclass
 class Scaler:
@@ -109,6 +112,21 @@ def scale_array(features: Column, low: list[float], high: list[float]) -> Column
     return F.zip_with(F.zip_with(features, shift, lambda x, a: x - a), width, lambda x, w: x / w)
 
 
+@dataclass
+class ArrayScaler:
+    """Min-max scaling of an array column; constant positions become 0."""
+
+    low: list[float]
+    high: list[float]
+
+    @classmethod
+    def fit(cls, df: DataFrame, features: str, dims: int) -> "ArrayScaler":
+        return cls(*array_range(df, features, dims))
+
+    def transform(self, df: DataFrame, features: str, name: str) -> DataFrame:
+        return df.withColumn(name, scale_array(F.col(features), self.low, self.high))
+
+
 def upper_products(columns: list[Column]) -> list[Column]:
     """ci * cj for i <= j, row by row of the upper triangle."""
     return [columns[i] * columns[j] for i in range(len(columns)) for j in range(i, len(columns))]

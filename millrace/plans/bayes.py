@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import log_normal_density
+from millrace.operators.linalg import matrix
+from millrace.operators.ordering import with_rank
+from millrace.operators.scoring import score_rows
+from millrace.session import cut_lineage
+
+#: Classes scored together.
+CLASS_BLOCK = 1024
 
 
 def class_priors(train: DataFrame, label: str) -> DataFrame:
@@ -33,28 +42,65 @@ def gaussian_fit(train: DataFrame, features: str, label: str, alpha: float, dims
     return stats.select("class", "mean", "variance", (F.col("n") / row_total(train)).alias("prior"))
 
 
-def collected_classes(model: DataFrame, limit: int = 10_000) -> list:
-    rows = model.orderBy("class").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"over {limit} classes")
-    return rows
+@dataclass
+class DenseBayes:
+    """Scores constant + linear . y - square . y^2 per class, with y = x - center; the first class of the highest wins.
 
+    Scores within a billionth of the highest, relative to its size, count as equal.
+    """
 
-def best_class(scores: list[Column], classes: list) -> Column:
-    """First class whose score is the highest."""
-    rounded = F.array(*[F.round(s, 9) for s in scores])
-    return F.element_at(F.array(*[F.lit(c) for c in classes]), F.array_position(rounded, F.array_max(rounded)).cast("int"))
+    classes: list
+    center: np.ndarray
+    constant: np.ndarray
+    linear: np.ndarray
+    square: np.ndarray
+
+    @classmethod
+    def gaussian(cls, model: DataFrame) -> "DenseBayes":
+        """From (class, mean, variance, prior) rows."""
+        rows = model.orderBy("class").toArrow()
+        mean, variance = matrix(rows.column("mean")), matrix(rows.column("variance"))
+        prior = rows.column("prior").to_numpy()
+        # Distances are taken from the middle of the means, which keeps the squares small.
+        center = prior @ mean / prior.sum() if len(prior) else np.zeros(0)
+        mean = mean - center
+        constant = np.log(prior) - 0.5 * np.log(2 * np.pi * variance).sum(axis=1) - (mean * mean / (2 * variance)).sum(axis=1)
+        return cls(rows.column("class").to_pylist(), center, constant, mean / variance, 0.5 / variance)
+
+    @classmethod
+    def weighted(cls, model: DataFrame) -> "DenseBayes":
+        """From (class, weight, constant, prior) rows."""
+        rows = model.orderBy("class").toArrow()
+        weight = matrix(rows.column("weight"))
+        constant = np.log(rows.column("prior").to_numpy()) + rows.column("constant").to_numpy()
+        return cls(rows.column("class").to_pylist(), np.zeros(weight.shape[1]), constant, weight, np.zeros_like(weight))
+
+    def places(self, x: np.ndarray) -> np.ndarray:
+        """The place of the best class of each row; classes are scored a block at a time."""
+        y = x - self.center
+        best, place = np.full(len(x), -np.inf), np.zeros(len(x), np.int64)
+        for low in range(0, len(self.classes), CLASS_BLOCK):
+            part = slice(low, low + CLASS_BLOCK)
+            scores = y @ self.linear[part].T - (y * y) @ self.square[part].T + self.constant[part]
+            top = scores.max(axis=1)
+            first = (scores >= (top - 1e-9 * np.maximum(1.0, np.abs(top)))[:, None]).argmax(axis=1)
+            better = top > best + 1e-9 * np.maximum(1.0, np.abs(best), where=np.isfinite(best), out=np.ones(len(best)))
+            place = np.where(better, low + first, place)
+            best = np.maximum(best, top)
+        return place
+
+    def transform(self, df: DataFrame, features: str, name: str = "prediction") -> DataFrame:
+        """Best class of every row, null without one; batch or streaming frames."""
+        kind = "string" if any(isinstance(c, str) for c in self.classes) else "int"
+        if not self.classes:
+            return df.withColumn(name, F.lit(None).cast(kind))
+        classes = np.array(self.classes, dtype=object)
+        return score_rows(df, F.col(features), name, kind, lambda x: classes[self.places(x)], len(self.center))
 
 
 def gaussian_predict(model: DataFrame, test: DataFrame, features: str, name: str = "prediction") -> DataFrame:
-    """Log density plus log prior; class statistics become literals, so scoring has no shuffle."""
-    rows = collected_classes(model)
-    scores = []
-    for row in rows:
-        constant = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(v).alias("v")) for m, v in zip(row["mean"], row["variance"])])
-        terms = F.zip_with(F.col(features), constant, lambda x, s: log_normal_density(x, s["m"], s["v"]))
-        scores.append(F.aggregate(terms, F.ln(F.lit(float(row["prior"]))), lambda t, v: t + v))
-    return test.withColumn(name, best_class(scores, [r["class"] for r in rows]))
+    """Log density plus log prior; the class statistics travel with the tasks, so scoring has no shuffle."""
+    return DenseBayes.gaussian(model).transform(test, features, name)
 
 
 def multinomial_fit(terms: DataFrame, docs: DataFrame, label: str, alpha: float, vocabulary: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -113,28 +159,42 @@ def bernoulli_fit(terms: DataFrame, docs: DataFrame, label: str, alpha: float, v
 
 
 def sparse_predict(classes: DataFrame, weights: DataFrame, terms: DataFrame, docs: DataFrame, key: str, count: Column) -> DataFrame:
-    """Score = log prior + sum of count * log weight.
+    """All columns of docs and the prediction: the class with the highest log prior + sum of count * log weight.
 
-    Every known term adds count * log_missing of the class; terms seen in the class add the rest.
-    One row of weights per term holds all classes, so a term joins once.
+    Every known term adds count * log_missing of the class; terms seen in the class add the rest. The model stays a table:
+    a term's weights of CLASS_BLOCK classes are one map, so that a document's term meets a block once, and sums are
+    added per document and block. Both sides of that join are plain shuffles, which adaptive execution splits at a very
+    frequent term. Classes within a billionth of the best, relative to its size, count as equal and the first wins.
     """
-    rows = collected_classes(classes)
-    names = [r["class"] for r in rows]
-    per_term = weights.groupBy("term").agg(
-        *[F.coalesce(F.sum(F.when(F.col("class") == F.lit(c), F.col("w"))), F.lit(0.0)).alias(f"w_{i}") for i, c in enumerate(names)]
-    )
-    joined = terms.join(per_term, "term", "left")
-    sums = joined.groupBy(key).agg(
-        F.sum(count).alias("_n"), *[F.sum(count * F.coalesce(F.col(f"w_{i}"), F.lit(0.0))).alias(f"s_{i}") for i in range(len(names))]
-    )
-    scored = docs.join(sums, key, "left")
-    scores = [
-        F.lit(float(r["log_prior"]))
-        + F.coalesce(F.col("_n"), F.lit(0)) * F.lit(float(r["log_missing"]))
-        + F.coalesce(F.col(f"s_{i}"), F.lit(0.0))
-        for i, r in enumerate(rows)
-    ]
-    return scored.withColumn("prediction", best_class(scores, names)).drop("_n", *[f"s_{i}" for i in range(len(names))])
+    numbered = with_rank(classes, [], ["class"], "place").withColumn("block", F.floor(F.col("place") / CLASS_BLOCK).cast("int"))
+    numbered = cut_lineage(numbered.withColumn("slot", F.pmod("place", F.lit(CLASS_BLOCK)).cast("int")))
+    last = numbered.agg(F.max("block")).first()[0]
+    if last is None:
+        return docs.withColumn("prediction", F.lit(None).cast(classes.schema["class"].dataType))
+    ordered = F.sort_array(F.collect_list(F.struct("slot", "class", "log_prior", "log_missing")))
+    blocks = numbered.groupBy("block").agg(ordered.alias("e")).select("block", "e.class", "e.log_prior", "e.log_missing")
+    wide = weights.join(numbered.select("class", "block", "slot"), "class").groupBy("term", "block")
+    wide = wide.agg(F.map_from_entries(F.collect_list(F.struct("slot", "w"))).alias("w"))
+    counted = terms.select(key, "term", count.cast("double").alias("c"))
+    hits = counted.join(wide, "term").select(key, "block", F.explode("w").alias("slot", "w"), "c")
+    sums = hits.groupBy(key, "block", "slot").agg(F.sum(F.col("c") * F.col("w")).alias("s"))
+    sums = sums.groupBy(key, "block").agg(F.map_from_entries(F.collect_list(F.struct("slot", "s"))).alias("s"))
+    totals = counted.groupBy(key).agg(F.sum("c").alias("n"))
+    met = docs.select(key).join(totals, key, "left").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(last))))
+    met = met.join(sums, [key, "block"], "left").join(blocks, "block")
+    empty = F.create_map().cast("map<int,double>")
+    base = F.zip_with("log_prior", "log_missing", lambda p, m: p + F.coalesce("n", F.lit(0.0)) * m)
+    scores = F.transform(base, lambda b, i: b + F.coalesce(F.element_at(F.coalesce("s", empty), i.cast("int")), F.lit(0.0)))
+    scored = met.select(key, "block", "class", scores.alias("scores"))
+    top = F.array_max("scores")
+    level = top - F.lit(1e-9) * F.greatest(F.abs(top), F.lit(1.0))
+    first = F.array_position(F.transform("scores", lambda v: v >= level), F.lit(True)).cast("int")
+    best = scored.select(key, "block", top.alias("top"), F.element_at("class", first).alias("class"))
+    # Of several blocks the first whose best is as good as any.
+    step = F.lit(1e-9) * F.greatest(F.abs(F.max("top")), F.lit(1.0))
+    held = best.groupBy(key).agg((F.max("top") - step).alias("least"), F.sort_array(F.collect_list(F.struct("block", "top", "class"))).alias("found"))
+    chosen = held.select(key, F.get(F.filter("found", lambda f: f["top"] >= F.col("least")), 0)["class"].alias("prediction"))
+    return docs.join(chosen, key, "left")
 
 
 def dense_multinomial_fit(train: DataFrame, features: str, label: str, alpha: float, dims: int) -> DataFrame:
@@ -165,11 +225,4 @@ def dense_bernoulli_fit(train: DataFrame, features: str, label: str, alpha: floa
 
 def dense_predict(model: DataFrame, test: DataFrame, features: str, name: str = "prediction") -> DataFrame:
     """ln prior + constant + x . weight per class, best class; no shuffle."""
-    rows = collected_classes(model)
-    scores = []
-    for row in rows:
-        weight = F.array(*[F.lit(float(w)) for w in row["weight"]])
-        terms = F.zip_with(F.col(features), weight, lambda x, w: x * w)
-        start = F.ln(F.lit(float(row["prior"]))) + F.lit(float(row["constant"]))
-        scores.append(F.aggregate(terms, start, lambda t, v: t + v))
-    return test.withColumn(name, best_class(scores, [r["class"] for r in rows]))
+    return DenseBayes.weighted(model).transform(test, features, name)

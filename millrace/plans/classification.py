@@ -10,11 +10,11 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.functions.hashing import digest, hash_bucket
 from millrace.operators.linalg import add_up, matrix, sum_vectors, vector_batch
 from millrace.operators.sampling import batch_number
+from millrace.operators.scoring import score_rows
 from millrace.plans.regression import metric_table
 
 LOG_FLOOR = 1e-15
@@ -121,6 +121,26 @@ def softmax_gradient(
     return weights, metric_table(df.sparkSession, rows, "step INT, train_loss DOUBLE, train_acc DOUBLE, test_loss DOUBLE, test_acc DOUBLE")
 
 
+@dataclass
+class LinearClassifier:
+    """Weights (features + bias) x classes; the class of the highest score, the lowest on ties.
+
+    A single column is the score of class 1 against 0.
+    """
+
+    weights: np.ndarray
+
+    def transform(self, df: DataFrame, features: str, name: str = "prediction") -> DataFrame:
+        """Batch or streaming frames."""
+        weights = self.weights.reshape(len(self.weights), -1)
+
+        def best(x: np.ndarray) -> np.ndarray:
+            scores = _with_ones(x) @ weights
+            return (scores[:, 0] > 0).astype(int) if weights.shape[1] == 1 else np.round(_softmax(scores), 12).argmax(axis=1)
+
+        return score_rows(df, F.col(features), name, "int", best, len(weights) - 1)
+
+
 def perceptron(
     df: DataFrame, features: Column, label: Column, dims: int, max_passes: int
 ) -> tuple[np.ndarray, DataFrame]:
@@ -202,21 +222,11 @@ class Network:
 
     def transform(self, df: DataFrame, features: str, name: str = "prediction", expand=None) -> DataFrame:
         """Class with the highest probability; batch or streaming frames."""
-        network = self
-        names = df.columns
-
-        def score(batches):
-            for batch in batches:
-                x = matrix(batch.column("_x"))
-                x = expand(x) if expand is not None and len(x) else x
-                classes = network.forward(x)[-1].argmax(axis=1) if len(x) else np.zeros(0)
-                yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(c) for c in names], pa.array(classes, pa.int32())], names=[*names, name]
-                )
 
-        ready = df.withColumn("_x", F.col(features).cast("array<double>"))
-        schema = T.StructType([*df.schema.fields, T.StructField(name, T.IntegerType())])
-        return ready.mapInArrow(score, schema)
+        def best(x: np.ndarray) -> np.ndarray:
+            return self.forward(x if expand is None else expand(x))[-1].argmax(axis=1)
+
+        return score_rows(df, F.col(features), name, "int", best)
 
 
 class Steps:

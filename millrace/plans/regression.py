@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import comb, factorial
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -153,36 +153,32 @@ def linear_gradient(
 
 
 class PolynomialMap:
-    """Exact finite feature map of the kernel (gamma x.y + 1)**degree."""
+    """Exact finite feature map of the kernel (gamma x.y + 1)**degree: monomials by degree, each from one of a degree less."""
 
     def __init__(self, dims: int, degree: int = 2, gamma: float = 1.0):
+        self.dims, self.degree, self.gamma = dims, degree, gamma
         self.size = comb(dims + degree, degree)
-        if self.size > 100_000:
-            raise ValueError(f"{self.size} monomials: use the radial map or fewer columns")
-        self.exponents, self.scales = [], []
-        self._grow([], dims, degree, degree, gamma)
-
-    def _grow(self, head: list[int], dims: int, left: int, degree: int, gamma: float) -> None:
-        if dims == 0:
-            used = degree - left
-            ways = factorial(degree) // factorial(left)
-            for e in head:
-                ways //= factorial(e)
-            self.exponents.append(head)
-            self.scales.append((ways * gamma**used) ** 0.5)
-            return
-        for e in range(left + 1):
-            self._grow([*head, e], dims - 1, left - e, degree, gamma)
+        #: Per degree from 1 on: the place of the shorter monomial one degree below, and the column it is multiplied by.
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+        scales = [np.ones(1)]
+        last, run = np.full(1, 0), np.zeros(1)
+        for used in range(1, degree + 1):
+            # Columns rise along a monomial, so that each set of factors is met once.
+            reps = dims - last
+            parent = np.repeat(np.arange(len(last)), reps)
+            column = np.concatenate([np.arange(i, dims) for i in last]) if dims else np.zeros(0, int)
+            same = np.where(column == last[parent], run[parent], 0) + 1 if used > 1 else np.ones(len(column))
+            # Ways to order the factors: one more factor multiplies them by its place over its own repetitions.
+            scales.append(scales[-1][parent] * (gamma * (degree - used + 1) / same) ** 0.5)
+            self.levels.append((parent, column))
+            last, run = column, same
+        self.scales = np.concatenate(scales)
 
     def apply(self, x: np.ndarray) -> np.ndarray:
-        out = np.empty((len(x), len(self.scales)))
-        for j, (powers, scale) in enumerate(zip(self.exponents, self.scales)):
-            column = np.full(len(x), scale)
-            for d, e in enumerate(powers):
-                if e:
-                    column = column * x[:, d] ** e
-            out[:, j] = column
-        return out
+        parts = [np.ones((len(x), 1))]
+        for parent, column in self.levels:
+            parts.append(parts[-1][:, parent] * x[:, column])
+        return np.concatenate(parts, axis=1) * self.scales
 
 
 class FourierMap:
@@ -194,6 +190,13 @@ class FourierMap:
         self.frequencies = generator.normal(scale=(2.0 * gamma) ** 0.5, size=(dims, size))
         self.phases = generator.uniform(0.0, 2.0 * np.pi, size=size)
 
+    @classmethod
+    def of(cls, frequencies: np.ndarray, phases: np.ndarray) -> "FourierMap":
+        """The map with these waves."""
+        made = cls(0, 0)
+        made.size, made.frequencies, made.phases = len(phases), frequencies, phases
+        return made
+
     def apply(self, x: np.ndarray) -> np.ndarray:
         return (2.0 / self.size) ** 0.5 * np.cos(x @ self.frequencies + self.phases)
 

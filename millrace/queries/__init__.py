@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-THEMES = ["rows", "columns", "regression", "classification", "text"]
+THEMES = ["rows", "columns", "regression", "classification", "text", "machines", "stored"]
 
 
 def all_queries():

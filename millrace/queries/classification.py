@@ -23,6 +23,7 @@ from millrace.queries.common import (
     sql_unit,
     vectors,
 )
+from millrace.session import cut_lineage
 from millrace.sources.tables import table
 
 registry = Registry()
@@ -118,7 +119,7 @@ def _sparse_nb(spark, folder, fit, count):
     docs, terms = _doc_terms(spark, folder)
     train_terms, vocab = terms.where("NOT is_test"), None
     vocab = train_terms.groupBy("term").agg(F.sum("cnt").alias("c")).where("c > 1").select("term")
-    known = terms.join(vocab, "term", "left_semi")
+    known = cut_lineage(terms.join(vocab, "term", "left_semi"))  # read by the fit, its totals and the scoring
     classes, weights = fit(known.where("NOT is_test"), docs.where("NOT is_test"), "quality", 0.1, vocab)
     scored = bayes.sparse_predict(classes, weights, known.where("is_test"), docs.where("is_test"), "doc_id", count)
     return _confusion(scored, "quality")
@@ -372,7 +373,7 @@ def svm_ovo(spark, folder):
     rows = _vectors(spark, folder, 0.35)
     pairs = [(r.first, r.second) for r in svm.class_pairs(vectors(spark, folder), "label").orderBy("first", "second").collect()]
     made = kernel_map("rbf", DIMS, gamma=0.5, size=256)
-    weights = svm.fit_pairs(rows, F.col("features"), F.col("label"), F.col("is_test"), pairs, made, 1.0, 40)
+    weights = svm.fit_pairs(rows, F.col("features"), F.col("label"), F.col("is_test"), pairs, made, 1.0)
     votes = svm.pair_votes(rows, "vec_id", "features", pairs, weights, made)
     joined = votes.join(rows.select(F.col("vec_id").alias("key"), "label", "is_test"), "key")
     return joined.groupBy("is_test").agg(F.round(M.accuracy(F.col("prediction"), F.col("label")), 4).alias("accuracy"), F.count(F.lit(1)).alias("n"))
@@ -383,7 +384,7 @@ def svm_binary(spark, folder):
     """Label parity with the exact degree-2 polynomial map."""
     rows = _vectors(spark, folder, 0.5).withColumn("y", X.parity(F.col("label")))
     made = kernel_map("poly", DIMS, gamma=1.0, degree=2)
-    weights = svm.fit_pairs(rows, F.col("features"), F.col("y"), F.col("is_test"), [(1, 0)], made, 5.0, 40)
+    weights = svm.fit_pairs(rows, F.col("features"), F.col("y"), F.col("is_test"), [(1, 0)], made, 5.0)
     votes = svm.pair_votes(rows, "vec_id", "features", [(1, 0)], weights, made)
     joined = votes.join(rows.select(F.col("vec_id").alias("key"), "y", "is_test"), "key")
     return joined.groupBy("is_test").agg(F.round(M.accuracy(F.col("prediction"), F.col("y")), 4).alias("accuracy"), F.count(F.lit(1)).alias("n"))
@@ -526,7 +527,7 @@ def grid_search(spark, folder):
     folded = sampling.with_stratified_fold(train, "y", ["vec_id"]).select("vec_id", "features", "y", "fold")
     ready = folded.unionByName(rows.where("is_test").select("vec_id", "features", "y", F.lit(-1).alias("fold")))
     scaled = FE.scale_array(F.col("features"), low, high)
-    done = selection.grid_search(ready, scaled, F.col("y"), F.col("fold"), DIMS, [1, 2], [0.01, 1.0, 100.0], 5, 30)
+    done = selection.grid_search(ready, scaled, F.col("y"), F.col("fold"), DIMS, [1, 2], [0.01, 1.0, 100.0], 5)
     return done.select("degree", "strength", F.round("cv_accuracy", 4).alias("cv_accuracy"), F.round("test_accuracy", 4).alias("test_accuracy"), "best")
 
 
@@ -539,5 +540,5 @@ def grid_single(spark, folder):
     scaler = FE.Scaler.standard(rows.where("NOT is_test"), names)
     folded = sampling.with_stratified_fold(rows.where("NOT is_test"), "y", ["l_orderkey", "h"])
     both = folded.unionByName(rows.where("is_test").withColumn("fold", F.lit(-1)))
-    done = selection.grid_search(both, F.array(*scaler.slots()), F.col("y"), F.col("fold"), len(names), [3], [500.0], 5, 15)
+    done = selection.grid_search(both, F.array(*scaler.slots()), F.col("y"), F.col("fold"), len(names), [3], [500.0], 5)
     return done.select("degree", "strength", F.round("cv_accuracy", 4).alias("cv_accuracy"), F.round("test_accuracy", 4).alias("test_accuracy"), "best")

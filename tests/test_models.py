@@ -313,18 +313,16 @@ def test_pair_machines_reach_the_hinge_optimum(spark):
     df = frame(spark, x, y, "INT").withColumn("t", F.lit(False))
     made = R.PolynomialMap(2, 2, 1.0)
     pairs = [(0, 1), (0, 2), (1, 2)]
-    w = svm.fit_pairs(df, F.col("features"), F.col("target"), F.col("t"), pairs, made, 1.0, 40)
+    w = svm.fit_pairs(df, F.col("features"), F.col("target"), F.col("t"), pairs, made, 1.0)
     votes = svm.pair_votes(df, "id", "features", pairs, w, made)
     joined = votes.join(df.withColumnRenamed("id", "key"), "key")
     assert joined.where("prediction = target").count() / 150 > 0.97
 
 
-@pytest.mark.parametrize("cells,steps,slack", [(20_000_000, 40, 1.02), (1, 150, 1.05)])
-def test_pair_machine_objective_is_near_the_library(spark, monkeypatch, cells, steps, slack):
+def test_pair_machine_objective_is_near_the_library(spark):
     from pyspark.ml.classification import LinearSVC
     from pyspark.ml.functions import array_to_vector
 
-    monkeypatch.setattr(svm, "CURVATURE_CELLS", cells)
     x, y = blobs(120, 2)
     x = x + np.random.RandomState(3).normal(scale=2.0, size=x.shape)
     df = frame(spark, x, y, "INT").withColumn("t", F.lit(False)).coalesce(1)
@@ -334,11 +332,11 @@ def test_pair_machine_objective_is_near_the_library(spark, monkeypatch, cells, s
     def objective(w, b):
         return w @ w / 2 + 2.0 * np.maximum(0, 1 - (2 * y - 1) * (phi @ w + b)).sum()
 
-    mine = svm.fit_pairs(df, F.col("features"), F.col("target"), F.col("t"), [(1, 0)], made, 2.0, steps)[:, 0]
+    mine = svm.fit_pairs(df, F.col("features"), F.col("target"), F.col("t"), [(1, 0)], made, 2.0)[:, 0]
     rows = spark.createDataFrame([([float(v) for v in a], float(b)) for a, b in zip(phi, y)], "f ARRAY<DOUBLE>, label DOUBLE")
     library = LinearSVC(regParam=1 / (2.0 * 120), standardization=False, maxIter=60).fit(rows.coalesce(1).select(array_to_vector("f").alias("features"), "label"))
     best = objective(library.coefficients.toArray(), library.intercept)
-    assert objective(mine[:-1], mine[-1]) <= best * slack
+    assert objective(mine[:-1], mine[-1]) <= best * 1.02
 
 
 def test_kernel_scores_both_ways(spark, monkeypatch):
@@ -359,7 +357,7 @@ def test_grid_search_equals_newton(spark):
     fold = np.where(np.arange(120) % 6 == 5, -1, np.arange(120) % 6)
     rows = [([float(v) for v in a], int(b), int(f)) for a, b, f in zip(x, y, fold)]
     df = spark.createDataFrame(rows, "features ARRAY<DOUBLE>, y INT, fold INT")
-    got = selection.grid_search(df, F.col("features"), F.col("y"), F.col("fold"), 2, [1, 2], [0.01, 1.0], 5, 60)
+    got = selection.grid_search(df, F.col("features"), F.col("y"), F.col("fold"), 2, [1, 2], [0.01, 1.0], 5, 1e-8)
 
     def fit(a, b, c):
         w = np.zeros(a.shape[1])
