@@ -298,6 +298,30 @@ def fit_network(
     return network, metric_table(df.sparkSession, rows, "epoch INT, train_acc DOUBLE, test_acc DOUBLE")
 
 
+class LogisticUnit(Network):
+    """Weights and a bias with a sigmoid: the probability of class 1."""
+
+    @classmethod
+    def zeros(cls, dims: int) -> "LogisticUnit":
+        return cls([np.zeros((dims, 1))], [np.zeros(1)])
+
+    def unpack(self, vector: np.ndarray) -> "LogisticUnit":
+        return LogisticUnit([vector[:-1].reshape(-1, 1)], [vector[-1:]])
+
+    def forward(self, x: np.ndarray) -> list[np.ndarray]:
+        p = _sigmoid(x @ self.weights[0] + self.biases[0])
+        return [x, np.column_stack([1.0 - p, p])]
+
+    def gradient(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
+        error = self.forward(x)[-1][:, 1] - y
+        error = error if weight is None else error * weight
+        return np.append(x.T @ error, error.sum())
+
+
+#: Rows of a shard where their number is taken from the data.
+SHARD_ROWS = 8192
+
+
 def fit_network_averaged(
     df: DataFrame,
     features: Column,
@@ -310,37 +334,48 @@ def fit_network_averaged(
     epochs: int,
     rate: float,
     batch_size: int = 32,
-    shards: int = 8,
+    shards: int | None = None,
     rule: str = "sgd",
     seed: int = 42,
     spread: float = 0.1,
     weight: Column | None = None,
     expand=None,
+    start: Network | None = None,
 ) -> tuple[Network, DataFrame]:
     """Parallel passes: each seeded shard runs sequential mini-batches from the shared weights, the
     results are averaged by row count once per epoch (Zinkevich et al. 2010). One job per epoch.
 
     ``weight`` is the number of examples a row stands for. ``expand`` turns the stored matrix of a
     record batch into the input layer (say codes into one-hot slots), so that only the compact form
-    is stored and shuffled.
+    is stored and shuffled. ``start`` replaces the random first network. Without ``shards`` there is one per
+    SHARD_ROWS rows.
 
-    A shard streams through its task in record batches; only a parameter vector leaves it. Rows are
-    dealt to shards by hash and ordered by hash inside, so the result does not hang on the layout.
+    A shard is a partition, and rows are dealt to shards by hash. Every epoch orders them anew, by a hash of epoch and key
+    inside the partition, and cuts the train rows in that order into batches, whatever the record batches they arrive in.
+    So the result hangs neither on the layout nor on the cluster. Only a parameter vector leaves a shard.
     """
-    network = Network.start([dims, *hidden, classes], seed, spread)
+    network = Network.start([dims, *hidden, classes], seed, spread) if start is None else start
     rows = []
     codes = F.concat_ws("-", *[k.cast("string") for k in keys]).alias("k")
     count = (F.lit(1.0) if weight is None else weight.cast("double")).alias("w")
-    sharded = training_frame(df, features, label, is_test, codes, count).select(
-        "x", "y", "t", "w", hash_bucket(f"{seed}-shard", shards, F.col("k")).alias("s"), digest(seed, F.col("k")).alias("o")
-    )
-    sharded = sharded.repartition(shards, "s").sortWithinPartitions("s", "o")
+    frame = training_frame(df, features, label, is_test, codes, count)
+    if shards is None:
+        shards = max(1, -(-frame.count() // SHARD_ROWS))
+    sharded = frame.repartitionById(shards, hash_bucket(f"{seed}-shard", shards, F.col("k")))
     with cached(sharded) as data:
         for epoch in range(epochs + 1):
 
             def run(batches, net=network, last=epoch == epochs):
-                vector, seen, m = net.pack(), 0, np.zeros(4)
+                vector, seen, m = net.pack(), 0.0, np.zeros(4)
                 steps = Steps(rule, rate)
+                waiting: list[tuple] = []
+
+                def step(part: list[tuple]) -> None:
+                    nonlocal vector, seen
+                    a, b, c = (np.concatenate(p) for p in zip(*part))
+                    vector = steps.apply(vector, net.unpack(vector).gradient(a, b, c) / c.sum())
+                    seen += c.sum()
+
                 for batch in batches:
                     if not batch.num_rows:
                         continue
@@ -352,15 +387,22 @@ def fit_network_averaged(
                     if last:
                         continue
                     a, b, c = x[~tests], y[~tests], w[~tests]
-                    for i in range(0, len(a), batch_size):
-                        here = net.unpack(vector)
-                        part = slice(i, i + batch_size)
-                        vector = steps.apply(vector, here.gradient(a[part], b[part], c[part]) / c[part].sum())
-                    seen += c.sum()
+                    at = 0
+                    while at < len(a):
+                        room = batch_size - sum(len(p[1]) for p in waiting)
+                        part = slice(at, at + room)
+                        waiting.append((a[part], b[part], c[part]))
+                        at += room
+                        if sum(len(p[1]) for p in waiting) == batch_size:
+                            step(waiting)
+                            waiting = []
+                if waiting:
+                    step(waiting)
                 out = np.concatenate([vector * seen, [seen], m])
                 yield vector_batch(out)
 
-            total = add_up(data.mapInArrow(run, "vec array<double>"))
+            ordered = data.select("x", "y", "t", "w", digest(f"{seed}-{epoch}", F.col("k")).alias("o"), "k").sortWithinPartitions("o", "k")
+            total = add_up(ordered.select("x", "y", "t", "w").mapInArrow(run, "vec array<double>"))
             if epoch:
                 m = total[-4:]
                 rows.append((epoch, float(m[0] / m[1]), float(m[2] / max(m[3], 1))))

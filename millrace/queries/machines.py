@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import metrics as M
 from millrace.operators import sampling
-from millrace.plans import selection, svm
+from millrace.plans import classification, selection, svm
 from millrace.plans.regression import kernel_map
 from millrace.queries.common import SEED, SQL_VECTORS, Registry, sql_unit, vectors
 
@@ -129,3 +129,58 @@ def grid_losses(spark, folder):
 def grid_single_loss(spark, folder):
     """A grid of one."""
     return _grid(spark, folder, [2], [0.2])
+
+
+# Mini-batches in an order of their own every epoch, four shards averaged after each
+
+
+def _epochs_sql(width: int, label: str, rate: float, epochs: int, gradient: str, hit: str) -> str:
+    """``gradient`` is a list of ``width`` terms of a row (phi, label, w), ``hit`` tells a right answer."""
+    step = ", ".join(f"any_value(w[{j}]) - {rate} * coalesce(sum(g[{j}]) / nullif(count(g), 0), 0)" for j in range(1, width + 1))
+    mean = ", ".join(f"sum(n * w[{j}]) OVER (PARTITION BY i) / sum(n) OVER (PARTITION BY i)" for j in range(1, width + 1))
+    return f"""WITH RECURSIVE {_V},
+      u AS (SELECT vec_id, [a, b, 1.0] AS phi, {label} AS y, is_test, floor({sql_unit(f'{SEED}-shard', 'vec_id')} * 4)::INT AS s FROM d),
+      o AS (SELECT e, s, phi, y, (row_number() OVER (PARTITION BY e, s ORDER BY md5(concat_ws('-', '{SEED}-' || e, vec_id)), vec_id) - 1) // 16 AS j
+            FROM u, range({epochs}) t(e) WHERE NOT is_test),
+      size AS (SELECT max(j) + 1 AS nb FROM o),
+      shards AS (SELECT s, count(*) FILTER (NOT is_test) AS n FROM u GROUP BY 1),
+      it AS (SELECT s, n, 0 AS i, [{', '.join(['0.0::DOUBLE'] * width)}] AS w FROM shards
+        UNION ALL SELECT s, n, i, CASE WHEN i % nb = 0 THEN [{mean}] ELSE w END FROM (
+          SELECT s, any_value(n) AS n, i + 1 AS i, any_value(nb) AS nb, [{step}] AS w FROM (
+            SELECT it.s, it.n, it.i, it.w, nb, CASE WHEN o.phi IS NOT NULL THEN {gradient} END AS g
+            FROM it CROSS JOIN size LEFT JOIN o ON o.s = it.s AND o.e = it.i // nb AND o.j = it.i % nb WHERE it.i < {epochs} * nb) GROUP BY s, i)),
+      net AS (SELECT i // nb AS epoch, any_value(w) AS w FROM it, size WHERE i > 0 AND i % nb = 0 GROUP BY 1),
+      norm AS (SELECT list_sum(list_transform(w, lambda q: q * q)) AS q FROM net WHERE epoch = {epochs})
+      SELECT epoch::INT AS epoch, round(avg(({hit})::INT) FILTER (NOT is_test), 4) AS train_acc, round(avg(({hit})::INT) FILTER (is_test), 4) AS test_acc,
+        round(any_value(q), 5) AS squares FROM net, u, norm GROUP BY 1"""
+
+
+_Z = [f"list_dot_product(phi, [w[{c + 1}], w[{c + 4}], w[{c + 7}]])" for c in range(3)]
+_SHARE = [f"(exp({z}) / ({' + '.join(f'exp({q})' for q in _Z)}) - (y = {c})::INT)" for c, z in enumerate(_Z)]
+_SOFTMAX_SQL = _epochs_sql(
+    9, "k", 0.5, 10, "[" + ", ".join(f"{_SHARE[c]} * phi[{d}]" for d in (1, 2, 3) for c in range(3)) + "]",
+    f"y = CASE WHEN {_Z[0]} >= {_Z[1]} AND {_Z[0]} >= {_Z[2]} THEN 0 WHEN {_Z[1]} >= {_Z[2]} THEN 1 ELSE 2 END",
+)
+_ERROR = "(1 / (1 + exp(-list_dot_product(phi, w))) - y)"
+_LOGISTIC_SQL = _epochs_sql(3, "y", 0.5, 9, "[" + ", ".join(f"{_ERROR} * phi[{d}]" for d in (1, 2, 3)) + "]", "y = (list_dot_product(phi, w) > 0)::INT")
+
+
+def _epochs(spark, folder, label, classes, epochs, start):
+    rows = _points(spark, folder)
+    net, table = classification.fit_network_averaged(
+        rows, F.col("features"), F.col(label), F.col("is_test"), [F.col("vec_id")], 2, [], classes, epochs, 0.5, 16, 4, start=start
+    )
+    shown = [F.round(c, 4).alias(c) for c in ("train_acc", "test_acc")]
+    return table.select("epoch", *shown, F.lit(round(float(net.pack() @ net.pack()), 5)).alias("squares"))
+
+
+@registry.add("softmax_batches", _SOFTMAX_SQL)
+def softmax_batches(spark, folder):
+    """Softmax regression in batches of 16, ten epochs."""
+    return _epochs(spark, folder, "k", 3, 10, classification.Network.start([2, 3], spread=0.0))
+
+
+@registry.add("logistic_batches", _LOGISTIC_SQL)
+def logistic_batches(spark, folder):
+    """Logistic regression in batches of 16, nine epochs."""
+    return _epochs(spark, folder, "y", 2, 9, classification.LogisticUnit.zeros(2))
