@@ -107,7 +107,7 @@ def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 
 def likenesses(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Weighted Jaccard similarities of all pairs of a block, as products of matrices.
+    """Weighted Jaccard similarities of all pairs of different members of a block, as products of matrices; the diagonal means nothing.
 
     The smaller of two weights of a shingle is the sum of the steps between its distinct weights that both reach.
     """
