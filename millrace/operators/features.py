@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ordering import with_rank
+from millrace.session import cut_lineage
 
 CATEGORY_LIMIT = 10_000
 
@@ -46,7 +47,7 @@ class OneHot:
     def fit(cls, df: DataFrame, column: str) -> "OneHot":
         values = df.select(column).where(F.col(column).isNotNull()).distinct().limit(CATEGORY_LIMIT + 1).collect()
         if len(values) > CATEGORY_LIMIT:
-            raise ValueError(f"{column}: over {CATEGORY_LIMIT} categories, use category_index and encode_index")
+            raise ValueError(f"{column}: over {CATEGORY_LIMIT} categories, use SparseColumns")
         return cls(column, sorted(v[0] for v in values))
 
     def slots(self) -> list[Column]:
@@ -175,6 +176,60 @@ class ColumnProcessor:
         return ready.withColumn(name, F.array(*(degree_two(cols) if self.expand else cols))).drop(*names)
 
 
+@dataclass
+class SparseColumns:
+    """The slots of ColumnProcessor for any number of categories: per row the set slots and their values, by joins.
+
+    Slot order is that of the dense form: categories of each integer column in ascending order, then scaled real columns,
+    then products of slots i <= j row by row of the upper triangle. Categories stay tables; a row holds only what is set.
+    """
+
+    categories: list[tuple[str, DataFrame, int]]  # column, (value, idx), first slot
+    scaler: Scaler
+    width: int
+    expand: bool = True
+
+    @classmethod
+    def fit(cls, df: DataFrame, columns: list[str], expand: bool = True) -> "SparseColumns":
+        categorical, real = split_columns(df, columns)
+        tables, first = [], 0
+        for column in categorical:
+            index = cut_lineage(category_index(df, column))
+            tables.append((column, index, first))
+            first += index.count()
+        return cls(tables, Scaler.standard(df, real), first + len(real), expand)
+
+    def size(self) -> int:
+        return self.width * (self.width + 3) // 2 if self.expand else self.width
+
+    def transform(self, df: DataFrame, slots: str = "slots", values: str = "values") -> DataFrame:
+        """df with an ascending array of slots and the array of their values; unknown and null categories set nothing, as zeros do."""
+        names = df.columns
+        row = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+        for i, (column, index, first) in enumerate(self.categories):
+            known = index.select(F.col(column).alias(f"v{i}"), (F.col("idx") + F.lit(first)).alias(f"s{i}"))
+            # A left join on a category: one that holds most rows is split by adaptive execution.
+            row = row.join(known, F.col("row")[column] == F.col(f"v{i}"), "left").drop(f"v{i}")
+        pair = lambda slot, value: F.struct(slot.cast("bigint").alias("s"), value.cast("double").alias("v"))
+        parts = [F.when(F.col(f"s{i}").isNotNull(), pair(F.col(f"s{i}"), F.lit(1.0))) for i in range(len(self.categories))]
+        start = self.width - len(self.scaler.columns)
+        for i, (c, a, b) in enumerate(zip(self.scaler.columns, self.scaler.shift, self.scaler.scale)):
+            parts.append(pair(F.lit(start + i), (F.col("row")[c].cast("double") - F.lit(float(a))) / F.lit(float(b))))
+        set_slots = F.filter(F.array(*parts), lambda p: p.isNotNull() & (p["v"] != 0)) if parts else F.array().cast("array<struct<s:bigint,v:double>>")
+        row = row.select("row", set_slots.alias("set"))
+        if self.expand:
+            width = F.lit(self.width).cast("bigint")
+            # Slot of the product i <= j: rows of the triangle before i, and the place in row i.
+            place = lambda i, j: width + i * width - F.shiftright(i * (i - 1), 1) + (j - i)
+            products = F.flatten(
+                F.transform("set", lambda p, k: F.transform(F.slice("set", k + 1, F.size("set")), lambda q: pair(place(p["s"], q["s"]), p["v"] * q["v"])))
+            )
+            row = row.select("row", F.concat("set", products).alias("set"))
+        ordered = F.array_sort("set")
+        kept = [c for c in names if c not in (slots, values)]
+        return row.select(*[F.col("row")[c].alias(c) for c in kept], F.transform(ordered, lambda p: p["s"]).alias(slots), F.transform(ordered, lambda p: p["v"]).alias(values))
+
+
 def position_slots(codes: Column, categories: list[int]) -> Column:
     """Set slots of a one-hot with the same category list at every position of an array of codes.
 

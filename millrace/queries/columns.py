@@ -311,3 +311,31 @@ def language_counts(spark, folder):
     """Extreme with its first position."""
     rows = documents(spark, folder).groupBy("lang")
     return rows.agg(F.count(F.lit(1)).alias("n"), F.min_by("doc_id", F.struct("n_chars", "doc_id")).alias("shortest"))
+
+
+_WIDE = """c AS (SELECT l_orderkey, dense_rank() OVER (ORDER BY l_orderkey) - 1 AS i FROM (SELECT DISTINCT l_orderkey FROM lineitem)),
+  k AS (SELECT l_linenumber, dense_rank() OVER (ORDER BY l_linenumber) - 1 AS i FROM (SELECT DISTINCT l_linenumber FROM lineitem)),
+  m AS (SELECT (SELECT count(*) FROM c) AS nc, (SELECT count(*) FROM k) AS nk, avg(l_tax) AS mu, stddev_pop(l_tax) AS sd FROM lineitem),
+  x AS (SELECT l.l_linenumber, c.i AS i, nc + k.i AS j, nc + nk AS t, nc + nk + 1 AS d, (l_tax - mu) / sd AS z
+        FROM lineitem l JOIN c ON c.l_orderkey = l.l_orderkey JOIN k ON k.l_linenumber = l.l_linenumber, m),
+  e AS (SELECT l_linenumber, unnest([i, j, t, d + i * d - i * (i - 1) // 2, d + i * d - i * (i - 1) // 2 + j - i, d + i * d - i * (i - 1) // 2 + t - i,
+                 d + j * d - j * (j - 1) // 2, d + j * d - j * (j - 1) // 2 + t - j, d + t * d - t * (t - 1) // 2]) AS slot,
+               unnest([1, 1, z, 1, 1, z, 1, z, z * z]) AS v FROM x)"""
+
+
+@registry.add(
+    "sparse_columns",
+    f"""WITH {_WIDE} SELECT l_linenumber, count(*) AS set_slots, sum(slot)::BIGINT AS slot_sum, max(slot)::BIGINT AS last_slot, round(sum(v), 3) AS value_sum
+        FROM e WHERE v <> 0 GROUP BY 1""",
+)
+def sparse_columns(spark, folder):
+    """Every order key a category, line numbers too, tax scaled, products of degree two: set slots only."""
+    rows = lineitem(spark, folder).select("l_orderkey", "l_linenumber", "l_tax")
+    done = FE.SparseColumns.fit(rows, ["l_orderkey", "l_linenumber", "l_tax"]).transform(rows)
+    long = done.select("l_linenumber", F.explode(F.arrays_zip("slots", "values")).alias("p")).select("l_linenumber", "p.slots", "p.values")
+    return long.groupBy("l_linenumber").agg(
+        F.count(F.lit(1)).alias("set_slots"),
+        F.sum("slots").alias("slot_sum"),
+        F.max("slots").alias("last_slot"),
+        F.round(F.sum("values"), 3).alias("value_sum"),
+    )

@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -152,3 +153,20 @@ def test_gaussian_density(spark):
 def test_context_code_lists():
     assert len(S.FOLDED_CODES) == 41
     assert sorted(set(S.FOLDED_CODES)) == S.FOLDED_CODES
+
+
+def test_sparse_columns_equal_the_dense_form(spark):
+    rng = np.random.RandomState(3)
+    rows = [(int(a), float(b), int(c), "x") for a, b, c in zip(rng.randint(0, 5, 40), rng.normal(size=40).round(3), rng.randint(-2, 2, 40))]
+    df = spark.createDataFrame(rows, "a INT, b DOUBLE, c INT, slots STRING")
+    new = spark.createDataFrame([(9, 0.5, 0, "y"), (None, 0.25, 1, None)], df.schema)
+    for expand in (True, False):
+        dense = FE.ColumnProcessor.fit(df, ["a", "b", "c"], expand)
+        sparse = FE.SparseColumns.fit(df, ["a", "b", "c"], expand)
+        for part in (df, new):
+            want = {(r.a, r.b, r.c): [0.0 if v is None else v for v in r.features] for r in dense.transform(part).collect()}
+            for r in sparse.transform(part, "at", "values").collect():
+                full = np.zeros(sparse.size())
+                full[r["at"]] = r["values"]
+                assert full.tolist() == pytest.approx(want[r.a, r.b, r.c]) and list(r["at"]) == sorted(r["at"]) and r.slots in ("x", "y", None)
+    assert FE.SparseColumns.fit(df, ["a"]).transform(df.limit(0)).count() == 0
