@@ -1,7 +1,8 @@
 """A corpus pipeline of five stages: quality, line dedup, near-dedup, source mixing, packing.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the
-docs of the next. All stages but the last return the columns of documents.
+docs of the next. All stages but the last return the columns of documents, in their order and whatever else they hold:
+columns pass through inside a struct, so that no name can clash. Empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -17,7 +18,11 @@ from millrace.session import shared_folder
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject; it learns from labelled rows that are not held out."""
+    """Documents that the quality classifier does not reject; it learns from labelled rows that are not held out.
+
+    Null and empty texts get the score of the bias alone; rows without an id are scored and never learned from; repeated
+    rows are scored alike. Without any label all scores are one half, and all rows stay.
+    """
     labels = spark.read.parquet(os.path.join(sf_dir, "labels.parquet"))
     model = quality.fit_quality(docs, labels, ~quality.held_out())
     scored = quality.score_quality(docs, model)
@@ -25,7 +30,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def thin_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that many of them share; n_chars is counted anew."""
+    """Documents without the lines that many of them share; n_chars is counted anew.
+
+    A null text becomes empty; rows of one id, and those without one, count as one document each and all stay, ties go to
+    the largest id. A document may lose all its lines and stays as an empty one.
+    """
     thinned = lines.drop_repeated_lines(docs)
     if "n_chars" in docs.columns:
         thinned = thinned.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
@@ -33,17 +42,26 @@ def thin_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, that of the smallest id and word sequence.
+
+    Rows without a word all stay, null texts too. Rows without an id are told apart by their words, equal ones are one.
+    """
     return minhash.keep_one(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document once, those of smaller sources up to twice, so that the sources meet their tempered weights."""
+    """Every document once, those of smaller sources up to twice, so that the sources meet their tempered weights.
+
+    A null source is a source of its own; null and empty texts count as one token.
+    """
     return mixing.mix_sources(docs).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of 2,048 tokens."""
+    """Pieces of the documents in sequences of 2,048 tokens.
+
+    A null or empty text is its end token alone, a null id stays null, repeated rows are documents of their own.
+    """
     return packing.pack_documents(docs, packing.default_tokenizer())
 
 
