@@ -1,9 +1,9 @@
 """Exact k nearest neighbours under L1, L2 or L3 without comparing every pair of rows.
 
-Train rows are put into cells around pivots. Every query first gets an upper bound of its k-th
-distance from the pivot table alone, and then visits only the cells whose ball can hold something
-closer (triangle inequality, Lu et al. 2012). Equal vectors are folded before: of a group of equal
-train rows only the k lowest ids can ever be chosen, and equal queries share one search.
+Train rows are put into cells around pivots, as many as the rows ask for, in a tree of two levels. A query first searches
+its own cell, which bounds its k-th distance, and then only the cells that the triangle inequality (or, under L2, the plane
+between two pivots) does not rule out. Equal vectors are folded before: of a group of equal train rows only the k lowest ids
+can ever be chosen, and equal queries share one search.
 """
 
 from __future__ import annotations
@@ -17,7 +17,10 @@ from millrace.functions.hashing import digest
 from millrace.operators.blocks import block_join
 from millrace.operators.linalg import matrix
 from millrace.operators.metrics import weighted_vote
+from millrace.session import cut_lineage
 
+#: Train rows per cell, and bytes of all pivots at most: they travel with the tasks.
+CELL_ROWS, PIVOT_BYTES = 1024, 32 << 20
 SLACK = 1e-9  # relative; keeps rounding of computed distances from pruning a true neighbour
 
 
@@ -43,15 +46,16 @@ def distances(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
     return out
 
 
-def distinct_vectors(rows: DataFrame, key: str, features: str, k: int) -> DataFrame:
-    """One row per distinct vector: its lowest key and its k lowest keys.
+def distinct_vectors(rows: DataFrame, key: str, features: str, k: int, tag: Column | None = None) -> DataFrame:
+    """One row per distinct vector: its lowest key, and its k lowest keys with what they carry.
 
     The window limit keeps k rows per vector in every task before the shuffle.
     """
     code = F.xxhash64(F.col(features))
     order = Window.partitionBy("_code", features).orderBy(key)
     kept = rows.withColumn("_code", code).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k)
-    return kept.groupBy("_code", features).agg(F.min(key).alias("rep"), F.sort_array(F.collect_list(key)).alias("members")).drop("_code")
+    member = F.struct(F.col(key).alias("neighbor"), (F.lit(None).cast("int") if tag is None else tag).alias("tag"))
+    return kept.groupBy("_code", features).agg(F.min(key).alias("rep"), F.sort_array(F.collect_list(member)).alias("members")).drop("_code")
 
 
 def choose_pivots(train: DataFrame, features: str, count: int) -> np.ndarray:
@@ -60,102 +64,164 @@ def choose_pivots(train: DataFrame, features: str, count: int) -> np.ndarray:
     return np.array([r[0] for r in rows], dtype=float)
 
 
-def _nearest_pivot(pivots: np.ndarray, p: int):
-    def run(batches):
-        for batch in batches:
-            names = batch.schema.names
-            x = matrix(batch.column(names.index("x")))
-            if not len(x):
-                continue
-            d = distances(x, pivots, p)
-            cell = d.argmin(axis=1)
-            near = d[np.arange(len(x)), cell]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cell, pa.int32()), pa.array(near, pa.float64())], names=[*names, "cell", "near"]
-            )
-
-    return run
+class MetricIndex:
+    """Pivots in two levels: the first ones are tops, every pivot is a cell below its nearest top.
 
+    A row belongs to its nearest top and there to the nearest cell, so that placing it costs about twice the root of the
+    number of cells. Per top and cell the index keeps how many rows it holds, and how near and far they lie.
+    """
 
-def _visits(pivots: np.ndarray, p: int, k: int, radius: np.ndarray, nearest: list[np.ndarray]):
-    """Cells a query must visit, given each cell's radius and its k smallest centre distances."""
-    flat_cell = np.concatenate([np.full(len(n), i) for i, n in enumerate(nearest)]).astype(int)
-    flat_gap = np.concatenate(nearest)
+    def __init__(self, pivots: np.ndarray, p: int):
+        self.pivots, self.p = pivots, p
+        tops = int(np.ceil(np.sqrt(len(pivots))))
+        self.tops = pivots[:tops]
+        top = distances(pivots, self.tops, p).argmin(axis=1)
+        top[:tops] = np.arange(tops)  # a top is a cell of its own, also next to an equal one
+        self.cells = [np.flatnonzero(top == t) for t in range(tops)]
+        self.inner, self.radius = np.full(len(pivots), np.inf), np.full(len(pivots), -np.inf)
+        self.top_reach, self.top_count = np.full(tops, -np.inf), np.zeros(tops)
+
+    def place(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Cell, distance to its pivot, top, distance to the top."""
+        far = distances(x, self.tops, self.p)
+        top = far.argmin(axis=1)
+        cell, near = np.zeros(len(x), int), np.zeros(len(x))
+        for t in np.unique(top):
+            rows = np.flatnonzero(top == t)
+            d = distances(x[rows], self.pivots[self.cells[t]], self.p)
+            best = d.argmin(axis=1)
+            cell[rows], near[rows] = self.cells[t][best], d[np.arange(len(rows)), best]
+        return cell, near, top, far[np.arange(len(x)), top]
+
+    def learn(self, rows: DataFrame) -> "MetricIndex":
+        """Counts and reaches from placed rows (cell, near, top, far, m): a few numbers per cell reach the driver."""
+        stats = rows.groupBy("top", "cell").agg(F.min("near").alias("inner"), F.max("near").alias("radius"), F.max("far").alias("far"), F.sum("m").alias("m"))
+        for r in stats.collect():
+            self.inner[r["cell"]], self.radius[r["cell"]] = r["inner"], r["radius"]
+            self.top_reach[r["top"]] = max(self.top_reach[r["top"]], r["far"])
+            self.top_count[r["top"]] += r["m"]
+        return self
+
+    def _plane(self, d: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+        """Under L2: how far a row in each pivot's part lies at least, from the plane between that pivot and the query's nearest."""
+        own = d.argmin(axis=1)
+        gap = distances(pivots, pivots, 2)[own]
+        return np.where(gap > 0, (d * d - d.min(axis=1)[:, None] ** 2) / (2 * np.where(gap > 0, gap, 1.0)), 0.0)
+
+    def reached(self, x: np.ndarray, bound: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row, cell) of the cells that may hold something within the bound; without a bound one from the tops alone."""
+        far = distances(x, self.tops, self.p)
+        # The k-th row lies at most as far as the far side of the tops that hold k rows together.
+        side = np.where(self.top_count > 0, far + self.top_reach, np.inf)
+        order = np.argsort(side, axis=1)
+        enough = np.cumsum(self.top_count[order], axis=1) >= k
+        sides = np.take_along_axis(side, order, axis=1)
+        limit = np.where(enough.any(axis=1), sides[np.arange(len(x)), enough.argmax(axis=1)], np.inf)
+        bound = np.minimum(bound, limit)
+        allowed = lambda low, d, b: low <= b + SLACK * (d + np.where(np.isfinite(b), b, 0.0))
+        low = far - self.top_reach
+        if self.p == 2:
+            low = np.maximum(low, self._plane(far, self.tops))
+        open_top = allowed(low, far, bound[:, None]) & (self.top_count > 0)
+        rows, cells = [], []
+        for t in np.flatnonzero(open_top.any(axis=0)):
+            at, own = np.flatnonzero(open_top[:, t]), self.cells[t]
+            d = distances(x[at], self.pivots[own], self.p)
+            low = np.maximum(d - self.radius[own], self.inner[own] - d)
+            if self.p == 2:
+                low = np.maximum(low, self._plane(d, self.pivots[own]))
+            row, cell = np.nonzero(allowed(low, d, bound[at][:, None]) & (self.radius[own] >= 0))
+            rows.append(at[row])
+            cells.append(own[cell])
+        empty = np.zeros(0, int)
+        return np.concatenate([empty, *rows]), np.concatenate([empty, *cells])
+
+
+def _placed(rows: DataFrame, index, fields: str) -> DataFrame:
+    """rows, which begin with x, and cell, near, top, far of each."""
 
     def run(batches):
         for batch in batches:
-            x = matrix(batch.column(batch.schema.names.index("x")))
-            if not len(x):
-                continue
-            d = distances(x, pivots, p)
-            reach = d[:, flat_cell] + flat_gap
-            kk = min(k, reach.shape[1])
-            bound = np.partition(reach, kk - 1, axis=1)[:, kk - 1]
-            visit = (d - radius[None, :] <= bound[:, None] + SLACK * (d + radius[None, :] + bound[:, None])) & (radius[None, :] >= 0)
-            row, cell = np.nonzero(visit)
-            take = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [*[c.take(take) for c in batch.columns], pa.array(cell, pa.int32())], names=[*batch.schema.names, "cell"]
-            )
+            if batch.num_rows:
+                cell, near, top, far = index.value.place(matrix(batch.column(0)))
+                made = [pa.array(cell, pa.int32()), pa.array(near), pa.array(top, pa.int32()), pa.array(far)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, "cell", "near", "top", "far"])
 
-    return run
+    return rows.mapInArrow(run, f"{fields}, cell int, near double, top int, far double")
 
 
-def nearest(
-    train: DataFrame, queries: DataFrame, key: str, features: str, k: int, p: int = 2, pivots: int = 64
-) -> DataFrame:
-    """The k nearest train rows of every query: (query, neighbor, distance, rank); ties by lowest key."""
-    base = distinct_vectors(train.select(F.col(key).alias("key"), F.col(features).alias("x")), "key", "x", k).persist()
-    centres = choose_pivots(base, "x", pivots)
-    if not len(centres):
-        raise ValueError("no train rows")
-    held = base.mapInArrow(_nearest_pivot(centres, p), "x array<double>, rep bigint, members array<bigint>, cell int, near double").persist()
-    # Per cell: the radius and the k smallest distances to the centre. A vector stands for up to k rows.
-    order = Window.partitionBy("cell").orderBy("near", "rep")
-    close = held.select("cell", "near", "rep", F.size("members").alias("m")).withColumn("n", F.row_number().over(order)).where(F.col("n") <= k)
-    summary = (
-        close.groupBy("cell")
-        .agg(F.sort_array(F.collect_list(F.struct("near", "m"))).alias("close"))
-        .join(held.groupBy("cell").agg(F.max("near").alias("radius")), "cell")
-        .collect()
-    )
-    radius = np.full(len(centres), -1.0)
-    near: list[np.ndarray] = [np.zeros(0)] * len(centres)
-    for row in summary:
-        radius[row.cell] = row.radius
-        near[row.cell] = np.repeat([c.near for c in row.close], [c.m for c in row.close])[:k]
-    asked = queries.select(F.col(key).alias("query"), F.col(features).alias("x"))
-    unique = asked.groupBy("x").agg(F.min("query").alias("asker"))
-    visiting = unique.mapInArrow(_visits(centres, p, k, radius, near), "x array<double>, asker bigint, cell int")
+def _best_of_cells(asked: DataFrame, held: DataFrame, k: int, p: int, members: str) -> DataFrame:
+    """(asker, distance, neighbor, tag, rank): the k best of asked (asker, x, cell) among the held rows of the same cells."""
 
     def best(a: pa.Table, b: pa.Table) -> pa.Table:
         asker = a.column("asker").to_numpy()
         d = distances(matrix(a.column("x")), matrix(b.column("x")), p)
-        rep = b.column("rep").to_numpy()
-        members = b.column("members").combine_chunks() if isinstance(b.column("members"), pa.ChunkedArray) else b.column("members")
         kk = min(k, d.shape[1])
         # Equal distances at the border are all kept here; the final rank picks the lowest keys.
         border = np.partition(d, kk - 1, axis=1)[:, kk - 1]
         row, col = np.nonzero(d <= border[:, None] * (1 + SLACK))
-        return pa.table(
-            {
-                "asker": pa.array(asker[row], pa.int64()),
-                "distance": pa.array(significant(d[row, col]), pa.float64()),
-                "rep": pa.array(rep[col], pa.int64()),
-                "members": members.take(pa.array(col, pa.int64())),
-            }
-        )
-
-    found = block_join(
-        visiting, held.select("x", "rep", "members", "cell"), "cell", "asker", "rep", best,
-        "asker bigint, distance double, rep bigint, members array<bigint>",
-    )
-    rows = found.select("asker", "distance", F.explode("members").alias("neighbor"))
+        columns = [pa.array(asker[row], pa.int64()), pa.array(significant(d[row, col]), pa.float64()), b.column("members").combine_chunks().take(pa.array(col, pa.int64()))]
+        return pa.Table.from_arrays(columns, names=["asker", "distance", "members"])
+
+    found = block_join(asked, held.select("x", "rep", "members", "cell"), "cell", "asker", "rep", best, f"asker bigint, distance double, members {members}")
+    return ranked(found.select("asker", "distance", F.inline("members")), k)
+
+
+def ranked(rows: DataFrame, k: int) -> DataFrame:
     rank = Window.partitionBy("asker").orderBy("distance", "neighbor")
-    top = rows.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
+    return rows.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
+
+
+def search(
+    train: DataFrame, queries: DataFrame, key: str, features: str, k: int, p: int = 2, tag: Column | None = None, pivots: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """((query, neighbor, tag, distance, rank), (asker, cell) visited beyond the own cell).
+
+    ``tag`` is what a train row brings along, its label for example. Without ``pivots`` there is one per CELL_ROWS rows,
+    PIVOT_BYTES of them at most; a crowded cell is compared in blocks.
+    """
+    carried = F.lit(None).cast("int") if tag is None else tag
+    base = train.select(F.col(key).alias("key"), F.col(features).alias("x"), carried.alias("tag"))
+    base = cut_lineage(distinct_vectors(base, "key", "x", k, F.col("tag")).select("x", "rep", "members"))
+    shape = base.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("d")).first()
+    if not shape["n"]:
+        raise ValueError("no train rows")
+    most = max(1, PIVOT_BYTES // (8 * max(1, shape["d"])))
+    index = MetricIndex(choose_pivots(base, "x", pivots or min(most, -(-shape["n"] // CELL_ROWS))), p)
+    context = train.sparkSession.sparkContext
+    members = base.schema["members"].dataType.simpleString()
+    held = cut_lineage(_placed(base, context.broadcast(index), f"x array<double>, rep bigint, members {members}"))
+    index.learn(held.withColumn("m", F.size("members")))
+    sent = context.broadcast(index)
+    asked = queries.select(F.col(key).alias("query"), F.col(features).alias("x"))
+    unique = cut_lineage(_placed(asked.groupBy("x").agg(F.min("query").alias("asker")), sent, "x array<double>, asker bigint").select("x", "asker", "cell"))
+    own = cut_lineage(_best_of_cells(unique, held, k, p, members))
+    bound = own.where(F.col("rank") == k).select("asker", F.col("distance").alias("bound"))
+    bounded = unique.join(bound, "asker", "left").select("x", "asker", "cell", F.coalesce("bound", F.lit(float("inf"))).alias("bound"))
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            home, within = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            row, cell = sent.value.reached(matrix(batch.column(0)), within, k)
+            other = cell != home[row]
+            take = pa.array(row[other], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(take), batch.column(1).take(take), pa.array(cell[other], pa.int32())], names=["x", "asker", "cell"]
+            )
+
+    visiting = cut_lineage(bounded.mapInArrow(run, "x array<double>, asker bigint, cell int"))
+    top = own.drop("rank").unionByName(_best_of_cells(visiting, held, k, p, members).drop("rank"))
     # Give each query of a group of equal vectors the result of its asker.
-    owners = asked.join(unique, "x").select("query", "asker")
-    return owners.join(top, "asker").select("query", "neighbor", "distance", "rank")
+    owners = asked.join(unique.select("x", "asker"), "x").select("query", "asker")
+    found = owners.join(ranked(top, k), "asker").select("query", "neighbor", "tag", "distance", "rank")
+    return found, visiting.select("asker", "cell")
+
+
+def nearest(train: DataFrame, queries: DataFrame, key: str, features: str, k: int, p: int = 2, pivots: int | None = None) -> DataFrame:
+    """The k nearest train rows of every query: (query, neighbor, distance, rank); ties by lowest key."""
+    return search(train, queries, key, features, k, p, None, pivots)[0].drop("tag")
 
 
 def vote_weight(neighbors: DataFrame, weights: str) -> DataFrame:
@@ -180,9 +246,8 @@ def classify(
     train: DataFrame, queries: DataFrame, key: str, features: str, label: str, k: int = 3, p: int = 2, weights: str = "uniform"
 ) -> DataFrame:
     """Weighted vote of the k nearest; lowest class on ties. Columns: query, prediction."""
-    found = nearest(train, queries, key, features, k, p)
-    labelled = found.join(train.select(F.col(key).alias("neighbor"), F.col(label).alias("class")), "neighbor")
-    return weighted_vote(vote_weight(labelled, weights), "query", "class", F.col("weight"))
+    found = search(train, queries, key, features, k, p, F.col(label))[0].withColumnRenamed("tag", "class")
+    return weighted_vote(vote_weight(found, weights), "query", "class", F.col("weight"))
 
 
 def first_mistakes(predictions: DataFrame, label: str, order: Column) -> DataFrame:

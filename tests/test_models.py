@@ -148,6 +148,35 @@ def test_small_blocks_give_the_same_neighbors(spark, monkeypatch):
     assert sorted(map(tuple, NB.nearest(train, queries, "id", "x", 3).collect())) == whole
 
 
+@pytest.mark.parametrize("p", [1, 2, 3])
+def test_few_cells_are_visited(spark, p):
+    """Rows in groups: a query searches its own cell and a small part of the others, and finds what all pairs give."""
+    rng = np.random.RandomState(7)
+    centre = rng.uniform(-50, 50, size=(30, 3))
+    x = centre[np.arange(1200) % 30] + rng.normal(size=(1200, 3))
+    train, asked = {i: v.tolist() for i, v in enumerate(x[:1100])}, {i + 5000: v.tolist() for i, v in enumerate(x[1100:])}
+    schema = "id BIGINT, x ARRAY<DOUBLE>"
+    frames = [spark.createDataFrame(list(d.items()), schema) for d in (train, asked)]
+    found, visits = NB.search(*frames, "id", "x", 3, p, F.col("id") * 2, pivots=60)
+    got = {}
+    for r in found.orderBy("query", "rank").collect():
+        got.setdefault(r["query"], []).append(r.neighbor)
+        assert r["tag"] == 2 * r.neighbor
+    assert got == brute(train, asked, 3, p)
+    assert visits.count() < 0.15 * 100 * 60
+
+
+def test_more_neighbors_than_a_cell_holds(spark):
+    x = np.arange(40.0) ** 2
+    rows = spark.createDataFrame([(i, [float(v)]) for i, v in enumerate(x)], "id BIGINT, x ARRAY<DOUBLE>")
+    for k in (7, 40, 50):
+        found = NB.nearest(rows, rows.where("id < 3"), "id", "x", k, pivots=20)
+        got = {}
+        for r in found.orderBy("query", "rank").collect():
+            got.setdefault(r["query"], []).append(r.neighbor)
+        assert got == {q: sorted(range(40), key=lambda i: (abs(x[i] - x[q]), i))[:k] for q in range(3)}
+
+
 def test_k_equal_to_n_and_identity(spark):
     rows = spark.createDataFrame([(i, [float(i)], i % 2) for i in range(6)], "id BIGINT, x ARRAY<DOUBLE>, y INT")
     assert NB.nearest(rows, rows.where("id = 0"), "id", "x", 6).count() == 6
