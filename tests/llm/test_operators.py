@@ -184,7 +184,7 @@ def test_packing(docs):
 
 @pytest.mark.parametrize("text", ["Don't stop. THE end, <|endoftext|> x\x01y ÀÉ straße 12 ok!", "", "a b c", "İstanbul ΟΔΟΣ."])
 def test_unit_encoder(text):
-    encoder = packing.UnitEncoder(packing.default_tokenizer())
+    encoder = packing.UnitEncoder(packing.default_tokenizer(), 1000)
     ids = encoder.tokenizer.encode(text, add_special_tokens=False).ids
     assert encoder.encode([text, text])[1] == np.array(ids, "<u4").tobytes()
 
