@@ -17,6 +17,10 @@ from millrace.llm import lines, minhash, mixing, packing, quality
 from millrace.session import shared_folder
 
 
+#: Units whose ids a packing worker keeps: a quarter of the operator's own number, since workers outlive their stage.
+KEPT_UNITS = 100_000
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject; it learns from labelled rows that are not held out.
 
@@ -62,7 +66,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null or empty text is its end token alone, a null id stays null, repeated rows are documents of their own.
     """
-    return packing.pack_documents(docs, packing.default_tokenizer())
+    return packing.pack_documents(docs, packing.default_tokenizer(), kept=KEPT_UNITS)
 
 
 STAGES = [
