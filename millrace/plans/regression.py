@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import md5
 from math import comb
 
 import numpy as np
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import linear_score_columns
 from millrace.operators.linalg import Gram, gram_by, matrix, sum_vectors
-from millrace.operators.sampling import batch_number
+from millrace.session import cut_lineage
 
 
 @dataclass
@@ -126,32 +128,88 @@ def linear_gradient(
 ) -> tuple[np.ndarray, DataFrame]:
     """Mini-batch gradient steps w -= rate * (mean((x.w - y) x) + l2 w), bias included in w.
 
-    The gradient of a batch only needs the Gram of that batch, so every epoch and batch comes from
-    one scan; rows are expanded per epoch but combined map-side.
+    The gradient of a batch only needs the Gram of that batch, so every epoch and batch comes from one scan in which
+    each task adds up its own sums and no row is copied. The sums are reduced by (epoch, batch) and read in that order.
     """
     xs = [*columns, F.lit(1.0)]
-    if batches == 1:
-        grams = gram_by(df, [is_test], xs, target)
-        train, test = grams[(False,)], grams[(True,)]
-        steps = [[train]] * epochs
-    else:
-        numbers = F.array(*[batch_number(seed, e, batches, *keys) for e in range(epochs)])
-        expanded = df.select("*", F.posexplode(numbers).alias("_epoch", "_batch"))
-        batch = F.when(is_test, F.lit(-1)).otherwise(F.col("_batch"))
-        grams = gram_by(expanded, [F.col("_epoch"), batch], xs, target)
-        test = grams[(0, -1)]
-        steps = [[grams[(e, b)] for b in range(batches) if (e, b) in grams] for e in range(epochs)]
-        first = steps[0]
-        train = Gram(sum(g.xx for g in first), sum(g.xy for g in first), sum(g.yy for g in first), sum(g.n for g in first))
+    whole, sums = batch_grams(df, xs, target, is_test, epochs if batches > 1 else 0, batches, keys or [], seed)
+    train, test = whole
     weights = np.zeros(len(xs))
     rows = []
-    for epoch, batch_grams in enumerate(steps):
-        for g in batch_grams:
-            weights = weights - rate * ((g.xx @ weights - g.xy) / g.n + l2 * weights)
+    for epoch in range(epochs):
+        for g in [train] if batches == 1 else (next(sums) for _ in range(batches)):
+            if g.n:
+                weights = weights - rate * ((g.xx @ weights - g.xy) / g.n + l2 * weights)
         rows.append((epoch + 1, train.rmse(weights), test.rmse(weights)))
     return weights, metric_table(df.sparkSession, rows, "epoch INT, train_rmse DOUBLE, test_rmse DOUBLE")
 
 
+def batch_grams(
+    df: DataFrame, xs: list[Column], target: Column, is_test: Column, epochs: int, batches: int, keys: list[Column], seed
+) -> tuple[tuple[Gram, Gram], Iterator[Gram]]:
+    """Grams of the train and test rows, and those of every batch of every epoch in order, from one scan.
+
+    A task holds the sums of epochs x batches x columns squared, whatever its rows. The driver reads one batch at a time.
+    """
+    q = len(xs) + 1
+    upper = np.triu_indices(q)
+    cells = len(upper[0]) + 1
+    complete = target.isNotNull()
+    for x in xs:
+        complete &= x.isNotNull()
+    items = F.array(*[c.cast("double") for c in (*xs, target)])
+    code = F.concat_ws("-", *[k.cast("string") for k in keys]) if keys else F.lit("")
+    data = df.where(complete & is_test.isNotNull()).select(items.alias("z"), is_test.alias("t"), code.alias("k"))
+
+    def add(parts):
+        total = np.zeros((epochs * batches + 2, cells))
+        for batch in parts:
+            if not batch.num_rows:
+                continue
+            z, tests = matrix(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            products = np.column_stack([z[:, upper[0]] * z[:, upper[1]], np.ones(len(z))])
+            total[-1] += products[tests].sum(axis=0)
+            products = products[~tests]
+            total[-2] += products.sum(axis=0)
+            codes = [c.encode() for c, t in zip(batch.column(2).to_pylist(), tests) if not t] if epochs else []
+            for epoch in range(epochs):
+                start = f"{seed}-{epoch}-".encode()
+                # The same digest and bucket as batch_number().
+                words = np.array([int.from_bytes(md5(start + c).digest()[:4], "big") for c in codes], dtype=float)
+                number = np.floor(words / 4294967296.0 * batches).astype(int)
+                for cell in range(cells):
+                    total[epoch * batches : (epoch + 1) * batches, cell] += np.bincount(number, weights=products[:, cell], minlength=batches)
+        place, cell = np.nonzero(total)
+        yield pa.RecordBatch.from_pydict({"place": pa.array(place), "cell": pa.array(cell), "v": pa.array(total[place, cell])})
+
+    reduced = data.mapInArrow(add, "place bigint, cell bigint, v double").groupBy("place", "cell").agg(F.sum("v").alias("v"))
+    reduced = cut_lineage(reduced)
+
+    def gram_of(values: np.ndarray) -> Gram:
+        full = np.zeros((q, q))
+        full[upper] = values[:-1]
+        full = full + np.triu(full, 1).T
+        return Gram(full[:-1, :-1], full[:-1, -1], full[-1, -1], int(round(values[-1])))
+
+    ends = np.zeros((2, cells))
+    for r in reduced.where(F.col("place") >= epochs * batches).collect():
+        ends[r["place"] - epochs * batches, r["cell"]] = r["v"]
+    if not ends[0, -1]:
+        raise ValueError("no complete train row")
+
+    def in_order() -> Iterator[Gram]:
+        rows = reduced.where(F.col("place") < epochs * batches).orderBy("place", "cell").toLocalIterator()
+        row = next(rows, None)
+        for place in range(epochs * batches):
+            values = np.zeros(cells)
+            while row is not None and row["place"] == place:
+                values[row["cell"]] = row["v"]
+                row = next(rows, None)
+            yield gram_of(values)
+
+    return (gram_of(ends[0]), gram_of(ends[1])), in_order()
+
+
 class PolynomialMap:
     """Exact finite feature map of the kernel (gamma x.y + 1)**degree: monomials by degree, each from one of a degree less."""
 

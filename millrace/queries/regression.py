@@ -163,11 +163,11 @@ def linear_gd(spark, folder):
 _GDB_UNITS = " UNION ALL ".join(
     f"SELECT {e} AS epoch, floor({sql_unit(f'{SEED}-{e}', *SQL_LINEITEM_KEY)} * 10)::INT AS batch, l_quantity / 50 AS a, l_discount * 10 AS b, "
     "l_extendedprice / 100000 AS y FROM p WHERE NOT is_test"
-    for e in range(5)
+    for e in range(50)
 )
 _GDB = f"""WITH RECURSIVE {_PART}, d AS (SELECT is_test, l_quantity / 50 AS a, l_discount * 10 AS b, l_extendedprice / 100000 AS y FROM p),
   u AS ({_GDB_UNITS}),
-  s AS (SELECT epoch * 10 + batch AS at, sum(a * a) AS saa, sum(a * b) AS sab, sum(b * b) AS sbb, sum(a) AS sa, sum(b) AS sb, sum(a * y) AS say,
+  s AS MATERIALIZED (SELECT epoch * 10 + batch AS at, sum(a * a) AS saa, sum(a * b) AS sab, sum(b * b) AS sbb, sum(a) AS sa, sum(b) AS sb, sum(a * y) AS say,
                sum(b * y) AS sby, sum(y) AS sy, count(*) AS n FROM u GROUP BY 1),
   g AS (SELECT 0 AS step, 0.0::DOUBLE AS w0, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2 UNION ALL
         SELECT step + 1, {_GD_STEP.replace('0.01', '0.0')} FROM g JOIN s ON s.at = g.step),
@@ -178,9 +178,9 @@ _GDB = f"""WITH RECURSIVE {_PART}, d AS (SELECT is_test, l_quantity / 50 AS a, l
 
 @registry.add("linear_gd_batches", _GDB)
 def linear_gd_batches(spark, folder):
-    """Ten seeded mini-batches in each of five epochs, all from one scan."""
+    """Ten seeded mini-batches in each of fifty epochs, all from one scan."""
     rows, columns, target = _gd_input(spark, folder)
-    _, table = R.linear_gradient(rows, columns, target, F.col("is_test"), 5, 0.1, 0.0, 10, lineitem_keys(), SEED)
+    _, table = R.linear_gradient(rows, columns, target, F.col("is_test"), 50, 0.1, 0.0, 10, lineitem_keys(), SEED)
     return table.select("epoch", F.round("train_rmse", 6).alias("train_rmse"), F.round("test_rmse", 6).alias("test_rmse"))
 
 
