@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from millrace.operators.linalg import matrix
 
 _ARROW = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "string": pa.string()}
+_SPARK = {"int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "string": T.StringType()}
 
 
 def score_rows(df: DataFrame, features: Column, name: str, kind: str, fn: Callable[[np.ndarray], np.ndarray], width: int | None = None) -> DataFrame:
@@ -40,5 +41,5 @@ def score_rows(df: DataFrame, features: Column, name: str, kind: str, fn: Callab
                 values = values.take(pa.array(place, mask=place < 0))
             yield pa.RecordBatch.from_arrays([batch.column(0), values], names=["row", name])
 
-    made = rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField(name, T._parse_datatype_string(kind))]))
+    made = rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField(name, _SPARK[kind])]))
     return made.select(*[F.col("row")[c].alias(c) for c in names], F.col(f"`{name}`"))
