@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,14 +64,6 @@ def dictionary_examples(dictionary: DataFrame, marks: MarkTable = MarkTable(), n
     return kept.select("word", "number", "pos", "letter", "context", mark_class(F.col("target"), marks).alias("cls"))
 
 
-def scattered(key: Column, *row: str) -> Column:
-    """The key, or for a row without one a spread-out value that matches nothing.
-
-    Rows with a NULL key would all meet in one task of an outer join.
-    """
-    return F.coalesce(key, F.concat(F.lit("\u0000no key "), F.pmod(F.xxhash64(*row), F.lit(4096)).cast("string")))
-
-
 def word_occurrences(docs: DataFrame, text: str) -> DataFrame:
     """Lower-cased letter runs and their counts."""
     return (
@@ -110,26 +104,56 @@ def refine_dictionary(dictionary: DataFrame, counts: DataFrame, rare: int = 50)
     return grouped.select("word", F.when(single, F.array("best")).otherwise(F.col("all")).alias("variants"))
 
 
+def patched(pieces: Column, patches: Column) -> Column:
+    """The array with the pieces of the patches, structs (pos, piece) in order of pos, in their places.
+
+    Runs between patches are copied as slices, so the cost is linear in the array. No patches (NULL) leave it as it is.
+    """
+    start = lambda i: F.coalesce(F.get(patches, i - 1)["pos"] + 1, F.lit(0))
+    body = F.flatten(F.transform(patches, lambda p, i: F.concat(F.slice(pieces, start(i) + 1, p["pos"] - start(i)), F.array(p["piece"]))))
+    done = start(F.size(patches))
+    tail = F.slice(pieces, done + 1, F.greatest(F.size(pieces) - done, F.lit(0)))
+    return F.when(F.coalesce(F.size(patches), F.lit(0)) <= 0, pieces).otherwise(F.concat(body, tail))
+
+
+def patch_texts(docs: DataFrame, key: str, text: str, changes: DataFrame, pieces: Callable[[Column], Column], each: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(key, text) of every row of docs with the changes (key, _print, pos, piece) put into pieces(text).
+
+    Only the changes are grouped; a text moves at most once, to meet them. A row is its key with a hash of its text, so
+    rows without a key or of one repeated key keep their own changes. `each` maps the pieces that are not patched too.
+    """
+    listed = changes.groupBy(key, "_print").agg(F.sort_array(F.collect_set(F.struct("pos", "piece"))).alias("_patches"))
+    listed = listed.select(F.col(key).alias("_key"), F.col("_print").alias("_same"), "_patches")
+    rows = printed(docs, key, text)
+    met = rows.join(listed, rows[key].eqNullSafe(F.col("_key")) & (F.col("_print") == F.col("_same")), "left")
+    cut = met.select(key, pieces(F.col("_text")).alias("_pieces"), "_patches")
+    if each is not None:
+        cut = cut.select(key, F.transform("_pieces", each).alias("_pieces"), "_patches")
+    return cut.select(key, F.array_join(patched(F.col("_pieces"), F.col("_patches")), "").alias("text"))
+
+
+def printed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, _text, _print): the text and its hash. Empty texts have a hash too, NULL texts have the hash of nothing."""
+    return docs.select(key, F.col(text).alias("_text"), F.xxhash64(text).alias("_print"))
+
+
 def restore_words(docs: DataFrame, key: str, text: str, dictionary: DataFrame, marks: MarkTable = MarkTable()) -> DataFrame:
-    """Replace words that have exactly one variant; a capital first letter is restored."""
-    tokens = docs.select(key, F.posexplode(letter_runs(F.col(text))).alias("pos", "token"))
+    """Replace words that have exactly one variant; a capital first letter is restored.
+
+    The distinct words of a text and their places meet the dictionary; only words that change come back to their text.
+    Empty texts stay empty and NULL stays NULL.
+    """
+    words = printed(docs, key, text).select(key, "_print", F.posexplode(letter_runs(F.col("_text"))).alias("pos", "token"))
+    words = words.where(F.col("token").rlike(r"^\p{L}"))
     upper = starts_upper(F.col("token"))
-    alphabetic = F.col("token").rlike(r"^\p{L}")
-    shown = tokens.select(
-        key, "pos", "token", upper.alias("up"), F.when(upper, F.lower("token")).otherwise(F.col("token")).alias("w"), alphabetic.alias("alpha")
-    )
-    keyed = shown.withColumn("k", scattered(F.when(F.col("alpha"), strip_marks(F.col("w"), marks)), key, "pos"))
+    folded = F.when(upper, F.lower("token")).otherwise(F.col("token"))
+    places = words.groupBy(key, "_print", "token").agg(F.collect_list("pos").alias("places")).withColumn("k", strip_marks(folded, marks))
     single = dictionary.where(F.size("variants") == 1).select(F.col("word").alias("k"), F.col("variants")[0].alias("v"))
-    joined = keyed.join(single, "k", "left")
-    word = F.coalesce("v", "w")
-    out = F.when(~F.col("alpha"), F.col("token")).when(F.col("up"), capitalized(word)).otherwise(word)
-    return rebuild(joined.select(key, "pos", out.alias("piece")), key)
-
-
-def rebuild(pieces: DataFrame, key: str) -> DataFrame:
-    """Join (key, pos, piece) rows back to one text per key."""
-    ordered = F.transform(F.sort_array(F.collect_list(F.struct("pos", "piece"))), lambda s: s["piece"])
-    return pieces.groupBy(key).agg(F.array_join(ordered, "").alias("text"))
+    found = places.join(single, "k")
+    piece = F.when(upper, capitalized(F.col("v"))).otherwise(F.col("v"))
+    changes = found.where(piece != F.col("token")).select(key, "_print", F.explode("places").alias("pos"), piece.alias("piece"))
+    # Case is folded without the dictionary, so that it needs no change list.
+    return patch_texts(docs, key, text, changes, letter_runs, lambda w: F.when(w.rlike(r"^\p{Lu}"), capitalized(w)).otherwise(w))
 
 
 def context_model(examples: DataFrame) -> DataFrame:
@@ -154,16 +178,17 @@ def context_accuracy(test: DataFrame, model: DataFrame) -> DataFrame:
 
 
 def restore_marks(docs: DataFrame, key: str, text: str, model: DataFrame, marks: MarkTable = MarkTable(), n: int = 3) -> DataFrame:
-    """Put predicted marks on the letters of unmarked texts and join the texts back.
+    """Put predicted marks on the letters of unmarked texts.
 
-    model has columns context, pred. Letters meet predictions by key, never by a running counter.
+    model has columns context, pred. Only letters that may carry a mark meet predictions, by key, never by a running
+    counter, and only letters that change come back to their text. Empty texts stay empty and NULL stays NULL.
     """
-    rows = letter_table(docs, [key], F.col(text), None, n)
-    may = is_member(F.col("letter"), marks.plain_letters())
-    keyed = rows.withColumn("context", scattered(F.when(may, F.col("context")), key, "pos"))
-    joined = keyed.join(model.select("context", "pred"), "context", "left")
-    piece = F.when(F.col("pred").isNotNull(), add_mark(F.col("letter"), F.col("pred"), marks)).otherwise(F.col("letter"))
-    return rebuild(joined.select(key, "pos", piece.alias("piece")), key)
+    rows = letter_table(printed(docs, key, text), [key, "_print"], F.col("_text"), None, n)
+    may = rows.where(is_member(F.col("letter"), marks.plain_letters()))
+    found = may.join(model.where(F.col("pred") != 0).select("context", "pred"), "context")
+    piece = add_mark(F.col("letter"), F.col("pred"), marks)
+    changes = found.select(key, "_print", "pos", "letter", piece.alias("piece")).where("piece <> letter").drop("letter")
+    return patch_texts(docs, key, text, changes, characters)
 
 
 def letter_accuracy(restored: DataFrame, truth: DataFrame, key: str, text: str) -> DataFrame:

@@ -58,6 +58,28 @@ def test_restored_text_differs_only_in_marks(spark):
     assert MK.restore_marks(plain, "id", "t", model).first().text == text
 
 
+def test_patches_leave_the_rest_of_the_text(spark):
+    rows = spark.createDataFrame([(["a", "b", "c", "d"], [(0, "A"), (3, "D")]), (["a", "b"], None), (["a"], []), ([], None), (["a", "b", "c"], [(1, "XY")])],
+                                 "p ARRAY<STRING>, c ARRAY<STRUCT<pos: INT, piece: STRING>>")
+    found = rows.select(F.array_join(MK.patched(F.col("p"), F.col("c")), "").alias("t")).collect()
+    assert [r.t for r in found] == ["AbcD", "ab", "a", "", "aXYc"]
+
+
+def test_restoring_odd_rows(spark):
+    d = spark.createDataFrame([("cas", ["čas"]), ("a", ["á"])], "word STRING, variants ARRAY<STRING>")
+    long = "Cas a " * 60_000
+    texts = [(1, "cas"), (1, "x cas"), (1, "cas"), (None, "Cas"), (None, "a, a"), (2, ""), (3, None), (4, "..."), (5, long), (6, "McX")]
+    docs = spark.createDataFrame(texts, "id INT, t STRING")
+    found = sorted(((r.id, r.text) for r in MK.restore_words(docs, "id", "t", d).collect()), key=str)
+    wanted = [(1, "čas"), (1, "x čas"), (1, "čas"), (None, "Čas"), (None, "á, á"), (2, ""), (3, None), (4, "..."), (5, "Čas á " * 60_000), (6, "Mcx")]
+    assert found == sorted(wanted, key=str)
+    assert MK.restore_words(docs.limit(0), "id", "t", d).count() == 0
+    learned = MK.context_model(MK.letter_examples(spark.createDataFrame([(1, "čas")], "id INT, t STRING"), ["id"], F.col("t")))
+    found = sorted(((r.id, r.text) for r in MK.restore_marks(docs.where("id < 5 or id is null"), "id", "t", learned).collect()), key=str)
+    wanted = [(1, "čas"), (1, "x cas"), (1, "čas"), (None, "Čas"), (None, "a, a"), (2, ""), (3, None), (4, "...")]
+    assert found == sorted(wanted, key=str)
+
+
 def test_negative_idf_and_documents_without_known_terms(spark):
     docs = spark.createDataFrame([(1, "aa bb aa"), (2, "aa bb"), (3, "aa bb"), (4, "zz")], "id INT, t STRING")
     terms = textstats.term_counts(docs, "id", long_word_tokens(F.col("t")))
