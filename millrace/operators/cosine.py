@@ -24,6 +24,8 @@ from millrace.session import cut_lineage
 SLACK = 1e-9
 BLOCK_DOCS = 512
 TERM_STEP = 4096
+DENSE_SHARE = 100  # multiplications of a matrix product in the time of one product of two postings
+PRODUCTS = 2_000_000  # products of postings held at once
 INDEX_COST = 20.0  # joined postings that cost as much as one document in a block product
 
 
@@ -90,17 +92,41 @@ def _lists(table: pa.Table) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return np.repeat(np.arange(len(terms)), sizes), terms.flatten(), weights.flatten().to_numpy(zero_copy_only=False)
 
 
+def _sparse_products(out: np.ndarray, sides: list[tuple[np.ndarray, ...]], terms: int) -> None:
+    """Add the products of rare terms to out, posting by posting; sides are (term, row, weight) of both blocks."""
+    (term_a, row_a, w_a), (term_b, row_b, w_b) = ([x[np.argsort(side[0], kind="stable")] for x in side] for side in sides)
+    first = np.searchsorted(term_a, np.arange(terms))
+    runs = np.bincount(term_a, minlength=terms)[term_b]
+    ends = np.cumsum(runs)
+    start = 0
+    while start < len(term_b):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + PRODUCTS, side="right")))
+        n = runs[start:stop]
+        other = np.repeat(np.arange(start, stop), n)
+        own = np.arange(len(other)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[term_b[start:stop]], n)
+        out += np.bincount(row_a[own] * out.shape[1] + row_b[other], w_a[own] * w_b[other], out.size).reshape(out.shape)
+        start = stop
+
+
 def block_products(a: pa.Table, b: pa.Table) -> np.ndarray:
-    """Dot products of all documents of two blocks, over the terms both blocks hold."""
+    """Dot products of all documents of two blocks, over the terms both blocks hold.
+
+    Terms with few postings are multiplied posting by posting, the rest as dense matrices of TERM_STEP terms.
+    """
     row_a, term_a, w_a = _lists(a)
     row_b, term_b, w_b = _lists(b)
     codes = pa.chunked_array([term_a, term_b]).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
     code_a, code_b = codes[: len(term_a)], codes[len(term_a) :]
-    common = np.intersect1d(code_a, code_b)
     out = np.zeros((a.num_rows, b.num_rows))
-    if not len(common):
-        return out
-    place = np.full(codes.max() + 1, -1)
+    size = int(codes.max(initial=-1)) + 1
+    products = np.bincount(code_a, minlength=size) * np.bincount(code_b, minlength=size)
+    rare = (products > 0) & (products * DENSE_SHARE < out.size)
+    if rare.any():
+        take_a, take_b = rare[code_a], rare[code_b]
+        _sparse_products(out, [(code_a[take_a], row_a[take_a], w_a[take_a]), (code_b[take_b], row_b[take_b], w_b[take_b])], size)
+    common = np.flatnonzero((products > 0) & ~rare)
+    place = np.full(size, -1)
     place[common] = np.arange(len(common))
     at_a, at_b = place[code_a], place[code_b]
     for start in range(0, len(common), TERM_STEP):

@@ -41,12 +41,15 @@ def inverse_frequency(vocab: DataFrame, documents: Column) -> DataFrame:
     return vocab.withColumn("idf", F.ln(documents.cast("double") / (F.col("df") + 1)))
 
 
-def weights(terms: DataFrame, vocab_idf: DataFrame, variant: str, *keys: str) -> DataFrame:
-    """(keys, term, w) for 'tfidf', 'idf', 'tf' or 'binary'; terms outside the vocabulary drop out."""
+def weights(terms: DataFrame, vocab_idf: DataFrame, variant: str, *keys: str, name: str = "term") -> DataFrame:
+    """(keys, term, w) for 'tfidf', 'idf', 'tf' or 'binary'; terms outside the vocabulary drop out.
+
+    `name` is the column of the vocabulary that stands for the term, such as its number.
+    """
     tf = guarded_ratio(F.col("tf_count").cast("double"), F.col("doc_len").cast("double"))
     choice = {"tfidf": tf * F.col("idf"), "idf": F.col("idf"), "tf": tf, "binary": F.lit(1.0)}[variant]
-    joined = terms.join(vocab_idf.select("term", "idf"), "term")
-    return joined.select(*keys, "term", choice.alias("w"))
+    joined = terms.join(vocab_idf.select("term", "idf", F.col(name).alias("_name")), "term")
+    return joined.select(*keys, F.col("_name").alias("term"), choice.alias("w"))
 
 
 def unit_length(weighted: DataFrame, *keys: str) -> DataFrame:

@@ -13,17 +13,22 @@ from millrace.operators.metrics import binary_f1, macro_f1, weighted_vote
 from millrace.operators.ordering import with_rank
 from millrace.operators.sampling import with_split
 from millrace.plans.classification import cached, library_logistic
+from millrace.session import cut_lineage
 
 
-def split_weights(docs: DataFrame, key: str, tokens: Column, variant: str, is_test: str = "is_test") -> tuple[DataFrame, DataFrame]:
+def split_weights(docs: DataFrame, key: str, tokens: Column, variant: str, is_test: str = "is_test", numbered: bool = False) -> tuple[DataFrame, DataFrame]:
     """Document weights (key, is_test, term, w) and the vocabulary with idf, learned on train rows.
 
+    Where terms are only compared, `numbered` puts stored numbers in their place, so that no later shuffle carries words.
+
     The counted terms are kept, since the vocabulary and the weights both read them.
     """
     terms = textstats.term_counts(docs, key, tokens, is_test).persist()
     train_docs = docs.where(~F.col(is_test)).agg(F.count(F.lit(1))).scalar()
     vocab = textstats.inverse_frequency(textstats.vocabulary(terms.where(~F.col(is_test))), train_docs)
-    return textstats.weights(terms, vocab, variant, key, is_test), vocab
+    if numbered:
+        vocab = cut_lineage(vocab.withColumn("number", F.monotonically_increasing_id()))
+    return textstats.weights(terms, vocab, variant, key, is_test, name="number" if numbered else "term"), vocab
 
 
 def nearest_labels(docs: DataFrame, key: str, text: str, label: str, test_size, k: int = 1, variant: str = "tfidf", seed=37) -> DataFrame:
@@ -33,7 +38,7 @@ def nearest_labels(docs: DataFrame, key: str, text: str, label: str, test_size,
     similarity is 0.
     """
     marked = with_split(docs.select(key, text, label), [F.col(key)], test_size, seed)
-    weighted, _ = split_weights(marked, key, long_word_tokens(F.col(text)), variant)
+    weighted, _ = split_weights(marked, key, long_word_tokens(F.col(text)), variant, numbered=True)
     unit = textstats.unit_length(weighted, key, "is_test").persist()
     train = unit.where(~F.col("is_test")).drop("is_test")
     found = cosine_neighbors(train, unit.where("is_test").drop("is_test"), key, k)
