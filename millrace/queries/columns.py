@@ -19,6 +19,7 @@ from millrace.queries.common import (
     sql_unit,
     vectors,
 )
+from millrace.session import cut_lineage
 from millrace.sources.tables import table
 
 registry = Registry()
@@ -323,6 +324,23 @@ _WIDE = """c AS (SELECT l_orderkey, dense_rank() OVER (ORDER BY l_orderkey) - 1
                unnest([1, 1, z, 1, 1, z, 1, z, z * z]) AS v FROM x)"""
 
 
+def _narrowed(rows, name):
+    """Few rows with an exact sum as BIGINT, as in SQL, or as the decimal it is where one does not fit 64 bits."""
+    rows = cut_lineage(rows)
+    wide = rows.where(F.col(name).isNotNull() & F.expr(f"try_cast({name} AS BIGINT)").isNull())
+    return rows if wide.take(1) else rows.withColumn(name, F.col(name).cast("bigint"))
+
+
+def _slot_sums(long):
+    rows = long.groupBy("l_linenumber").agg(
+        F.count(F.lit(1)).alias("set_slots"),
+        X.exact_sum(F.col("slots")).alias("slot_sum"),
+        F.max("slots").alias("last_slot"),
+        F.round(F.sum("values"), 3).alias("value_sum"),
+    )
+    return _narrowed(rows, "slot_sum")
+
+
 @registry.add(
     "sparse_columns",
     f"""WITH {_WIDE} SELECT l_linenumber, count(*) AS set_slots, sum(slot)::BIGINT AS slot_sum, max(slot)::BIGINT AS last_slot, round(sum(v), 3) AS value_sum
@@ -333,9 +351,4 @@ def sparse_columns(spark, folder):
     rows = lineitem(spark, folder).select("l_orderkey", "l_linenumber", "l_tax")
     done = FE.SparseColumns.fit(rows, ["l_orderkey", "l_linenumber", "l_tax"]).transform(rows)
     long = done.select("l_linenumber", F.explode(F.arrays_zip("slots", "values")).alias("p")).select("l_linenumber", "p.slots", "p.values")
-    return long.groupBy("l_linenumber").agg(
-        F.count(F.lit(1)).alias("set_slots"),
-        F.sum("slots").alias("slot_sum"),
-        F.max("slots").alias("last_slot"),
-        F.round(F.sum("values"), 3).alias("value_sum"),
-    )
+    return _slot_sums(long)

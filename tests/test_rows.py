@@ -170,3 +170,19 @@ def test_sparse_columns_equal_the_dense_form(spark):
                 full[r["at"]] = r["values"]
                 assert full.tolist() == pytest.approx(want[r.a, r.b, r.c]) and list(r["at"]) == sorted(r["at"]) and r.slots in ("x", "y", None)
     assert FE.SparseColumns.fit(df, ["a"]).transform(df.limit(0)).count() == 0
+
+
+def test_exact_sum_beyond_64_bits(spark):
+    values = [2**62, 2**62 + 3, 2**62, -5, -(2**33) - 1]
+    rows = spark.createDataFrame([(v,) for v in values] + [(None,)], "v BIGINT")
+    assert int(rows.agg(X.exact_sum(F.col("v")).alias("s")).first().s) == sum(values)
+
+
+def test_slot_sums_beyond_64_bits(spark):
+    """Sums that pass 64 bits are whole; those that do not keep the type of SQL."""
+    from millrace.queries.columns import _slot_sums
+
+    for slot, kind in ((5, "bigint"), (2**62, "decimal(32,0)")):
+        got = _slot_sums(spark.createDataFrame([(1, slot, 0.5)] * 3 + [(2, 7, 1.0)], "l_linenumber INT, slots BIGINT, values DOUBLE"))
+        assert dict(got.dtypes)["slot_sum"] == kind
+        assert sorted((r.l_linenumber, r.set_slots, int(r.slot_sum), r.last_slot, r.value_sum) for r in got.collect()) == [(1, 3, 3 * slot, slot, 1.5), (2, 1, 7, 7, 1.0)]
