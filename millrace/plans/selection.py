@@ -9,17 +9,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
 from millrace.operators.linalg import matrix, sum_vectors
-from millrace.plans.classification import cached
+from millrace.plans.classification import cached_evenly
 from millrace.plans.solver import VECTOR_CELLS, minimise, row_parts
 
 
 def expanded(x: np.ndarray, degree: int) -> np.ndarray:
     """All monomials from degree 1 up to ``degree`` and a last constant column."""
-    parts, level = [x], [(i, x[:, i]) for i in range(x.shape[1])]
+    n, dims = x.shape
+    held = np.empty((comb(dims + degree, degree), n))  # a monomial is a row, so that whole runs are multiplied at once
+    held[:dims] = x.T
+    level, begin = [(i, i) for i in range(dims)], dims  # place and last factor of each monomial of the degree before
     for _ in range(1, degree):
-        level = [(j, term * x[:, j]) for i, term in level for j in range(i, x.shape[1])]
-        parts.append(np.column_stack([term for _, term in level]))
-    return np.column_stack([*parts, np.ones(len(x))])
+        made = []
+        for at, i in level:
+            stop = begin + dims - i
+            np.multiply(held[at], held[i:dims], out=held[begin:stop])
+            made += zip(range(begin, stop), range(i, dims))
+            begin = stop
+        level = made
+    held[-1] = 1.0
+    return held.T
 
 
 def grid_search(
@@ -52,8 +61,7 @@ def grid_search(
         for part in row_parts(len(x), max(sizes.values())):
             yield x[part], y[part], f[part]
 
-    with cached(data):
-
+    with cached_evenly(data) as dealt:
         def start(batch: pa.RecordBatch) -> np.ndarray:
             total = np.zeros(2 * sum(sizes.values()) + folds)
             for x, _, f in parts(batch):
@@ -62,7 +70,7 @@ def grid_search(
                 total += np.concatenate([*sums, np.bincount(f[f >= 0], minlength=folds)[:folds]])
             return total
 
-        total = sum_vectors(data, start)
+        total = sum_vectors(dealt, start)
         total = np.zeros(2 * sum(sizes.values()) + folds) if total is None else total
         per_fold = total[-folds:]
         count = np.maximum(np.array([per_fold.sum() - (per_fold[f] if f < folds else 0.0) for f in left_out]), 1.0)
@@ -108,7 +116,7 @@ def grid_search(
                         total += np.concatenate(sums)
                     return total
 
-                total = sum_vectors(data, slope)
+                total = sum_vectors(dealt, slope)
                 total = np.zeros(sum(ends.values())) if total is None else total
                 made = {}
                 for (d, w), part in zip(now.items(), np.split(total, np.cumsum(list(ends.values()))[:-1])):
@@ -135,7 +143,7 @@ def grid_search(
                 total += np.concatenate([own.sum(axis=0), *[h.sum(axis=0) for h in hits]])
             return total
 
-        total = sum_vectors(data, judge)
+        total = sum_vectors(dealt, judge)
         total = np.zeros((1 + len(degrees)) * models) if total is None else total
     seen = np.maximum(total[:models], 1.0)
     table = []

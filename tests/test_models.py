@@ -468,3 +468,21 @@ def test_gram_leaves_out_rows_with_nulls(spark):
     assert R.ridge_sweep(rows, [F.col("x")], F.col("y"), F.col("is_test"), [0.1]).first()["rmse"] is None
     with pytest.raises(ValueError):
         R.normal_equations(rows.limit(0), ["x"], "y")
+
+
+def test_rows_of_many_steps_are_dealt_out_once(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    for parts, each, want in ((64, 100_000, cores), (1, 100_000, cores), (64, 10, 20), (16, 10, 16)):
+        monkeypatch.setattr(C, "STEP_ROWS", each)
+        with C.cached_evenly(spark.range(200).repartition(parts)) as kept:
+            assert kept.rdd.getNumPartitions() == want
+            assert sorted(r.id for r in kept.collect()) == list(range(200))
+
+
+def test_monomials_by_degree_and_column():
+    x = RNG.normal(size=(5, 3))
+    places = [(i,) for i in range(3)] + [(i, j) for i in range(3) for j in range(i, 3)]
+    places += [(i, j, k) for i in range(3) for j in range(i, 3) for k in range(j, 3)]
+    want = np.column_stack([*[np.prod(x[:, list(p)], axis=1) for p in places], np.ones(5)])
+    assert np.allclose(selection.expanded(x, 3), want, rtol=1e-14)
+    assert selection.expanded(x[:0], 2).shape == (0, 10)
