@@ -21,6 +21,10 @@ from millrace.session import cut_lineage
 
 #: Train rows per cell, and bytes of all pivots at most: they travel with the tasks.
 CELL_ROWS, PIVOT_BYTES = 1024, 32 << 20
+#: Values of a difference block that stay in a core's cache, and pairs whose sums a task holds at once.
+CACHE_CELLS, PAIR_CELLS = 1 << 15, 1 << 21
+#: Rows of a block that meets the cells of a top: blocks are copied once per partner block, so they are large.
+VISIT_ROWS = 16_384
 SLACK = 1e-9  # relative; keeps rounding of computed distances from pruning a true neighbour
 
 
@@ -46,6 +50,81 @@ def distances(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
     return out
 
 
+def power_sums(a: np.ndarray, b: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
+    """L_p distances to the p between the rows of a and b, about, and per row of a how far off they are at most.
+
+    Under L2 one matrix product; else differences of as many rows as stay in a core's cache.
+    """
+    width = max(1, a.shape[1])
+    if p == 2:
+        na, nb = (a * a).sum(axis=1), (b * b).sum(axis=1)
+        out = a @ b.T
+        out *= -2.0
+        out += na[:, None]
+        out += nb[None, :]
+        return out, (na + nb.max(initial=0.0)) * (1e-15 * (width + 8))
+    out = np.empty((len(a), len(b)))
+    cols = max(1, min(len(b), CACHE_CELLS // width))
+    gap, cube = np.empty((cols, width)), np.empty((cols, width))
+    for j in range(0, len(b), cols):
+        part = b[j : j + cols]
+        g, c = gap[: len(part)], cube[: len(part)]
+        for i in range(len(a)):
+            np.subtract(part, a[i], out=g)
+            np.abs(g, out=g)
+            if p > 1:
+                np.multiply(g, g, out=c)
+                for _ in range(p - 2):
+                    np.multiply(c, g, out=c)
+            (c if p > 1 else g).sum(axis=1, out=out[i, j : j + cols])
+    return out, 1e-15 * (width + 8) * out.max(axis=1, initial=0.0)
+
+
+def closest(a: np.ndarray, b: np.ndarray, p: int, k: int, bound: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of a, row of b, distance) of the k closest rows of b, with all that tie, and none that is surely beyond the bound.
+
+    Sums that are quick and a little off leave few pairs; those are measured as distances() does.
+    """
+    rows, cols, found = [np.zeros(0, int)], [np.zeros(0, int)], [np.zeros(0)]
+    step = max(1, PAIR_CELLS // max(1, len(b)))
+    for i in range(0, len(a), step):
+        part = a[i : i + step]
+        with np.errstate(over="ignore", invalid="ignore"):
+            s, off = power_sums(part, b, p)
+        kk = min(k, s.shape[1])
+        if np.isfinite(s).all():
+            border = np.partition(s, kk - 1, axis=1)[:, kk - 1] if kk > 1 else s.min(axis=1)
+            limit = border + 2 * off
+            if bound is not None:
+                limit = np.minimum(limit, bound[i : i + step] ** p + off)
+            row, col = np.nonzero(s <= (limit + off + np.abs(limit) * 4 * SLACK)[:, None])
+        else:  # beyond what sums of powers can hold
+            row, col = np.repeat(np.arange(len(part)), len(b)), np.tile(np.arange(len(b)), len(part))
+        exact = np.empty(len(row))
+        for j in range(0, len(row), PAIR_CELLS // 64):
+            r, c = row[j : j + PAIR_CELLS // 64], col[j : j + PAIR_CELLS // 64]
+            gap = np.abs(part[r] - b[c])
+            exact[j : j + len(r)] = gap.sum(axis=1) if p == 1 else np.sqrt((gap * gap).sum(axis=1)) if p == 2 else (gap**p).sum(axis=1) ** (1.0 / p)
+        row, col, exact = k_best(row, col, exact, k)
+        rows.append(row + i)
+        cols.append(col)
+        found.append(exact)
+    return np.concatenate(rows), np.concatenate(cols), np.concatenate(found)
+
+
+def k_best(row: np.ndarray, col: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs (row, col) the k with the lowest d per row and all that tie with the last of them; NaN never counts."""
+    real = ~np.isnan(d)
+    row, col, d = row[real], col[real], d[real]
+    order = np.lexsort((d, row))
+    row, col, d = row[order], col[order], d[order]
+    first = np.flatnonzero(np.diff(row, prepend=-1))
+    size = np.diff(np.append(first, len(row)))
+    border = np.repeat(d[first + np.minimum(size, k) - 1], size) if len(row) else d
+    keep = d <= border * (1 + SLACK)
+    return row[keep], col[keep], d[keep]
+
+
 def distinct_vectors(rows: DataFrame, key: str, features: str, k: int, tag: Column | None = None) -> DataFrame:
     """One row per distinct vector: its lowest key, and its k lowest keys with what they carry.
 
@@ -77,6 +156,7 @@ class MetricIndex:
         self.tops = pivots[:tops]
         top = distances(pivots, self.tops, p).argmin(axis=1)
         top[:tops] = np.arange(tops)  # a top is a cell of its own, also next to an equal one
+        self.top_of = top.astype(np.int32)
         self.cells = [np.flatnonzero(top == t) for t in range(tops)]
         self.inner, self.radius = np.full(len(pivots), np.inf), np.full(len(pivots), -np.inf)
         self.top_reach, self.top_count = np.full(tops, -np.inf), np.zeros(tops)
@@ -154,19 +234,47 @@ def _best_of_cells(asked: DataFrame, held: DataFrame, k: int, p: int, members: s
     """(asker, distance, neighbor, tag, rank): the k best of asked (asker, x, cell) among the held rows of the same cells."""
 
     def best(a: pa.Table, b: pa.Table) -> pa.Table:
-        asker = a.column("asker").to_numpy()
-        d = distances(matrix(a.column("x")), matrix(b.column("x")), p)
-        kk = min(k, d.shape[1])
-        # Equal distances at the border are all kept here; the final rank picks the lowest keys.
-        border = np.partition(d, kk - 1, axis=1)[:, kk - 1]
-        row, col = np.nonzero(d <= border[:, None] * (1 + SLACK))
-        columns = [pa.array(asker[row], pa.int64()), pa.array(significant(d[row, col]), pa.float64()), b.column("members").combine_chunks().take(pa.array(col, pa.int64()))]
-        return pa.Table.from_arrays(columns, names=["asker", "distance", "members"])
+        row, col, d = closest(matrix(a.column("x")), matrix(b.column("x")), p, k)
+        return _found(a, b, row, col, d)
 
     found = block_join(asked, held.select("x", "rep", "members", "cell"), "cell", "asker", "rep", best, f"asker bigint, distance double, members {members}")
     return ranked(found.select("asker", "distance", F.inline("members")), k)
 
 
+def _found(a: pa.Table, b: pa.Table, row: np.ndarray, col: np.ndarray, d: np.ndarray) -> pa.Table:
+    """Equal distances at the border are all kept here; the final rank picks the lowest keys."""
+    asker = a.column("asker").to_numpy()
+    columns = [pa.array(asker[row], pa.int64()), pa.array(significant(d), pa.float64()), b.column("members").combine_chunks().take(pa.array(col, pa.int64()))]
+    return pa.Table.from_arrays(columns, names=["asker", "distance", "members"])
+
+
+def _best_of_visits(visiting: DataFrame, held: DataFrame, k: int, p: int, members: str) -> DataFrame:
+    """As _best_of_cells, for askers (x, asker, bound, top, cells) that visit several cells of a top: only those are searched."""
+
+    def best(a: pa.Table, b: pa.Table) -> pa.Table:
+        x, y, bound = matrix(a.column("x")), matrix(b.column("x")), a.column("bound").to_numpy()
+        lists = a.column("cells").combine_chunks()
+        goal = lists.flatten().to_numpy()
+        who = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+        order = np.argsort(goal, kind="stable")
+        goal, who = goal[order], who[order]
+        cell = b.column("cell").to_numpy()
+        place = np.argsort(cell, kind="stable")
+        cells, first = np.unique(cell[place], return_index=True)
+        rows, cols, found = [np.zeros(0, int)], [np.zeros(0, int)], [np.zeros(0)]
+        for c, here in zip(cells, np.split(place, first[1:])):
+            asks = who[np.searchsorted(goal, c, "left") : np.searchsorted(goal, c, "right")]
+            if len(asks):
+                row, col, d = closest(x[asks], y[here], p, k, bound[asks])
+                rows.append(asks[row])
+                cols.append(here[col])
+                found.append(d)
+        return _found(a, b, *k_best(np.concatenate(rows), np.concatenate(cols), np.concatenate(found), k))
+
+    found = block_join(visiting, held.select("x", "rep", "members", "cell", "top"), "top", "asker", "rep", best, f"asker bigint, distance double, members {members}", rows=VISIT_ROWS)
+    return ranked(found.select("asker", "distance", F.inline("members")), k)
+
+
 def ranked(rows: DataFrame, k: int) -> DataFrame:
     rank = Window.partitionBy("asker").orderBy("distance", "neighbor")
     return rows.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
@@ -206,17 +314,23 @@ def search(
             home, within = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             row, cell = sent.value.reached(matrix(batch.column(0)), within, k)
             other = cell != home[row]
-            take = pa.array(row[other], pa.int64())
+            row, cell = row[other], cell[other]
+            top = sent.value.top_of[cell]
+            order = np.lexsort((cell, top, row))
+            row, cell, top = row[order], cell[order], top[order]
+            first = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(top, prepend=-1) != 0))
+            take = pa.array(row[first], pa.int64())
+            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(row)), pa.int32()), pa.array(cell, pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(cell[other], pa.int32())], names=["x", "asker", "cell"]
+                [*(batch.column(c).take(take) for c in (0, 1, 3)), pa.array(top[first], pa.int32()), lists], names=["x", "asker", "bound", "top", "cells"]
             )
 
-    visiting = cut_lineage(bounded.mapInArrow(run, "x array<double>, asker bigint, cell int"))
-    top = own.drop("rank").unionByName(_best_of_cells(visiting, held, k, p, members).drop("rank"))
+    visiting = cut_lineage(bounded.mapInArrow(run, "x array<double>, asker bigint, bound double, top int, cells array<int>"))
+    top = own.drop("rank").unionByName(_best_of_visits(visiting, held, k, p, members).drop("rank"))
     # Give each query of a group of equal vectors the result of its asker.
     owners = asked.join(unique.select("x", "asker"), "x").select("query", "asker")
     found = owners.join(ranked(top, k), "asker").select("query", "neighbor", "tag", "distance", "rank")
-    return found, visiting.select("asker", "cell")
+    return found, visiting.select("asker", F.explode("cells").alias("cell"))
 
 
 def nearest(train: DataFrame, queries: DataFrame, key: str, features: str, k: int, p: int = 2, pivots: int | None = None) -> DataFrame:

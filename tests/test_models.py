@@ -486,3 +486,25 @@ def test_monomials_by_degree_and_column():
     want = np.column_stack([*[np.prod(x[:, list(p)], axis=1) for p in places], np.ones(5)])
     assert np.allclose(selection.expanded(x, 3), want, rtol=1e-14)
     assert selection.expanded(x[:0], 2).shape == (0, 10)
+
+
+@pytest.mark.parametrize("p", [1, 2, 3])
+def test_closest_is_what_all_distances_give(p, monkeypatch):
+    monkeypatch.setattr(NB, "CACHE_CELLS", 40)
+    monkeypatch.setattr(NB, "PAIR_CELLS", 640)
+    for shift, scale in ((0.0, 1.0), (1e6, 1e-3), (0.0, 1e150)):
+        a, b = shift + scale * RNG.normal(size=(30, 5)), shift + scale * RNG.normal(size=(50, 5))
+        b[20:30], a[3] = b[7], b[7]
+        with np.errstate(over="ignore"):
+            d = NB.distances(a, b, p)
+            for k in (1, 3, 50, 60):
+                border = np.sort(d, axis=1)[:, min(k, 50) - 1]
+                want = {(int(i), int(j)): d[i, j] for i, j in zip(*np.nonzero(d <= border[:, None] * (1 + NB.SLACK)))}
+                row, col, far = NB.closest(a, b, p, k)
+                assert {(int(i), int(j)): v for i, j, v in zip(row, col, far)} == want
+                # A bound keeps everything within it.
+                bound = np.sort(d, axis=1)[:, 1]
+                kept = set(zip(*(x.tolist() for x in NB.closest(a, b, p, k, bound)[:2])))
+                assert {pair for pair, v in want.items() if v <= bound[pair[0]]} <= kept <= set(want)
+                if scale == 1.0 and k == 60:
+                    assert len(kept) < 30 * 50 / 2
