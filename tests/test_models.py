@@ -1,6 +1,7 @@
 """Fits and searches against plain numpy on small data."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -508,3 +509,23 @@ def test_closest_is_what_all_distances_give(p, monkeypatch):
                 assert {pair for pair, v in want.items() if v <= bound[pair[0]]} <= kept <= set(want)
                 if scale == 1.0 and k == 60:
                     assert len(kept) < 30 * 50 / 2
+
+
+def test_blocks_that_travel_grow_with_the_documents():
+    """Copies of a document, one per partner block, stay about as many as there are cores."""
+    assert cosine.task_docs(100, 12) == cosine.BLOCK_DOCS
+    for n in (20_000, 100_000, 390_000):
+        assert -(-n // cosine.task_docs(n, 12)) <= 24
+    assert cosine.task_docs(10**7, 12) == cosine.TASK_DOCS
+
+
+def test_best_of_blocks_over_several_products(monkeypatch):
+    monkeypatch.setattr(cosine, "BLOCK_DOCS", 7)
+    x, y = (np.round(RNG.uniform(0, 1, size=(n, 6)) * (RNG.uniform(size=(n, 6)) < 0.4), 1) for n in (16, 40))
+    table = lambda m, key: pa.table({key: np.arange(len(m)) + 100, "terms": [np.flatnonzero(r).tolist() for r in m], "weights": [r[r > 0].tolist() for r in m]})
+    s = x @ y.T
+    for k in (1, 3, 50):
+        got = cosine.best_of_blocks(table(x, "q"), table(y, "d"), k)
+        border = -np.sort(-s, axis=1)[:, min(k, 40) - 1]
+        want = {(i + 100, j + 100) for i, j in zip(*(z.tolist() for z in np.nonzero((s >= border[:, None] - cosine.SLACK) & (s > 0))))}
+        assert set(zip(got.column("q").to_pylist(), got.column("d").to_pylist())) == want
