@@ -53,7 +53,7 @@ class UnitEncoder:
 
     def learn(self, units: list[str]) -> None:
         """Keep the ids of new units; a word with a stop after it is made of the word's and the stop's."""
-        words, tokenize = self.words, self.model.tokenize
+        known, words, stops, tokenize = self.known, self.words, self.stops, self.model.tokenize
         if len(words) + len(units) > 2 * self.limit:
             words.clear()
         whole = " ".join(units)
@@ -61,23 +61,24 @@ class UnitEncoder:
         late = []
         for unit in units:
             if odd and any(s in unit for s in odd):
-                self.known[unit] = self._encode(unit).tobytes()
+                known[unit] = self._encode(unit).tobytes()
                 continue
             # The file lower-cases; for ASCII that is the same here.
-            word, stop = unit.lower() if unit.isascii() else unit, ""
-            if word[-1] in _STOPS and word[:-1].isalpha():
-                word, stop = word[:-1], word[-1]
+            plain = unit.isascii()
+            word, stop = unit.lower() if plain else unit, ""
+            if word[-1] in stops and (head := word[:-1]).isalpha():
+                word, stop = head, word[-1]
             ids = words.get(word)
             if ids is None:
-                if not (word.isascii() and word.isalpha()):
+                if not (plain and (stop or word.isalpha())):
                     late.append((unit, word, stop))
                     continue
                 # A word of ASCII letters is one unit of the file's model, which needs no other step for it.
                 ids = words[word] = array("I", [t.id for t in tokenize(word)]).tobytes()
-            self.known[unit] = ids + self.stops[stop] if stop else ids
+            known[unit] = ids + stops[stop] if stop else ids
         self._learn_words(sorted({word for _, word, _ in late}))
         for unit, word, stop in late:
-            self.known[unit] = words[word] + self.stops[stop] if stop else words[word]
+            known[unit] = words[word] + stops[stop] if stop else words[word]
 
     def _learn_words(self, plain: list[str]) -> None:
         for at in range(0, len(plain), 4096):
