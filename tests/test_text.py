@@ -90,6 +90,22 @@ def test_negative_idf_and_documents_without_known_terms(spark):
     assert {r.doc_len for r in terms.where("id = 1").collect()} == {3}
 
 
+def test_counting_terms_and_sums_by_document_share_one_shuffle(spark):
+    docs = spark.createDataFrame([(i, "aa bb aa") for i in range(9)], "id INT, t STRING")
+    sums = textstats.term_counts(docs, "id", long_word_tokens(F.col("t"))).groupBy("id").agg(F.sum("tf_count"))
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.count("regexp_extract_all") == 1
+    assert {tuple(r) for r in sums.collect()} == {(i, 3) for i in range(9)}
+
+
+@pytest.mark.parametrize("most", [0, 60, 1000])
+def test_frequent_and_rare_terms_meet_the_vocabulary_alike(spark, most):
+    terms = spark.createDataFrame([(i, t) for i in range(8) for t in ("aa", f"b{i % 4}", "zz")], "id INT, term STRING")
+    vocab = terms.where("term <> 'zz'").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    found = textstats.by_term(terms, vocab, most)
+    assert sorted(map(tuple, found.select("id", "term", "df").collect())) == sorted([(i, "aa", 8) for i in range(8)] + [(i, f"b{i % 4}", 2) for i in range(8)])
+
+
 def test_queries_without_common_terms_fall_back_to_lowest_ids(spark):
     rows = [(i, "red fox red fox", "a") for i in range(8)] + [(i, f"word{i}", "b") for i in range(8, 12)]
     docs = spark.createDataFrame(rows, "id BIGINT, t STRING, y STRING")
