@@ -106,6 +106,24 @@ def test_frequent_and_rare_terms_meet_the_vocabulary_alike(spark, most):
     assert sorted(map(tuple, found.select("id", "term", "df").collect())) == sorted([(i, "aa", 8) for i in range(8)] + [(i, f"b{i % 4}", 2) for i in range(8)])
 
 
+def test_the_text_classifier_fits_on_one_partition_a_core(spark, monkeypatch):
+    seen = []
+    real = DOC.library_logistic
+
+    def library(*settings):
+        made = real(*settings)
+        fit = made.fit
+        made.fit = lambda data: seen.append(data.rdd.getNumPartitions()) or fit(data)
+        return made
+
+    monkeypatch.setattr(DOC, "library_logistic", library)
+    rows = [(i, "good fine good", 0) if i % 2 else (i, "bad awful bad", 1) for i in range(200)]
+    docs = spark.createDataFrame(rows, "id BIGINT, t STRING, y INT").repartition(40)
+    monkeypatch.setattr(DOC, "cached", lambda df: __import__("contextlib").nullcontext(df.repartition(40)))
+    DOC.TextClassifier.fit(docs, "id", "t", "y", 100.0)
+    assert seen and seen[0] <= spark.sparkContext.defaultParallelism
+
+
 def test_queries_without_common_terms_fall_back_to_lowest_ids(spark):
     rows = [(i, "red fox red fox", "a") for i in range(8)] + [(i, f"word{i}", "b") for i in range(8, 12)]
     docs = spark.createDataFrame(rows, "id BIGINT, t STRING, y STRING")
