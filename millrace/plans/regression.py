@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from hashlib import md5
 from math import comb
 
 import numpy as np
@@ -13,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import linear_score_columns
+from millrace.functions.hashing import Md5Units
 from millrace.operators.linalg import Gram, gram_by, matrix, sum_vectors
 from millrace.session import cut_lineage
 
@@ -172,13 +172,12 @@ def batch_grams(
             products = products[~tests]
             total[-2] += products.sum(axis=0)
             codes = [c.encode() for c, t in zip(batch.column(2).to_pylist(), tests) if not t] if epochs else []
+            units, columns = Md5Units(codes), np.ascontiguousarray(products.T)
             for epoch in range(epochs):
-                start = f"{seed}-{epoch}-".encode()
                 # The same digest and bucket as batch_number().
-                words = np.array([int.from_bytes(md5(start + c).digest()[:4], "big") for c in codes], dtype=float)
-                number = np.floor(words / 4294967296.0 * batches).astype(int)
+                number = np.floor(units(f"{seed}-{epoch}-".encode()) * batches).astype(int)
                 for cell in range(cells):
-                    total[epoch * batches : (epoch + 1) * batches, cell] += np.bincount(number, weights=products[:, cell], minlength=batches)
+                    total[epoch * batches : (epoch + 1) * batches, cell] += np.bincount(number, weights=columns[cell], minlength=batches)
         place, cell = np.nonzero(total)
         yield pa.RecordBatch.from_pydict({"place": pa.array(place), "cell": pa.array(cell), "v": pa.array(total[place, cell])})
 

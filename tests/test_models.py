@@ -529,3 +529,16 @@ def test_best_of_blocks_over_several_products(monkeypatch):
         border = -np.sort(-s, axis=1)[:, min(k, 40) - 1]
         want = {(i + 100, j + 100) for i, j in zip(*(z.tolist() for z in np.nonzero((s >= border[:, None] - cosine.SLACK) & (s > 0))))}
         assert set(zip(got.column("q").to_pylist(), got.column("d").to_pylist())) == want
+
+
+def test_units_of_many_keys_are_those_of_md5():
+    from hashlib import md5
+
+    from millrace.functions.hashing import Md5Units
+
+    codes = [b"", b"1-2", "é-x".encode(), *(b"k" * n for n in range(45, 70))]
+    units = Md5Units(codes)
+    for prefix in (b"", b"42-7-", b"42-17-", b"42-8-"):
+        wanted = [int.from_bytes(md5(prefix + c).digest()[:4], "big") / 4294967296.0 for c in codes]
+        assert units(prefix).tolist() == wanted
+    assert Md5Units([])(b"42-1-").tolist() == []
