@@ -20,6 +20,10 @@ from millrace.functions.strings import (
     starts_upper,
     strip_marks,
 )
+from millrace.session import cut_lineage
+
+#: Bytes of dictionary entries that travel with the tasks at most.
+SENT_WORDS = 32 << 20
 
 
 def characters(text: Column) -> Column:
@@ -40,7 +44,8 @@ def letter_table(df: DataFrame, keys: list[str], plain: Column, target: Column |
     zipped = F.arrays_zip(
         F.sequence(F.lit(0), F.col("_n") - 1).alias("pos"), *shifts, *([F.col("_t").alias("target")] if target is not None else [])
     )
-    rows = padded.where(F.col("_n") > 0).select(*keys, F.inline(zipped))
+    # Outer, since Spark puts a filter on the size of the array below a plain inline, which builds it twice.
+    rows = padded.where(F.col("_n") > 0).select(*keys, F.inline_outer(zipped))
     joined = F.concat(*[F.col(f"c{i}") for i in range(width)])
     context = noise_to_space(joined) if fold_case else joined
     columns = [*keys, "pos", F.col(f"c{n}").alias("letter"), context.alias("context")]
@@ -67,7 +72,8 @@ def dictionary_examples(dictionary: DataFrame, marks: MarkTable = MarkTable(), n
 def word_occurrences(docs: DataFrame, text: str) -> DataFrame:
     """Lower-cased letter runs and their counts."""
     return (
-        docs.select(F.explode(alphabetic_runs(F.col(text))).alias("word"))
+        docs.select(F.explode_outer(alphabetic_runs(F.col(text))).alias("word"))
+        .where(F.col("word").isNotNull())
         .groupBy(F.lower("word").alias("word"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -137,21 +143,42 @@ def printed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(key, F.col(text).alias("_text"), F.xxhash64(text).alias("_print"))
 
 
-def restore_words(docs: DataFrame, key: str, text: str, dictionary: DataFrame, marks: MarkTable = MarkTable()) -> DataFrame:
+def restore_words(
+    docs: DataFrame, key: str, text: str, dictionary: DataFrame, marks: MarkTable = MarkTable(), most: int = SENT_WORDS
+) -> DataFrame:
     """Replace words that have exactly one variant; a capital first letter is restored.
 
-    The distinct words of a text and their places meet the dictionary; only words that change come back to their text.
+    Variants that differ from their word travel with the tasks, if they are `most` bytes at most, and meet every word; the
+    others change nothing but words that hold marks or letters of odd case. Only words that change come back to their text.
     Empty texts stay empty and NULL stays NULL.
     """
-    words = printed(docs, key, text).select(key, "_print", F.posexplode(letter_runs(F.col("_text"))).alias("pos", "token"))
-    words = words.where(F.col("token").rlike(r"^\p{L}"))
-    upper = starts_upper(F.col("token"))
-    folded = F.when(upper, F.lower("token")).otherwise(F.col("token"))
-    places = words.groupBy(key, "_print", "token").agg(F.collect_list("pos").alias("places")).withColumn("k", strip_marks(folded, marks))
-    single = dictionary.where(F.size("variants") == 1).select(F.col("word").alias("k"), F.col("variants")[0].alias("v"))
-    found = places.join(single, "k")
+    single = cut_lineage(dictionary.where(F.size("variants") == 1).select(F.col("word").alias("k"), F.col("variants")[0].alias("v")))
+    token, upper = F.col("token"), starts_upper(F.col("token"))
+    folded = F.when(upper, F.lower("token")).otherwise(token)
+
+    def words(rows: DataFrame) -> DataFrame:
+        # Outer, since Spark puts a filter on the size of the array below a plain explode, which splits every text again.
+        cut = rows.select(key, "_print", F.posexplode_outer(letter_runs(F.col("_text"))).alias("pos", "token"))
+        return cut.where(token.rlike(r"^\p{L}")).withColumn("k", strip_marks(folded, marks))
+
+    def met(rows: DataFrame, variants: DataFrame) -> DataFrame:
+        """The places of words whose k has a variant; words are shuffled once per text, not once per place."""
+        places = rows.groupBy(key, "_print", "token", "k").agg(F.collect_list("pos").alias("places"))
+        return places.join(variants, "k").select(key, "_print", "token", "v", F.explode("places").alias("pos"))
+
+    rows = printed(docs, key, text)
+    marked = single.where(F.col("v") != F.col("k"))
+    size = marked.agg(F.sum(F.octet_length("k") + F.octet_length("v") + 24)).first()[0] or 0
+    if size <= most:
+        found = words(rows).join(F.broadcast(marked), "k").select(key, "_print", "token", "v", "pos")
+    else:
+        found = met(words(rows), marked)
+    # What follows a variant equal to its word is what a word without a variant becomes, but for these words.
+    odd = (F.col("k") != folded) | (upper & (capitalized(folded) != capitalized(token)))
+    may = (strip_marks(F.col("_text"), marks) != F.col("_text")) | F.col("_text").rlike(r"[^\x00-\x7F]")
+    found = found.unionByName(met(words(rows.where(may)).where(odd), single.where(F.col("v") == F.col("k"))))
     piece = F.when(upper, capitalized(F.col("v"))).otherwise(F.col("v"))
-    changes = found.where(piece != F.col("token")).select(key, "_print", F.explode("places").alias("pos"), piece.alias("piece"))
+    changes = found.where(piece != token).select(key, "_print", "pos", piece.alias("piece"))
     # Case is folded without the dictionary, so that it needs no change list.
     return patch_texts(docs, key, text, changes, letter_runs, lambda w: F.when(w.rlike(r"^\p{Lu}"), capitalized(w)).otherwise(w))
 

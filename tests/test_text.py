@@ -106,6 +106,14 @@ def test_frequent_and_rare_terms_meet_the_vocabulary_alike(spark, most):
     assert sorted(map(tuple, found.select("id", "term", "df").collect())) == sorted([(i, "aa", 8) for i in range(8)] + [(i, f"b{i % 4}", 2) for i in range(8)])
 
 
+@pytest.mark.parametrize("most", [0, 1000])
+def test_words_with_marks_and_capitals_are_restored_on_both_ways(spark, most):
+    docs = spark.createDataFrame([(1, "CAS sád Sád, SAD cas"), (1, "İx cás"), (2, "nic"), (3, None)], "id INT, t STRING")
+    d = spark.createDataFrame([("cas", ["čas"]), ("sad", ["sad"]), ("i̇x", ["i̇x"])], "word STRING, variants ARRAY<STRING>")
+    found = MK.restore_words(docs, "id", "t", d, most=most).collect()
+    assert {(r.id, r.text) for r in found} == {(1, "Čas sad Sad, Sad čas"), (1, "I\u0307x čas"), (2, "nic"), (3, None)}
+
+
 def test_the_text_classifier_fits_on_one_partition_a_core(spark, monkeypatch):
     seen = []
     real = DOC.library_logistic
