@@ -519,6 +519,27 @@ def test_blocks_that_travel_grow_with_the_documents():
     assert cosine.task_docs(10**7, 12) == cosine.TASK_DOCS
 
 
+def test_pairs_of_blocks_read_every_document_from_one_copy(spark, monkeypatch):
+    monkeypatch.setattr(cosine, "BLOCK_POSTINGS", 20)
+    x, y = (np.round(RNG.uniform(0, 1, size=(n, 6)) * (RNG.uniform(size=(n, 6)) < 0.5), 1) for n in (16, 40))
+    rows = lambda m: [(int(i) + 100, int(t), float(m[i, t])) for i, t in zip(*np.nonzero(m))]
+    asked = spark.createDataFrame(rows(x), "q bigint, term bigint, wq double")
+    post = spark.createDataFrame(rows(y), "d bigint, term bigint, wd double")
+    stored = cosine.written_blocks(post, "d", "wd", 40).collect()
+    held = [d for row in stored for d in pa.ipc.open_stream(row["data"]).read_all().column("d").to_pylist()]
+    assert len(stored) > 2 and sorted(held) == sorted({d for d, _, _ in rows(y)})
+    s = x @ y.T
+    for k in (1, 3):
+        found = cosine.by_blocks(post, asked, k, 40).collect()
+        best = {}
+        for r in found:
+            assert abs(r["s"] - s[r["q"] - 100, r["d"] - 100]) < 1e-9
+            best.setdefault(r["q"], set()).add(r["d"])
+        for i in range(16):
+            border = max(np.sort(s[i])[-k], 1e-12)
+            assert {j + 100 for j in np.flatnonzero(s[i] >= border - 1e-12).tolist()} <= best.get(i + 100, set())
+
+
 def test_best_of_blocks_over_several_products(monkeypatch):
     monkeypatch.setattr(cosine, "BLOCK_DOCS", 7)
     x, y = (np.round(RNG.uniform(0, 1, size=(n, 6)) * (RNG.uniform(size=(n, 6)) < 0.4), 1) for n in (16, 40))
