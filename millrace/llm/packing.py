@@ -26,6 +26,13 @@ _UNITS = re.compile(f"[^{_SPACE}]+")
 _MARK = "\x01"
 _STOPS = ".,;:!?"
 _CONTROLS = "\x1c\x1d\x1e\x1f"
+_LETTERS = "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+_LATIN = re.compile(f"[A-Za-z{_LETTERS}]+")
+
+
+def _byte_name(byte: int) -> str:
+    """The character that stands for a byte from 128 on in byte-level vocabularies."""
+    return chr(byte + 162) if byte <= 160 else "\u0143" if byte == 173 else chr(byte)
 
 
 class UnitEncoder:
@@ -47,6 +54,13 @@ class UnitEncoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
         self.stops = {stop: self._encode(stop).tobytes() for stop in _STOPS}
+        # Latin-1 letters as the model sees them: lower case and one character per byte. A file that does otherwise has none.
+        self.as_bytes = {ord(c): "".join(map(_byte_name, c.encode())) for c in _LETTERS}
+        self.latin = _LATIN.fullmatch
+        for word in (*_LETTERS, _LETTERS, _LETTERS[::-1]):
+            direct = [t.id for t in self.model.tokenize(word.lower().translate(self.as_bytes))]
+            if direct != self._encode(word).tolist():
+                self.latin = lambda word: None
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
@@ -54,6 +68,7 @@ class UnitEncoder:
     def learn(self, units: list[str]) -> None:
         """Keep the ids of new units; a word with a stop after it is made of the word's and the stop's."""
         known, words, stops, tokenize = self.known, self.words, self.stops, self.model.tokenize
+        latin, as_bytes = self.latin, self.as_bytes
         if len(words) + len(units) > 2 * self.limit:
             words.clear()
         whole = " ".join(units)
@@ -66,15 +81,21 @@ class UnitEncoder:
             # The file lower-cases; for ASCII that is the same here.
             plain = unit.isascii()
             word, stop = unit.lower() if plain else unit, ""
-            if word[-1] in stops and (head := word[:-1]).isalpha():
+            # In lower case this letter ends in a mark of its own, which joins a stop behind it.
+            if word[-1] in stops and (head := word[:-1]).isalpha() and head[-1] != "İ":
                 word, stop = head, word[-1]
+                letters = plain
+            else:
+                letters = plain and word.isalpha()
+            if not plain and latin(word):
+                word, letters = word.lower(), True
             ids = words.get(word)
             if ids is None:
-                if not (plain and (stop or word.isalpha())):
+                if not letters:
                     late.append((unit, word, stop))
                     continue
-                # A word of ASCII letters is one unit of the file's model, which needs no other step for it.
-                ids = words[word] = array("I", [t.id for t in tokenize(word)]).tobytes()
+                # A word of letters is one unit of the file's model, which needs no other step for it.
+                ids = words[word] = array("I", [t.id for t in tokenize(word if plain else word.translate(as_bytes))]).tobytes()
             known[unit] = ids + stops[stop] if stop else ids
         self._learn_words(sorted({word for _, word, _ in late}))
         for unit, word, stop in late:

@@ -296,3 +296,17 @@ def test_template_text_goes(spark):
 def test_tree_matching():
     a, b = (wrappers.number(wrappers.parse(f"<body><ul>{x}</ul><p>t</p>")[0]) for x in ("<li>1<li>2<li>3", "<li>1<li>3"))
     assert len(wrappers.align(a, b)) == 6
+
+
+def test_words_of_latin_letters_take_the_direct_way(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    encoder, whole = packing.UnitEncoder(path, 1000), Tokenizer.from_file(path)
+    words = ["éa", "Été,", "ÿÞß.", "straße", "ÀÉ!", "añb", "Ü", "naïveté;"]
+    odd = ["cúİ.", "İ", "ſé", "Łé", "é́", "µé", "é×", "é$$", "ªº", "Σς.", "l'été"]
+    monkeypatch.setattr(encoder, "_learn_words", lambda plain: pytest.fail(f"not direct: {plain}") if plain else None)
+    direct = encoder.encode(words)
+    monkeypatch.undo()
+    for unit, raw in zip(words + odd, direct + encoder.encode(odd)):
+        assert np.frombuffer(raw, "<u4").tolist() == whole.encode(unit, add_special_tokens=False).ids, unit
