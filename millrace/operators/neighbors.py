@@ -25,6 +25,8 @@ CELL_ROWS, PIVOT_BYTES = 1024, 32 << 20
 CACHE_CELLS, PAIR_CELLS = 1 << 15, 1 << 21
 #: Rows of a block that meets the cells of a top: blocks are copied once per partner block, so they are large.
 VISIT_ROWS = 16_384
+#: Pairs are measured one by one if a bound leaves at most one of so many.
+FEW = 16
 SLACK = 1e-9  # relative; keeps rounding of computed distances from pruning a true neighbour
 
 
@@ -80,6 +82,29 @@ def power_sums(a: np.ndarray, b: np.ndarray, p: int) -> tuple[np.ndarray, np.nda
     return out, 1e-15 * (width + 8) * out.max(axis=1, initial=0.0)
 
 
+def pairs_within(a: np.ndarray, b: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Row of a and row of b of all pairs that may lie within the bound under L2, or nothing if that rules out too few.
+
+    One product of single precision, from which each row's limit and the most it can be off are taken inside the product, so
+    that pairs are read by their sign.
+    """
+    if not len(a) or not len(b):
+        return None
+    width = max(1, a.shape[1])
+    centre = b.mean(axis=0)
+    x, y = a - centre, b - centre
+    nx, ny = (x * x).sum(axis=1), (y * y).sum(axis=1)
+    far = (bound * (1 + 8 * SLACK)) ** 2
+    size = nx + ny.max() + far
+    if not size.max() < 1e30:
+        return None
+    left, right = np.empty((len(x), width + 2), np.float32), np.empty((len(y), width + 2), np.float32)
+    left[:, :-2], left[:, -2], left[:, -1] = x, 1.0, (far - nx) / 2 + size * (2e-7 * (width + 8)) + 1e-30
+    right[:, :-2], right[:, -2], right[:, -1] = y, -ny / 2, 1.0
+    at = np.flatnonzero(left @ right.T >= 0)
+    return None if len(at) * FEW > len(a) * len(b) else np.divmod(at, len(b))
+
+
 def closest(a: np.ndarray, b: np.ndarray, p: int, k: int, bound: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row of a, row of b, distance) of the k closest rows of b, with all that tie, and none that is surely beyond the bound.
 
@@ -90,9 +115,12 @@ def closest(a: np.ndarray, b: np.ndarray, p: int, k: int, bound: np.ndarray | No
     for i in range(0, len(a), step):
         part = a[i : i + step]
         with np.errstate(over="ignore", invalid="ignore"):
-            s, off = power_sums(part, b, p)
+            within = None if bound is None or p != 2 else pairs_within(part, b, bound[i : i + step])
+            s, off = power_sums(part, b, p) if within is None else (np.zeros((0, len(b))), np.zeros(0))
         kk = min(k, s.shape[1])
-        if np.isfinite(s).all():
+        if within is not None:
+            row, col = within
+        elif np.isfinite(s).all():
             border = np.partition(s, kk - 1, axis=1)[:, kk - 1] if kk > 1 else s.min(axis=1)
             limit = border + 2 * off
             if bound is not None:
@@ -105,6 +133,9 @@ def closest(a: np.ndarray, b: np.ndarray, p: int, k: int, bound: np.ndarray | No
             r, c = row[j : j + PAIR_CELLS // 64], col[j : j + PAIR_CELLS // 64]
             gap = np.abs(part[r] - b[c])
             exact[j : j + len(r)] = gap.sum(axis=1) if p == 1 else np.sqrt((gap * gap).sum(axis=1)) if p == 2 else (gap**p).sum(axis=1) ** (1.0 / p)
+        if within is not None:
+            inside = exact <= bound[i : i + step][row] * (1 + 4 * SLACK)
+            row, col, exact = row[inside], col[inside], exact[inside]
         row, col, exact = k_best(row, col, exact, k)
         rows.append(row + i)
         cols.append(col)

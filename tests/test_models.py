@@ -511,6 +511,22 @@ def test_closest_is_what_all_distances_give(p, monkeypatch):
                     assert len(kept) < 30 * 50 / 2
 
 
+def test_pairs_within_a_bound_are_read_from_one_product():
+    a, b = RNG.normal(size=(40, 5)), RNG.normal(size=(60, 5))
+    b[:9] = a[:9]
+    for scale, shift in ((1.0, 0.0), (1e-9, 0.0), (1e9, 0.0), (1.0, 1e4)):
+        x, y = a * scale + shift, b * scale + shift
+        far = NB.distances(x, y, 2)
+        for bound in (np.zeros(40), np.sort(far, axis=1)[:, 1]):
+            found = NB.pairs_within(x, y, bound)
+            assert found is not None and len(found[0]) < 40 * 60 / NB.FEW
+            assert set(zip(*(z.tolist() for z in np.nonzero(far <= bound[:, None])))) <= set(zip(*(z.tolist() for z in found)))
+            row, col, d = NB.closest(x, y, 2, 3, bound)
+            assert (d == far[row, col]).all() and (d <= bound[row] * (1 + 1e-8)).all()
+    assert NB.pairs_within(a, b, np.full(40, np.inf)) is None
+    assert NB.pairs_within(np.where(a > 2, np.nan, a), b, np.ones(40)) is None
+
+
 def test_blocks_that_travel_grow_with_the_documents():
     """Copies of a document, one per partner block, stay about as many as there are cores."""
     assert cosine.task_docs(100, 12) == cosine.BLOCK_DOCS
