@@ -204,15 +204,21 @@ def context_accuracy(test: DataFrame, model: DataFrame) -> DataFrame:
     ).select("letters", "correct", (F.col("correct") / F.col("letters")).alias("accuracy"))
 
 
-def restore_marks(docs: DataFrame, key: str, text: str, model: DataFrame, marks: MarkTable = MarkTable(), n: int = 3) -> DataFrame:
+def restore_marks(
+    docs: DataFrame, key: str, text: str, model: DataFrame, marks: MarkTable = MarkTable(), n: int = 3, most: int = SENT_WORDS
+) -> DataFrame:
     """Put predicted marks on the letters of unmarked texts.
 
     model has columns context, pred. Only letters that may carry a mark meet predictions, by key, never by a running
-    counter, and only letters that change come back to their text. Empty texts stay empty and NULL stays NULL.
+    counter, and only letters that change come back to their text. Contexts that ask for a mark travel with the tasks, if
+    they are `most` bytes at most, so that no letter is shuffled; else letters and contexts are shuffled to meet.
+    Empty texts stay empty and NULL stays NULL.
     """
+    marked = cut_lineage(model.where(F.col("pred") != 0).select("context", "pred"))
+    size = marked.agg(F.sum(F.octet_length("context") + 24)).first()[0] or 0
     rows = letter_table(printed(docs, key, text), [key, "_print"], F.col("_text"), None, n)
     may = rows.where(is_member(F.col("letter"), marks.plain_letters()))
-    found = may.join(model.where(F.col("pred") != 0).select("context", "pred"), "context")
+    found = may.join(F.broadcast(marked) if size <= most else marked, "context")
     piece = add_mark(F.col("letter"), F.col("pred"), marks)
     changes = found.select(key, "_print", "pos", "letter", piece.alias("piece")).where("piece <> letter").drop("letter")
     return patch_texts(docs, key, text, changes, characters)

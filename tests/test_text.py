@@ -58,6 +58,17 @@ def test_restored_text_differs_only_in_marks(spark):
     assert MK.restore_marks(plain, "id", "t", model).first().text == text
 
 
+def test_contexts_that_ask_for_a_mark_travel_to_the_letters(spark, capsys):
+    learned = spark.createDataFrame([(1, "čas je sad, čas a čáp")], "id INT, t STRING")
+    model = MK.context_model(MK.letter_examples(learned, ["id"], F.col("t")))
+    docs = spark.createDataFrame([(1, "cas a cap"), (1, "cas"), (None, "sad je cas"), (2, ""), (3, None)], "id INT, t STRING")
+    sent, shuffled = MK.restore_marks(docs, "id", "t", model), MK.restore_marks(docs, "id", "t", model, most=0)
+    rows = lambda df: sorted(((r.id, r.text) for r in df.collect()), key=str)
+    assert rows(sent) == rows(shuffled) and (1, "čas a čáp") in rows(sent)
+    letters = lambda df: [line for line in (df.explain("simple"), capsys.readouterr().out)[1].splitlines() if "hashpartitioning(context" in line]
+    assert not letters(sent) and letters(shuffled)
+
+
 def test_patches_leave_the_rest_of_the_text(spark):
     rows = spark.createDataFrame([(["a", "b", "c", "d"], [(0, "A"), (3, "D")]), (["a", "b"], None), (["a"], []), ([], None), (["a", "b", "c"], [(1, "XY")])],
                                  "p ARRAY<STRING>, c ARRAY<STRUCT<pos: INT, piece: STRING>>")
