@@ -25,8 +25,8 @@ CELL_ROWS, PIVOT_BYTES = 1024, 32 << 20
 CACHE_CELLS, PAIR_CELLS = 1 << 15, 1 << 21
 #: Rows of a block that meets the cells of a top: blocks are copied once per partner block, so they are large.
 VISIT_ROWS = 16_384
-#: Pairs are measured one by one if a bound leaves at most one of so many.
-FEW = 16
+#: Pairs are measured one by one if a bound leaves at most one of so many; not under L2, where sums of all pairs cost little.
+FEW, FEW_SUMS = 16, 4
 SLACK = 1e-9  # relative; keeps rounding of computed distances from pruning a true neighbour
 
 
@@ -37,18 +37,22 @@ def significant(d: np.ndarray, digits: int = 12) -> np.ndarray:
     return np.round(d * unit) / unit
 
 
+def lengths(gap: np.ndarray, p: int) -> np.ndarray:
+    """L_p lengths along the last axis of what is no lower than 0. Powers are products: a power function costs 20 times as much."""
+    if p == 1:
+        return gap.sum(axis=-1)
+    power = gap * gap
+    for _ in range(p - 2):
+        power *= gap
+    return np.sqrt(power.sum(axis=-1)) if p == 2 else power.sum(axis=-1) ** (1.0 / p)
+
+
 def distances(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
-    """L_p distances between the rows of a and b, a few rows of a at a time."""
+    """L_p distances between the rows of a and b, as many at a time as stay in a core's cache."""
     out = np.empty((len(a), len(b)))
-    step = max(1, 4_000_000 // max(1, b.size))
+    step = max(1, CACHE_CELLS * 4 // max(1, b.size))
     for i in range(0, len(a), step):
-        gap = np.abs(a[i : i + step, None, :] - b[None, :, :])
-        if p == 1:
-            out[i : i + step] = gap.sum(axis=2)
-        elif p == 2:
-            out[i : i + step] = np.sqrt((gap * gap).sum(axis=2))
-        else:
-            out[i : i + step] = (gap**p).sum(axis=2) ** (1.0 / p)
+        out[i : i + step] = lengths(np.abs(a[i : i + step, None, :] - b[None, :, :]), p)
     return out
 
 
@@ -82,17 +86,29 @@ def power_sums(a: np.ndarray, b: np.ndarray, p: int) -> tuple[np.ndarray, np.nda
     return out, 1e-15 * (width + 8) * out.max(axis=1, initial=0.0)
 
 
-def pairs_within(a: np.ndarray, b: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
-    """Row of a and row of b of all pairs that may lie within the bound under L2, or nothing if that rules out too few.
+def pairs_within(a: np.ndarray, b: np.ndarray, bound: np.ndarray, p: int = 2) -> tuple[np.ndarray, np.ndarray] | None:
+    """Row of a and row of b of all pairs that may lie within the bound, or nothing if that rules out too few.
 
     One product of single precision, from which each row's limit and the most it can be off are taken inside the product, so
     that pairs are read by their sign.
     """
-    if not len(a) or not len(b):
+    if p not in WITHIN or not len(a) or not len(b) or not a.shape[1]:
         return None
-    width = max(1, a.shape[1])
-    centre = b.mean(axis=0)
-    x, y = a - centre, b - centre
+    centre, free = b.mean(axis=0), np.isinf(bound)
+    if free.all():
+        return None
+    sides = WITHIN[p](a - centre, b - centre, np.where(free, bound[~free].max(), bound))
+    if sides is None:
+        return None
+    inside = sides[0] @ sides[1].T >= 0
+    inside[free] = True
+    at = np.flatnonzero(inside)
+    return None if len(at) * (FEW if p == 2 else FEW_SUMS) > len(a) * len(b) else np.divmod(at, len(b))
+
+
+def _square_sides(x: np.ndarray, y: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Rows whose products are half of bound squared less the sum of squares, and no less than 0 within the bound."""
+    width = x.shape[1]
     nx, ny = (x * x).sum(axis=1), (y * y).sum(axis=1)
     far = (bound * (1 + 8 * SLACK)) ** 2
     size = nx + ny.max() + far
@@ -101,8 +117,40 @@ def pairs_within(a: np.ndarray, b: np.ndarray, bound: np.ndarray) -> tuple[np.nd
     left, right = np.empty((len(x), width + 2), np.float32), np.empty((len(y), width + 2), np.float32)
     left[:, :-2], left[:, -2], left[:, -1] = x, 1.0, (far - nx) / 2 + size * (2e-7 * (width + 8)) + 1e-30
     right[:, :-2], right[:, -2], right[:, -1] = y, -ny / 2, 1.0
-    at = np.flatnonzero(left @ right.T >= 0)
-    return None if len(at) * FEW > len(a) * len(b) else np.divmod(at, len(b))
+    return left, right
+
+
+def _cube_sides(x: np.ndarray, y: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """As _square_sides for L3: rows whose products are bound cubed less a sum that the sum of cubes is no lower than.
+
+    With u the square of a difference over the bound, its cube u ** 1.5 is at least q(u) = A u + B u u - C for all u up to 1: q touches
+    it at u0 and meets it at 1, and the third derivative of the cube is negative. A pair within the bound has no u above 1.
+    Sums of q are products of powers of the coordinates. Any u0 is right; this one is close for differences of normal spread.
+    """
+    width = x.shape[1]
+    norm = lambda v: np.sqrt((v * v).sum(axis=1))
+    unit = max(norm(x).mean(), norm(y).mean())  # a bound may be raised: more pairs are measured then
+    far = np.maximum(bound * (1 + 8 * SLACK), 0.1 * unit)
+    if not 0 < unit < 1e30 or not far.max() < 1e30:
+        return None
+    x, y, far = x / unit, y / unit, (far / unit)[:, None]
+    u0 = min(0.5, 1.1 / (1.6 * width) ** (2 / 3))
+    B = (1 - u0**1.5 - 1.5 * u0**0.5 * (1 - u0)) / (1 - u0) ** 2
+    A, C = 1.5 * u0**0.5 - 2 * B * u0, 0.5 * u0**1.5 - B * u0 * u0
+    x2, y2 = x * x, y * y
+    u, uu, c = A * far, B / far, (1 + width * C) * far**3
+    rest = c - u * x2.sum(axis=1, keepdims=True) - uu * (x2 * x2).sum(axis=1, keepdims=True)
+    left = np.concatenate([2 * u * x + 4 * uu * x2 * x, -6 * uu * x2, 4 * uu * x, u, uu, rest], axis=1)
+    right = np.concatenate([y, y2, y2 * y, -y2.sum(axis=1, keepdims=True), -(y2 * y2).sum(axis=1, keepdims=True), np.ones((len(y), 1))], axis=1)
+    size = norm(left) * norm(right).max()
+    if not size.max() < 1e30:
+        return None
+    left[:, -1] += size * (2e-7 * (left.shape[1] + 8)) + 1e-30
+    return left.astype(np.float32), right.astype(np.float32)
+
+
+#: What rules pairs out by a product.
+WITHIN = {2: _square_sides, 3: _cube_sides}
 
 
 def closest(a: np.ndarray, b: np.ndarray, p: int, k: int, bound: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,7 +163,7 @@ def closest(a: np.ndarray, b: np.ndarray, p: int, k: int, bound: np.ndarray | No
     for i in range(0, len(a), step):
         part = a[i : i + step]
         with np.errstate(over="ignore", invalid="ignore"):
-            within = None if bound is None or p != 2 else pairs_within(part, b, bound[i : i + step])
+            within = None if bound is None else pairs_within(part, b, bound[i : i + step], p)
             s, off = power_sums(part, b, p) if within is None else (np.zeros((0, len(b))), np.zeros(0))
         kk = min(k, s.shape[1])
         if within is not None:
@@ -129,10 +177,10 @@ def closest(a: np.ndarray, b: np.ndarray, p: int, k: int, bound: np.ndarray | No
         else:  # beyond what sums of powers can hold
             row, col = np.repeat(np.arange(len(part)), len(b)), np.tile(np.arange(len(b)), len(part))
         exact = np.empty(len(row))
-        for j in range(0, len(row), PAIR_CELLS // 64):
-            r, c = row[j : j + PAIR_CELLS // 64], col[j : j + PAIR_CELLS // 64]
-            gap = np.abs(part[r] - b[c])
-            exact[j : j + len(r)] = gap.sum(axis=1) if p == 1 else np.sqrt((gap * gap).sum(axis=1)) if p == 2 else (gap**p).sum(axis=1) ** (1.0 / p)
+        few = max(1, CACHE_CELLS * 4 // max(1, b.shape[1]))
+        for j in range(0, len(row), few):
+            r, c = row[j : j + few], col[j : j + few]
+            exact[j : j + few] = lengths(np.abs(part[r] - b[c]), p)
         if within is not None:
             inside = exact <= bound[i : i + step][row] * (1 + 4 * SLACK)
             row, col, exact = row[inside], col[inside], exact[inside]
@@ -156,6 +204,18 @@ def k_best(row: np.ndarray, col: np.ndarray, d: np.ndarray, k: int) -> tuple[np.
     return row[keep], col[keep], d[keep]
 
 
+def keep_lowest(lowest: np.ndarray, row: np.ndarray, d: np.ndarray) -> None:
+    """Put distances, which lie in order of row and distance, among the lowest known ones of their rows, which stay in order."""
+    first = np.flatnonzero(np.diff(row, prepend=-1))
+    if len(first):
+        here = row[first]
+        nth = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
+        made = np.full((len(here), lowest.shape[1]), np.inf)
+        some = nth < lowest.shape[1]
+        made[np.repeat(np.arange(len(here)), np.diff(np.append(first, len(row))))[some], nth[some]] = d[some]
+        lowest[here] = np.sort(np.concatenate([lowest[here], made], axis=1), axis=1)[:, : lowest.shape[1]]
+
+
 def distinct_vectors(rows: DataFrame, key: str, features: str, k: int, tag: Column | None = None) -> DataFrame:
     """One row per distinct vector: its lowest key, and its k lowest keys with what they carry.
 
@@ -293,13 +353,15 @@ def _best_of_visits(visiting: DataFrame, held: DataFrame, k: int, p: int, member
         place = np.argsort(cell, kind="stable")
         cells, first = np.unique(cell[place], return_index=True)
         rows, cols, found = [np.zeros(0, int)], [np.zeros(0, int)], [np.zeros(0)]
+        lowest = np.full((len(x), k), np.inf)
         for c, here in zip(cells, np.split(place, first[1:])):
             asks = who[np.searchsorted(goal, c, "left") : np.searchsorted(goal, c, "right")]
             if len(asks):
-                row, col, d = closest(x[asks], y[here], p, k, bound[asks])
+                row, col, d = closest(x[asks], y[here], p, k, np.minimum(bound[asks], lowest[asks, -1]))
                 rows.append(asks[row])
                 cols.append(here[col])
                 found.append(d)
+                keep_lowest(lowest, asks[row], d)
         return _found(a, b, *k_best(np.concatenate(rows), np.concatenate(cols), np.concatenate(found), k))
 
     found = block_join(visiting, held.select("x", "rep", "members", "cell", "top"), "top", "asker", "rep", best, f"asker bigint, distance double, members {members}", rows=VISIT_ROWS)

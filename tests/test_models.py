@@ -527,6 +527,34 @@ def test_pairs_within_a_bound_are_read_from_one_product():
     assert NB.pairs_within(np.where(a > 2, np.nan, a), b, np.ones(40)) is None
 
 
+@pytest.mark.parametrize("p", [3])
+def test_pairs_within_a_bound_are_read_from_one_product_under_other_norms(p):
+    for width in (1, 4, 64):
+        a, b = RNG.normal(size=(40, width)), RNG.normal(size=(200, width))
+        b[:9] = a[:9]
+        for scale, shift in ((1.0, 0.0), (1e-9, 0.0), (1e9, 0.0), (1.0, 1e2)):
+            x, y = a * scale + shift, b * scale + shift
+            far = NB.distances(x, y, p)
+            bound = np.sort(far, axis=1)[:, 0]
+            bound[9] = np.inf  # its pairs are all measured, the others keep their bounds
+            found = NB.pairs_within(x, y, bound, p)
+            assert found is not None and len(found[0]) <= 40 * 200 / NB.FEW_SUMS
+            assert set(zip(*(z.tolist() for z in np.nonzero(far <= bound[:, None])))) <= set(zip(*(z.tolist() for z in found)))
+            row, col, d = NB.closest(x, y, p, 3, bound)
+            assert (d == far[row, col]).all() and (d <= bound[row] * (1 + 1e-8)).all()
+            assert set(row.tolist()) == set(range(40)) and (row == 9).sum() == 3
+    assert NB.pairs_within(a, b, np.full(40, np.inf), p) is None
+    assert NB.pairs_within(a, np.where(b > 2, np.nan, b), np.ones(40), p) is None
+
+
+def test_lowest_distances_of_a_block_tighten_its_bounds():
+    lowest = np.full((3, 2), np.inf)
+    NB.keep_lowest(lowest, np.array([0, 0, 0, 2]), np.array([1.0, 4.0, 5.0, 2.0]))
+    NB.keep_lowest(lowest, np.array([0, 2]), np.array([3.0, 1.0]))
+    NB.keep_lowest(lowest, np.zeros(0, int), np.zeros(0))
+    assert lowest.tolist() == [[1.0, 3.0], [np.inf, np.inf], [1.0, 2.0]]
+
+
 def test_blocks_that_travel_grow_with_the_documents():
     """Copies of a document, one per partner block, stay about as many as there are cores."""
     assert cosine.task_docs(100, 12) == cosine.BLOCK_DOCS
