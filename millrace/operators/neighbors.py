@@ -149,8 +149,35 @@ def _cube_sides(x: np.ndarray, y: np.ndarray, bound: np.ndarray) -> tuple[np.nda
     return left.astype(np.float32), right.astype(np.float32)
 
 
+def _gap_sides(x: np.ndarray, y: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """As _square_sides for L1: rows whose products are the bound less a sum that the sum of gaps is no lower than.
+
+    Each axis is cut into three parts, of which two coordinates cover the shares a and b. The gap is no lower than the sum over
+    parts of width times |a - b|, and |a - b| no lower than a + b - 2 a b - 2 sqrt(a (1 - a) b (1 - b)): for a <= b that root is at least
+    a (1 - b). It is equal where a or b is 0 or 1. Any cuts are right; these are close for coordinates of normal spread.
+    """
+    norm = lambda v: np.sqrt((v * v).sum(axis=1))
+    spread = y.std(axis=0)
+    unit = spread.max()
+    if not 0 < unit < 1e30 or not bound.max() < 1e30 * unit:
+        return None
+    x, y, far = x / unit, y / unit, bound / unit * (1 + 8 * SLACK)
+    cuts = spread / unit * np.array([[-2.0], [-0.5], [0.5], [2.0]])
+    wide = np.diff(cuts, axis=0)
+
+    def shares(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        part = np.clip((v[:, None, :] - cuts[:-1]) / np.where(wide > 0, wide, 1.0), 0.0, 1.0)
+        return part.reshape(len(v), -1), np.sqrt(part * (1 - part)).reshape(len(v), -1), (part * wide).sum(axis=(1, 2))[:, None]
+
+    (a, both, sa), (b, both_there, sb), twice = shares(x), shares(y), 2 * wide.ravel()
+    left = np.concatenate([a * twice, both * twice, far[:, None] - sa, np.ones((len(x), 1))], axis=1)
+    right = np.concatenate([b, both_there, np.ones((len(y), 1)), -sb], axis=1)
+    left[:, -2] += norm(left) * norm(right).max() * (2e-7 * (left.shape[1] + 8)) + 1e-30
+    return left.astype(np.float32), right.astype(np.float32)
+
+
 #: What rules pairs out by a product.
-WITHIN = {2: _square_sides, 3: _cube_sides}
+WITHIN = {1: _gap_sides, 2: _square_sides, 3: _cube_sides}
 
 
 def closest(a: np.ndarray, b: np.ndarray, p: int, k: int, bound: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
