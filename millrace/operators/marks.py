@@ -61,6 +61,25 @@ def letter_examples(
     return kept.select(*keys, "pos", "letter", "context", mark_class(F.col("target"), marks).alias("cls"))
 
 
+def context_counts(df: DataFrame, keys: list[str], target: Column, marks: MarkTable = MarkTable(), n: int = 3) -> DataFrame:
+    """(keys, context, cls, n): what letter_examples gives, counted.
+
+    One pattern cuts the windows of letters that may carry a mark out of the marked text, a character at a time. They are
+    counted as they are; marks and case are only folded in windows that differ.
+    """
+    middle = "".join(dict.fromkeys(marks.plain_letters() + marks.translation()[0]))
+    pattern = f"(?s)(?=(.{{{n}}}[{middle}].{{{n}}})?)."
+    pad = F.lit(" " * n)
+    # An empty text is one empty character, as in letter_table.
+    windows = F.when(target == "", F.array(F.lit(" " * (2 * n)))).otherwise(F.regexp_extract_all(F.concat(pad, target, pad), F.lit(pattern), F.lit(1)))
+    # Outer, since Spark puts a filter on the size of the array below a plain explode, which cuts every text again.
+    rows = df.select(*keys, F.explode_outer(windows).alias("_w")).where(F.col("_w") != "")
+    counted = rows.groupBy(*keys, "_w").agg(F.count(F.lit(1)).alias("n"))
+    letter = F.when(F.char_length("_w") > 2 * n, F.substring("_w", n + 1, 1)).otherwise("")
+    folded = counted.select(*keys, noise_to_space(strip_marks(F.col("_w"), marks)).alias("context"), mark_class(letter, marks).alias("cls"), "n")
+    return folded.groupBy(*keys, "context", "cls").agg(F.sum("n").alias("n"))
+
+
 def dictionary_examples(dictionary: DataFrame, marks: MarkTable = MarkTable(), n: int = 3) -> DataFrame:
     """Examples from (word, variants): every eligible letter of the word, once per variant."""
     pairs = dictionary.select("word", F.posexplode("variants").alias("number", "variant"))

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions.strings import MarkTable, long_word_tokens
+from millrace.functions.strings import WESTERN, MarkTable, long_word_tokens
 from millrace.operators import marks as MK
 from millrace.operators import textstats
 from millrace.plans import documents as DOC
@@ -23,6 +23,18 @@ def test_contexts_turn_noise_into_spaces(spark):
     assert [r.context for r in MK.letter_examples(df, ["id"], F.col("t")).collect()] == [" x e   "]
 
 
+def test_counted_contexts_are_those_of_all_letters(spark):
+    texts = ["Žáček, a-b.\nč", "", None, "e", "\U0001f600ab\U0001f600\U0001f601ýc\U0001f600", "İa Σa ΑΣ", "xx", "ab ab ab", "   ", "a\r\u2028e"]
+    df = spark.createDataFrame([(i % 2, i, t) for i, t in enumerate(texts * 2)], "half INT, id INT, t STRING")
+    for marks in (MarkTable(), WESTERN):
+        letters = MK.letter_examples(df, ["id", "half"], F.col("t"), marks).groupBy("half", "context", "cls").agg(F.count(F.lit(1)).alias("n"))
+        counted = MK.context_counts(df, ["half"], F.col("t"), marks)
+        assert counted.columns == letters.columns and sorted(map(tuple, counted.collect())) == sorted(map(tuple, letters.collect()))
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "arrays_zip" not in plan and plan.count("regexp_extract_all") == 1
+
+
+
 def test_dictionary_examples_repeat_per_variant(spark):
     d = spark.createDataFrame([("sad", ["sad", "sád"])], "word STRING, variants ARRAY<STRING>")
     rows = MK.dictionary_examples(d).orderBy("number", "pos").collect()
