@@ -596,6 +596,20 @@ def test_best_of_blocks_over_several_products(monkeypatch):
         assert set(zip(got.column("q").to_pylist(), got.column("d").to_pylist())) == want
 
 
+def test_stored_documents_fold_equal_ones_and_keep_near_ties_apart(spark):
+    """Documents are packed where they lie; equal ones are passed over, and single precision settles no order."""
+    rows = [(0, ["a", "b"], [0.6, 0.8]), (1, ["a", "b"], [0.6, 0.8]), (2, ["a", "b"], [0.6, 0.8]), (3, ["a", "c"], [0.6 + 3e-8, 0.8]), (4, ["a", "c"], [0.6, 0.8])]
+    rows += [(5, ["d"], [1e-30]), (None, ["a", "b"], [0.6, 0.8])]
+    train = cosine.stored_vectors(spark.createDataFrame(rows, "id bigint, terms array<string>, weights array<double>"), "id")
+    kept, members, owners = cosine.folded(train, 2)
+    assert sorted(i for r in kept.collect() for i in r["drop"] or []) == [1, 2]
+    assert sorted(sorted(r.members) for r in members.collect()) == [[0, 1], [3], [4], [5]] and owners.count() == 6
+    asked = [(10, ["a"], [1.0]), (11, ["d"], [1e-30]), (12, ["x"], [1.0]), (13, ["a", "b"], [0.6, 0.8])]
+    queries = cosine.stored_vectors(spark.createDataFrame(asked, "id bigint, terms array<string>, weights array<double>"), "id")
+    found = cosine.cosine_neighbors(train, queries, "id", 2).orderBy("query", "rank").collect()
+    assert [(r["query"], r.neighbor) for r in found] == [(10, 3), (10, 0), (11, 5), (13, 0), (13, 1)]
+
+
 def test_units_of_many_keys_are_those_of_md5():
     from hashlib import md5
 
