@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,33 @@ from millrace.session import cut_lineage
 
 #: Bytes of dictionary entries that travel with the tasks at most.
 SENT_WORDS = 32 << 20
+#: A filter of words is 256 blocks of so many numbers of 64 bits at most, 32 MB in all.
+FILTER_NUMBERS = 16_384
+
+
+def may_meet(rows: DataFrame, column: str, values: DataFrame) -> DataFrame:
+    """Rows whose column may occur among values (one column): all that do, and few others.
+
+    A filter of a fixed number of bits travels with the tasks, so that of a large table's rows only those move that find
+    a partner. A value sets two bits of one number; more values only let more rows pass.
+    """
+    numbers = FILTER_NUMBERS
+
+    def places(value: Column) -> tuple[Column, Column, Column]:
+        h = F.xxhash64(value)
+        bit = lambda at: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(h, at).bitwiseAND(63).cast("int"))
+        return h.bitwiseAND(255).cast("int"), F.shiftright(h, 8).bitwiseAND(numbers - 1).cast("int"), bit(22).bitwiseOR(bit(28))
+
+    def filled(table: pa.Table) -> pa.Table:
+        bits = np.zeros(numbers, np.int64)
+        np.bitwise_or.at(bits, table.column("number").to_numpy(), table.column("bits").to_numpy())
+        return pa.table({"block": table.column("block")[:1], "filter": pa.array([bits], pa.list_(pa.int64()))})
+
+    made = values.select(*(x.alias(n) for x, n in zip(places(F.col(values.columns[0])), ("block", "number", "bits"))))
+    made = made.groupBy("block", "number").agg(F.bit_or("bits").alias("bits"))
+    blocks = made.groupBy("block").applyInArrow(filled, "block int, filter array<bigint>")
+    block, number, bits = places(F.col(column))
+    return rows.join(F.broadcast(blocks), (F.col("block") == block) & (F.get("filter", number).bitwiseAND(bits) == bits), "left_semi")
 
 
 def characters(text: Column) -> Column:
@@ -144,13 +173,16 @@ def patched(pieces: Column, patches: Column) -> Column:
 def patch_texts(docs: DataFrame, key: str, text: str, changes: DataFrame, pieces: Callable[[Column], Column], each: Callable[[Column], Column] | None = None) -> DataFrame:
     """(key, text) of every row of docs with the changes (key, _print, pos, piece) put into pieces(text).
 
-    Only the changes are grouped; a text moves at most once, to meet them. A row is its key with a hash of its text, so
-    rows without a key or of one repeated key keep their own changes. `each` maps the pieces that are not patched too.
+    Only the changes are grouped, and where they are made: `changes` come from rows of printed(docs), which lie by _print.
+    A row is its key with a hash of its text, so rows without a key or of one repeated key keep their own changes.
+    `each` maps the pieces that are not patched too.
     """
     listed = changes.groupBy(key, "_print").agg(F.sort_array(F.collect_set(F.struct("pos", "piece"))).alias("_patches"))
     listed = listed.select(F.col(key).alias("_key"), F.col("_print").alias("_same"), "_patches")
     rows = printed(docs, key, text)
-    met = rows.join(listed, rows[key].eqNullSafe(F.col("_key")) & (F.col("_print") == F.col("_same")), "left")
+    # The keys are compared within the join by _print: as join keys they would have rows and changes dealt out again.
+    same = F.when(F.col("_key").isNull(), rows[key].isNull()).otherwise(F.coalesce(rows[key] == F.col("_key"), F.lit(False)))
+    met = rows.join(listed, (F.col("_print") == F.col("_same")) & same, "left")
     cut = met.select(key, pieces(F.col("_text")).alias("_pieces"), "_patches")
     if each is not None:
         cut = cut.select(key, F.transform("_pieces", each).alias("_pieces"), "_patches")
@@ -158,8 +190,12 @@ def patch_texts(docs: DataFrame, key: str, text: str, changes: DataFrame, pieces
 
 
 def printed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, _text, _print): the text and its hash. Empty texts have a hash too, NULL texts have the hash of nothing."""
-    return docs.select(key, F.col(text).alias("_text"), F.xxhash64(text).alias("_print"))
+    """(key, _text, _print): the text and its hash with the key, by which rows are dealt out once for words and patches.
+
+    Empty texts have a hash too, NULL texts have that of their key. It tells equal texts of different keys apart, so that a
+    text held by many documents is spread.
+    """
+    return docs.select(key, F.col(text).alias("_text"), F.xxhash64(key, text).alias("_print")).repartition("_print")
 
 
 def restore_words(
@@ -167,8 +203,8 @@ def restore_words(
 ) -> DataFrame:
     """Replace words that have exactly one variant; a capital first letter is restored.
 
-    Variants that differ from their word travel with the tasks, if they are `most` bytes at most, and meet every word; the
-    others change nothing but words that hold marks or letters of odd case. Only words that change come back to their text.
+    Variants that differ from their word travel with the tasks, if they are `most` bytes at most, and meet every word; more
+    of them meet the words that a filter of fixed size lets pass. The others change nothing but words that hold marks or letters of odd case. Only words that change come back to their text.
     Empty texts stay empty and NULL stays NULL.
     """
     single = cut_lineage(dictionary.where(F.size("variants") == 1).select(F.col("word").alias("k"), F.col("variants")[0].alias("v")))
@@ -183,7 +219,9 @@ def restore_words(
     def met(rows: DataFrame, variants: DataFrame) -> DataFrame:
         """The places of words whose k has a variant; words are shuffled once per text, not once per place."""
         places = rows.groupBy(key, "_print", "token", "k").agg(F.collect_list("pos").alias("places"))
-        return places.join(variants, "k").select(key, "_print", "token", "v", F.explode("places").alias("pos"))
+        # Dealt out like the texts before the places are taken apart, so that their changes need no more shuffles.
+        found = places.join(variants, "k").select(key, "_print", "token", "v", "places").repartition("_print")
+        return found.select(key, "_print", "token", "v", F.explode("places").alias("pos"))
 
     rows = printed(docs, key, text)
     marked = single.where(F.col("v") != F.col("k"))
@@ -191,7 +229,7 @@ def restore_words(
     if size <= most:
         found = words(rows).join(F.broadcast(marked), "k").select(key, "_print", "token", "v", "pos")
     else:
-        found = met(words(rows), marked)
+        found = met(may_meet(words(rows), "k", marked.select("k")), marked)
     # What follows a variant equal to its word is what a word without a variant becomes, but for these words.
     odd = (F.col("k") != folded) | (upper & (capitalized(folded) != capitalized(token)))
     may = (strip_marks(F.col("_text"), marks) != F.col("_text")) | F.col("_text").rlike(r"[^\x00-\x7F]")
@@ -230,14 +268,18 @@ def restore_marks(
 
     model has columns context, pred. Only letters that may carry a mark meet predictions, by key, never by a running
     counter, and only letters that change come back to their text. Contexts that ask for a mark travel with the tasks, if
-    they are `most` bytes at most, so that no letter is shuffled; else letters and contexts are shuffled to meet.
+    they are `most` bytes at most, so that no letter is shuffled; more of them are shuffled to meet the letters that a filter
+    of fixed size lets pass.
     Empty texts stay empty and NULL stays NULL.
     """
     marked = cut_lineage(model.where(F.col("pred") != 0).select("context", "pred"))
     size = marked.agg(F.sum(F.octet_length("context") + 24)).first()[0] or 0
     rows = letter_table(printed(docs, key, text), [key, "_print"], F.col("_text"), None, n)
     may = rows.where(is_member(F.col("letter"), marks.plain_letters()))
-    found = may.join(F.broadcast(marked) if size <= most else marked, "context")
+    if size <= most:
+        found = may.join(F.broadcast(marked), "context")
+    else:
+        found = may_meet(may, "context", marked.select("context")).join(marked, "context").repartition("_print")
     piece = add_mark(F.col("letter"), F.col("pred"), marks)
     changes = found.select(key, "_print", "pos", "letter", piece.alias("piece")).where("piece <> letter").drop("letter")
     return patch_texts(docs, key, text, changes, characters)

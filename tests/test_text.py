@@ -197,3 +197,20 @@ def test_stream_scoring_equals_batch(spark, tmp_path):
     score_stream(model, stream, str(tmp_path / "out"), str(tmp_path / "log")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, model.transform(rows).collect()))
+
+
+def test_words_and_letters_without_a_partner_do_not_move(spark):
+    """Of words and letters only those that find a partner are shuffled, and texts and patches are dealt out once."""
+    docs = spark.range(200).select("id", F.concat(F.lit("cas word "), F.col("id").cast("string"), F.lit(" sam")).alias("t"))
+    many = spark.range(500).select(F.concat(F.lit("sad"), F.col("id").cast("string")).alias("k"))
+    rows = many.select("k").unionByName(spark.range(20_000).select(F.concat(F.lit("other"), F.col("id").cast("string")).alias("k")))
+    kept = [r.k for r in MK.may_meet(rows, "k", many).collect()]
+    assert sum(k.startswith("sad") for k in kept) == 500 and len(kept) < 600
+    assert MK.may_meet(rows, "k", many.limit(0)).count() == 0
+    dictionary = spark.createDataFrame([("cas", ["čas"]), ("word", ["word"])], "word string, variants array<string>")
+    for most in (0, 1 << 20):
+        out = MK.restore_words(docs, "id", "t", dictionary, most=most)
+        assert sorted(r.t for r in out.withColumnRenamed("text", "t").collect()) == sorted(f"čas word {i} sam" for i in range(200))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        # The text's own hash deals out texts, words and patches: the key never does.
+        assert "hashpartitioning(id" not in plan and "hashpartitioning(coalesce(id" not in plan
